@@ -26,7 +26,11 @@ from starloom import schemas as S
 from starloom.functions.text import longest_literal_run
 from starloom.operators.calendar import main_days
 from starloom.operators.location import address_key_columns
-from starloom.operators.product import map_orders_to_versions
+from starloom.operators.product import join_valid_version
+
+_PCOL_NAMES = [("id", "_p_id"), ("product", "_p_product"), ("price_each", "_p_price"),
+               ("start_date", "_p_start"), ("end_date", "_p_end"), ("curr_status", "_p_cur"),
+               ("parent_id", "_p_parent"), ("category_name", "_p_cat")]
 
 _FACT_TYPES = {
     "order_id": "int", "quantity": "int", "total_price": "decimal(10,2)",
@@ -62,19 +66,13 @@ def build_order_fact(clean: DataFrame, product: DataFrame, time_dim: DataFrame,
     sales = clean.filter(F.col("order_date").isNotNull())
 
     # -- product --------------------------------------------------------------
-    pcols = [F.col("id").alias("_p_id"), F.col("product").alias("_p_product"),
-             F.col("price_each").alias("_p_price"), F.col("start_date").alias("_p_start"),
-             F.col("end_date").alias("_p_end"), F.col("curr_status").alias("_p_cur"),
-             F.col("parent_id").alias("_p_parent"), F.col("category_name").alias("_p_cat")]
+    pcols = [F.col(src).alias(dst) for src, dst in _PCOL_NAMES]
     if price_mode == "current":
         p = product.filter("curr_status").select(*pcols)
         sp = sales.join(p, F.upper(sales["product"]) == F.upper(p["_p_product"]))
     elif price_mode == "as_of_sale":
-        mapped = map_orders_to_versions(sales, product).select(
-            "order_id", "product", "price_each", "order_date", "product_sk")
-        keyed = sales.join(mapped, ["order_id", "product", "price_each", "order_date"])
-        p = product.select(*pcols)
-        sp = keyed.join(p, keyed["product_sk"] == p["_p_id"]).drop("product_sk")
+        sp = join_valid_version(sales, product, "_v_").select(
+            *sales.columns, *[F.col("_v_" + src).alias(dst) for src, dst in _PCOL_NAMES])
     else:
         raise ValueError(f"unknown price_mode {price_mode!r}")
 

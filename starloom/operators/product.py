@@ -135,17 +135,23 @@ def scd2_reversion(dim: DataFrame, clean: DataFrame) -> DataFrame:
     return step2.select(*S.PRODUCT_SCHEMA.fieldNames())
 
 
+def join_valid_version(sales: DataFrame, dim: DataFrame, prefix: str = "_d_") -> DataFrame:
+    """Sales joined to the version of their (product, price) whose validity holds
+    the sale date: an equi join on (product, price) with a range residual.
+    ``dim`` columns come back prefixed."""
+    d = dim.select(*[F.col(c).alias(prefix + c) for c in dim.columns],
+                   price_key("price_each").alias(prefix + "pkey"),
+                   F.coalesce("end_date", F.lit(S.OPEN_END).cast("timestamp")).alias(prefix + "until"))
+    cond = ((sales["product"] == d[prefix + "product"]) & (price_key(sales["price_each"]) == d[prefix + "pkey"])
+            & sales["order_date"].between(d[prefix + "start_date"], d[prefix + "until"]))
+    return sales.join(d, cond).drop(prefix + "pkey", prefix + "until")
+
+
 def map_orders_to_versions(clean: DataFrame, dim: DataFrame) -> DataFrame:
-    """O-19: each sale -> the version valid at its date (equi key + range residual)."""
-    d = dim.select(
-        F.col("product").alias("_d_product"), price_key("price_each").alias("_d_price"),
-        F.col("id").alias("product_sk"), F.col("parent_id").alias("category_id"),
-        F.col("start_date").alias("_d_start"),
-        F.coalesce("end_date", F.lit(S.OPEN_END).cast("timestamp")).alias("_d_end"))
-    cond = ((clean["product"] == d["_d_product"]) & (price_key(clean["price_each"]) == d["_d_price"])
-            & clean["order_date"].between(d["_d_start"], d["_d_end"]))
-    return clean.join(d, cond).select("order_id", "product", "product_sk", "category_id",
-                                      "price_each", "order_date")
+    """O-19: each sale -> the version valid at its date."""
+    return join_valid_version(clean, dim).select(
+        "order_id", "product", F.col("_d_id").alias("product_sk"), F.col("_d_parent_id").alias("category_id"),
+        "price_each", "order_date")
 
 
 def populate_product(clean: DataFrame, dim: DataFrame | None = None,

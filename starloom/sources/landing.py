@@ -45,6 +45,7 @@ def read_landing_csv(spark: SparkSession, paths: str | Sequence[str],
     raw = (
         spark.read.option("header", True).option("inferSchema", False)
         .option("quote", '"').option("escape", '"').option("multiLine", False)
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         .csv(paths)
     )
     return to_landing(raw, batch_ts)
@@ -65,7 +66,8 @@ def read_landing_stream(spark: SparkSession, directory: str, max_files_per_trigg
 def write_landing_csv(df: DataFrame, path: str) -> None:
     """Write landing rows back out as CSV with the original headers."""
     out = df.select(*[F.col(c).alias(h) for h, c in CSV_HEADERS.items()])
-    out.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    (out.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def load_landing(spark: SparkSession, paths: str | Sequence[str], target: str,
