@@ -91,14 +91,16 @@ def build_order_fact(clean: DataFrame, product: DataFrame, time_dim: DataFrame,
         if street_keys is None:
             raise ValueError("keyed address matching needs the street keys of the hierarchy")
         parsed = spt.withColumns(address_key_columns("purchase_address"))
+        # A street node is fully described by its key row: no join with the hierarchy.
         k = street_keys.select(
-            *[F.col(c).alias(f"_k_{c}") for c in street_keys.columns if c != "address_id"],
-            F.col("address_id").alias("_k_id"))
+            *[F.col(c).alias(f"_k_{c}") for c in street_keys.columns if c not in ("address_id", "parent_id")],
+            F.col("address_id").alias("_a_id"), F.col("street").alias("_a_name"),
+            F.lit("Street").alias("_a_type"), F.col("parent_id").alias("_a_parent"), F.lit(0).alias("_a_level"))
         cond = [parsed["_street"] == k["_k_street"], parsed["_city"] == k["_k_city"],
                 parsed["_postal"] == k["_k_postal_code"]]
         if "_k_state" in k.columns:
             cond.append(parsed["_state"] == k["_k_state"])
-        located = parsed.join(k, cond).join(nodes, F.col("_k_id") == F.col("_a_id"))
+        located = parsed.join(k, cond)
     elif address_match == "substring":
         m = substring_matches(spt.select("purchase_address"), hierarchy).select(
             F.col("purchase_address").alias("_m_addr"), F.col("address_id").alias("_m_id"))

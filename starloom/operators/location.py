@@ -83,8 +83,9 @@ def build_location_hierarchy(addresses: DataFrame, parent_match: str = "city_pos
     """O-12: (hierarchy, street_keys).
 
     ``street_keys`` maps the address parts that identify a street node to its
-    ``address_id`` (full path in ``city_postal`` mode, street/city/postal in
-    ``city`` mode); the keyed fact join uses it.
+    ``address_id`` and ``parent_id`` (full path in ``city_postal`` mode,
+    street/city/postal in ``city`` mode); the keyed fact join uses it and
+    needs no second join with the hierarchy.
     """
     a = addresses.select(*ADDRESS_PARTS)
     states = _nodes(a.select("state").distinct(), F.concat(F.lit("S-"), F.col("state")),
@@ -107,7 +108,7 @@ def build_location_hierarchy(addresses: DataFrame, parent_match: str = "city_pos
         streets_k = group_sequence(streets_src, ["_parent"], ["street"], "_n").withColumn(
             "address_id", F.concat(F.col("_parent"), F.lit("-S"), counter(F.col("_n"))))
         streets = _nodes(streets_k, F.col("address_id"), F.col("street"), 0, F.col("_parent"))
-        keys = streets_k.select(*ADDRESS_PARTS, "address_id")
+        keys = streets_k.select(*ADDRESS_PARTS, "address_id", F.col("_parent").alias("parent_id"))
     elif parent_match == "city":
         first_postal = postals.groupBy(F.col("address_name").alias("postal_code")).agg(
             F.min("address_id").alias("_parent"))
@@ -120,7 +121,8 @@ def build_location_hierarchy(addresses: DataFrame, parent_match: str = "city_pos
         streets_k = group_sequence(streets_src, ["_parent"], ["street", "city", "postal_code"], "_n") \
             .withColumn("address_id", F.concat(F.col("_parent"), F.lit("-S"), counter(F.col("_n"))))
         streets = _nodes(streets_k, F.col("address_id"), F.col("street"), 0, F.col("_parent"))
-        keys = streets_k.select("street", "city", "postal_code", "address_id")
+        keys = streets_k.select("street", "city", "postal_code", "address_id",
+                                F.col("_parent").alias("parent_id"))
     else:
         raise ValueError(f"unknown parent_match {parent_match!r}")
 

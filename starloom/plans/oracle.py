@@ -201,7 +201,13 @@ def fact_sql(address_match: str = "keyed", price_mode: str = "current", hier: st
                AND k.postal_code = trim(split_part(s.purchase_address, ' ', -1)) {state_cond}
              JOIN hier a ON a.address_id = k.id"""
     else:
-        ajoin = "JOIN hier a ON s.purchase_address LIKE '%' || a.address_name || '%'"
+        # The LIKE join runs once per distinct address; sales then join its matches by equality.
+        tdim += """
+addr_match AS (SELECT DISTINCT s.purchase_address, a.address_id
+               FROM (SELECT DISTINCT purchase_address FROM clean) s
+               JOIN hier a ON s.purchase_address LIKE '%' || a.address_name || '%'),"""
+        ajoin = """JOIN addr_match m ON m.purchase_address = s.purchase_address
+             JOIN hier a ON a.address_id = m.address_id"""
     return f"""{BASE},{ctes},{PRODUCT_CTES},{tdim}
 fact AS (
   SELECT s.order_id, s.quantity_ordered AS quantity,

@@ -24,7 +24,7 @@ from starloom.operators import calendar, cube, fact, location, product, quality
 RUN = "run_id"
 LEDGER_SCHEMA = T.StructType([T.StructField(RUN, T.LongType()), T.StructField("finished_at", T.TimestampType())])
 KEYS_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in
-                            ("street", "city", "state", "postal_code", "address_id")])
+                            ("street", "city", "state", "postal_code", "address_id", "parent_id")])
 FACT_SCHEMA = T.StructType([
     T.StructField("order_id", T.IntegerType()), T.StructField("quantity", T.IntegerType()),
     T.StructField("total_price", S.FACT_PRICE_TYPE), T.StructField("product_surrogate_id", T.IntegerType()),
@@ -92,12 +92,14 @@ def run_warehouse_batch(wh: Warehouse, batch: DataFrame, run_id: int,
     wh.write(batch.select(*S.LANDING_SCHEMA.fieldNames()), "landing", run_id)
     landing_all = wh.read("landing", done + [run_id])
 
-    # 1. cleansing: latest batch, not already loaded, validated
+    # 1. cleansing: latest batch, not already loaded, validated. Runs are
+    # ordered, so the newest stamps are in this run's partition: only it is scanned.
     clean_prev = wh.read("clean", done)
     errors_prev = wh.read("errors", done)
     err_start = (F.lit(1) if errors_prev is None
                  else F.coalesce(errors_prev.agg(F.max("error_id")).scalar(), F.lit(0)) + 1)
-    clean_new, errors_new = quality.clean_sales(landing_all, clean_prev, as_of, compare, err_start)
+    clean_new, errors_new = quality.clean_sales(wh.read("landing", [run_id]), clean_prev, as_of, compare,
+                                                err_start)
     wh.write(clean_new, "clean", run_id)
     wh.write(errors_new, "errors", run_id)
     clean_all = wh.read("clean", done + [run_id])
