@@ -90,3 +90,22 @@ def update_time_dimension(dim: DataFrame, df: DataFrame, date_col: str = "order_
 def main_days(dim: DataFrame) -> DataFrame:
     """Day rows of the main branch (the fact's time grain)."""
     return dim.filter((F.col("time_lvl") == "0") & (F.col("timebranch") == "main"))
+
+
+def update_time_table(spark, table: str, df: DataFrame, date_col: str = "order_date") -> int | None:
+    """O-07 + O-42 on a catalog table: append the missing calendar rows.
+
+    Does nothing (returns None) when the table does not exist, as the source's
+    update silently aborts; otherwise returns the number of rows appended.
+    """
+    if not spark.catalog.tableExists(table):
+        return None
+    current = spark.table(table)
+    added, _ = update_time_dimension(current, df, date_col)
+    # Materialise before inserting: the difference reads the table being written.
+    from starloom.session import cut_lineage
+    added = cut_lineage(added.select(*current.columns), "time-added")
+    n = added.count()
+    if n:
+        added.write.insertInto(table)
+    return n

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions.text import counter, is_digits, part
 from starloom.operators.keys import group_sequence
+from starloom.session import cut_lineage
 
 ADDRESS_PARTS = ("street", "city", "state", "postal_code")
 
@@ -87,7 +88,8 @@ def build_location_hierarchy(addresses: DataFrame, parent_match: str = "city_pos
     street/city/postal in ``city`` mode); the keyed fact join uses it and
     needs no second join with the hierarchy.
     """
-    a = addresses.select(*ADDRESS_PARTS)
+    # The distinct addresses feed all four levels: materialise them once.
+    a = cut_lineage(addresses.select(*ADDRESS_PARTS), "addresses")
     states = _nodes(a.select("state").distinct(), F.concat(F.lit("S-"), F.col("state")),
                     F.col("state"), 3, F.lit(None))
     postal_pairs = a.select("postal_code", "state").distinct()

@@ -173,10 +173,11 @@ def q_orders_updated(spark, sf):
 
 
 def q_semi_active_versions(spark, sf):
-    """Current versions with a later sale of the product at another price (EXISTS)."""
+    """Versions with a later sale of the product at another price (EXISTS with
+    an inequality: the test the re-versioning pass applies to current rows)."""
     c = clean(spark, sf)
     dim, _ = product.populate_product(c)
-    cur = dim.filter("curr_status")
+    cur = dim
     s = c.select(F.col("product").alias("_s_product"), F.col("price_each").alias("_s_price"),
                  F.col("order_date").alias("_s_date"))
     cond = ((cur["product"] == s["_s_product"]) & (product.price_key(cur["price_each"]) != product.price_key(s["_s_price"]))

@@ -337,7 +337,7 @@ ORACLE: dict[str, str] = {
         FROM clean s JOIN pdim d ON s.product = d.product AND round(s.price_each, 2) = round(d.price_each, 2)
          AND s.order_date BETWEEN d.start_date AND coalesce(d.end_date, TIMESTAMP '9999-12-31')""",
     "semi_active_versions": f"""{BASE},{PRODUCT_CTES}
-        SELECT * FROM pdim d WHERE d.curr_status AND EXISTS (SELECT 1 FROM clean s WHERE s.product = d.product
+        SELECT * FROM pdim d WHERE EXISTS (SELECT 1 FROM clean s WHERE s.product = d.product
           AND round(s.price_each, 2) <> round(d.price_each, 2) AND s.order_date > d.start_date)""",
     "order_fact_keyed": f"{FACT} SELECT * FROM fact",
     "order_fact_substring": f"{fact_sql('substring')} SELECT * FROM fact",

@@ -163,3 +163,22 @@ def run_batches_from_landing(spark: SparkSession, landing: DataFrame, as_of=None
     for i, ts in enumerate(stamps):
         run_warehouse_batch(wh, landing.filter(F.col("updated_at") == F.lit(ts)), i, as_of, **options)
     return warehouse_totals(wh)
+
+
+VIEW_NAMES = {
+    "sales_landing": "landing", "sales_landing_2": "clean", "sales_landing_errors": "errors",
+    "time_dimension": "time_dim", "location_hierarchy": "location",
+    "product_staging_dimension": "product", "order_fact": "fact", "sales_data_cube": "cube",
+}
+
+
+def register_views(wh: Warehouse) -> list[str]:
+    """Analyst access: temp views over the newest committed state, e.g.
+    ``spark.sql("SELECT * FROM sales_data_cube ORDER BY product_surrogate_id")``."""
+    runs = wh.committed()
+    if not runs:
+        return []
+    accumulating = {"landing", "clean", "errors"}
+    for view, table in VIEW_NAMES.items():
+        wh.read(table, runs if table in accumulating else runs[-1:]).createOrReplaceTempView(view)
+    return sorted(VIEW_NAMES)

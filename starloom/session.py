@@ -60,7 +60,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "scratch", f"{name}-{uuid.uuid4().hex}")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (never a local one): survives executor loss."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Materialise ``df`` as a parquet table in the shared folder and read it back.
+
+    Like a reliable checkpoint this survives executor loss and ends the
+    lineage, and unlike one the re-read keeps parquet column pruning, filter
+    pushdown and file-size statistics for the planner.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

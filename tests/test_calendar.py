@@ -47,3 +47,13 @@ def test_update_appends_only_new_rows(spark):
     assert added.count() == 1605 - 802 + 0
     again, _ = update_time_dimension(full, sales(spark, datetime(2019, 1, 5), datetime(2020, 2, 2)))
     assert again.count() == 0
+
+
+def test_update_time_table_via_catalog(spark):
+    from starloom.operators.calendar import update_time_table
+    spark.sql("DROP TABLE IF EXISTS time_dimension_t")
+    assert update_time_table(spark, "time_dimension_t", sales(spark, datetime(2019, 1, 5))) is None
+    build_time_dimension(sales(spark, datetime(2019, 1, 5))).write.saveAsTable("time_dimension_t")
+    assert update_time_table(spark, "time_dimension_t", sales(spark, datetime(2020, 1, 5))) == 803
+    assert spark.table("time_dimension_t").count() == 1605
+    spark.sql("DROP TABLE time_dimension_t")

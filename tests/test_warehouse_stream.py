@@ -95,3 +95,16 @@ def test_stream_equals_batch(spark):
                              as_of="2024-01-01 00:00:00")
     q.awaitTermination()
     check(warehouse_totals(wh))
+
+
+def test_analyst_views(spark):
+    from starloom.plans.warehouse import register_views
+    base = tempfile.mkdtemp(prefix="starloom-views-")
+    write_csv(os.path.join(base, "in", "b1"), BATCH1)
+    wh = Warehouse(spark, os.path.join(base, "wh"))
+    run_warehouse_batch(wh, read_landing_csv(spark, os.path.join(base, "in", "b1"), datetime(2024, 1, 1)), 0,
+                        "2024-01-01 00:00:00")
+    assert "sales_data_cube" in register_views(wh)
+    total = spark.sql("SELECT total_price_sum FROM sales_data_cube WHERE product_surrogate_id IS NULL "
+                      "AND time_id IS NULL AND address_id IS NULL").first()[0]
+    assert total == spark.sql("SELECT sum(total_price) FROM order_fact").first()[0]
