@@ -15,8 +15,24 @@ def parse_order_ts(c: Column | str) -> Column:
     Accepts one- or two-digit month, day and hour, and a two- or four-digit
     year; two-digit years below ``YEAR_PIVOT`` are 20xx, the others 19xx.
     Anything else (impossible dates, trailing text) gives NULL.
+
+    The shape is checked once with a regex; the value comes from Spark's
+    datetime formatter, with the pattern picked by the year's width (so no
+    row pays for a failed parse). Two-digit years parse into 2000-2099 and
+    are moved back a century from the pivot on; 19yy and 20yy share leap
+    years for yy >= 70, so the shift never lands on an invalid day.
     """
     s = col_(c)
+    year_text = F.substring_index(F.substring_index(s, " ", 1), "/", -1)
+    four = F.try_to_timestamp(s, F.lit("M/d/yyyy H:mm"))
+    two = F.try_to_timestamp(s, F.lit("M/d/yy H:mm"))
+    two = F.when(F.year(two) >= 2000 + YEAR_PIVOT, two - F.expr("INTERVAL 100 YEARS")).otherwise(two)
+    return F.when(s.rlike(ORDER_TS_RE), F.when(F.length(year_text) == 4, four).otherwise(two))
+
+
+def parse_order_ts_fields(c: Column | str) -> Column:
+    """Reference form of ``parse_order_ts`` built from the regex groups (slower)."""
+    s = col_(c)
 
     def grp(i: int) -> Column:
         return F.regexp_extract(s, ORDER_TS_RE, i).cast("int")

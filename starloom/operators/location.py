@@ -98,17 +98,27 @@ def build_location_hierarchy(addresses: DataFrame, parent_match: str = "city_pos
                      F.col("postal_code"), 2, F.concat(F.lit("S-"), F.col("state")))
 
     if parent_match == "city_postal":
-        cities_src = a.select("city", "postal_code", "state").distinct().withColumn(
-            "_parent", F.concat(F.lit("S-"), F.col("state"), F.trim("postal_code")))
-        cities_k = group_sequence(cities_src, ["_parent"], ["city"], "_n").withColumn(
-            "_id", F.concat(F.col("_parent"), F.lit("-C"), counter(F.col("_n")))).cache()
+        # Cities (within their postal node) and streets (within their city's
+        # path) are numbered in one skew-safe pass: a street's group is its
+        # (state, postal, city) key, so it does not wait for the city ids.
+        cities_src = a.select("state", "postal_code", F.lit(None).cast("string").alias("_gcity"),
+                              F.col("city").alias("_name"), F.lit(1).alias("_lvl")).distinct()
+        streets_src = a.select("state", "postal_code", F.col("city").alias("_gcity"),
+                               F.col("street").alias("_name"), F.lit(0).alias("_lvl")).distinct()
+        numbered = cut_lineage(group_sequence(cities_src.unionByName(streets_src),
+                                              ["_lvl", "state", "postal_code", "_gcity"], ["_name"], "_n"),
+                               "location-counters")
+        postal_id = F.concat(F.lit("S-"), F.col("state"), F.trim("postal_code"))
+        cities_k = numbered.filter("_lvl = 1").select(
+            F.col("_name").alias("city"), "postal_code", "state", postal_id.alias("_parent"),
+            F.concat(postal_id, F.lit("-C"), counter(F.col("_n"))).alias("_id"))
         cities = _nodes(cities_k, F.col("_id"), F.col("city"), 1, F.col("_parent"))
-        streets_src = (
-            a.select(*ADDRESS_PARTS).distinct()
-            .join(cities_k.select("city", "postal_code", "state", F.col("_id").alias("_parent")),
-                  ["city", "postal_code", "state"]))
-        streets_k = group_sequence(streets_src, ["_parent"], ["street"], "_n").withColumn(
-            "address_id", F.concat(F.col("_parent"), F.lit("-S"), counter(F.col("_n"))))
+        streets_k = (numbered.filter("_lvl = 0")
+                     .select(F.col("_name").alias("street"), F.col("_gcity").alias("city"),
+                             "postal_code", "state", "_n")
+                     .join(cities_k.select("city", "postal_code", "state", F.col("_id").alias("_parent")),
+                           ["city", "postal_code", "state"])
+                     .withColumn("address_id", F.concat(F.col("_parent"), F.lit("-S"), counter(F.col("_n")))))
         streets = _nodes(streets_k, F.col("address_id"), F.col("street"), 0, F.col("_parent"))
         keys = streets_k.select(*ADDRESS_PARTS, "address_id", F.col("_parent").alias("parent_id"))
     elif parent_match == "city":

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from starloom import schemas as S
 from starloom.functions.text import counter
-from starloom.operators.keys import sequence_ids
+from starloom.operators.keys import group_sequence
+from starloom.session import cut_lineage
 
 
 def categorise(df: DataFrame, col: str = "product",
@@ -53,25 +54,37 @@ def new_price_versions(clean: DataFrame, dim: DataFrame | None) -> DataFrame:
     return cand.join(seen, cond, "left_anti")
 
 
-def assign_product_ids(new: DataFrame, dim: DataFrame | None) -> DataFrame:
-    """O-16: known names keep their ``product_id``; new names get ``PROD-%05d``
-    continuing from the largest suffix, in order of first start date, then name."""
+def number_new_versions(new: DataFrame, dim: DataFrame | None) -> DataFrame:
+    """O-16 + surrogate keys: ``product_id`` and ``id`` for new versions.
+
+    Known names keep their ``product_id``; new names get ``PROD-%05d``
+    continuing from the largest suffix, in order of first start date, then
+    name. New versions get ``id`` continuing from the largest id, in order of
+    (start date, product, price). Both sequences come from one skew-safe
+    numbering pass (``group_sequence`` over a kind column).
+    """
     if dim is None:
-        known = None
-        next_id = F.lit(0)
+        known, next_pid, next_id = None, F.lit(0), F.lit(0)
     else:
         known = dim.groupBy("product").agg(F.min("product_id").alias("product_id"))
-        next_id = F.coalesce(dim.agg(F.max(F.substring("product_id", 6, 100).try_cast("int"))).scalar(),
-                             F.lit(0))
-    names = new.groupBy("product").agg(F.min("start_date").alias("_first"))
+        next_pid = F.coalesce(dim.agg(F.max(F.substring("product_id", 6, 100).try_cast("int"))).scalar(),
+                              F.lit(0))
+        next_id = F.coalesce(dim.agg(F.max("id")).scalar(), F.lit(0))
+    names = new.groupBy("product").agg(F.min("start_date").alias("_t"))
     if known is not None:
-        fresh = names.join(known, "product", "left_anti")
-    else:
-        fresh = names
-    numbered = sequence_ids(fresh, ["_first", "product"], "_n", start=next_id + 1).select(
-        "product", F.concat(F.lit(S.PRODUCT_ID_PREFIX), counter(F.col("_n"))).alias("product_id"))
-    ids = numbered if known is None else numbered.unionByName(known)
-    return new.join(ids, "product", "left")
+        names = names.join(known, "product", "left_anti")
+    both = names.select(F.lit("n").alias("_kind"), "_t", "product",
+                        F.lit(None).cast(S.PRICE_TYPE).alias("price_each")).unionByName(
+        new.select(F.lit("v").alias("_kind"), F.col("start_date").alias("_t"), "product", "price_each"))
+    numbered = cut_lineage(group_sequence(both, ["_kind"], ["_t", "product", "price_each"], "_n"),
+                           "product-counters")
+    fresh_ids = numbered.filter("_kind = 'n'").select(
+        "product", F.concat(F.lit(S.PRODUCT_ID_PREFIX), counter(F.col("_n") + next_pid)).alias("product_id"))
+    ids = fresh_ids if known is None else fresh_ids.unionByName(known)
+    versions = numbered.filter("_kind = 'v'").select(
+        (F.col("_n") + next_id).cast("long").alias("id"), "product", "price_each",
+        F.col("_t").alias("start_date"))
+    return versions.join(ids, "product", "left")
 
 
 def close_versions(versions: DataFrame) -> DataFrame:
@@ -93,10 +106,7 @@ def close_versions(versions: DataFrame) -> DataFrame:
 
 def scd2_merge(dim: DataFrame | None, new: DataFrame) -> DataFrame:
     """O-17: add categorised new versions with ids, then recompute end/current."""
-    with_pid = assign_product_ids(new, dim)
-    start = F.lit(1) if dim is None else F.coalesce(dim.agg(F.max("id")).scalar(), F.lit(0)) + 1
-    numbered = sequence_ids(with_pid, ["start_date", "product", "price_each"], "id", start=start)
-    added = categorise(numbered).select(
+    added = categorise(number_new_versions(new, dim)).select(
         "id", "product_id", "product", "price_each", "start_date",
         F.lit(None).cast("timestamp").alias("end_date"), F.lit(True).alias("curr_status"),
         "parent_id", "category_name")

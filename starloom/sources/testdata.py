@@ -15,6 +15,8 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.session import spread
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 # Product family suffix by p_partkey % 9, and the three batch stamps.
@@ -34,7 +36,7 @@ def _s(c: Column) -> Column:
 
 
 def dirty_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select(
+    li = spread(table(spark, sf_dir, "lineitem")).select(
         F.col("l_orderkey").alias("ok"), F.col("l_linenumber").alias("ln"),
         F.col("l_quantity").cast("int").alias("q"), F.col("l_partkey").alias("pk"))
     od = table(spark, sf_dir, "orders").select(
