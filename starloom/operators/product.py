@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom import schemas as S
@@ -92,15 +92,22 @@ def close_versions(versions: DataFrame) -> DataFrame:
 
     end_date = next distinct start - 1 day (NULL for the latest);
     curr_status = start equals the product's latest start (ties: several).
+
+    No window is partitioned by product (one product may hold a third of all
+    versions): distinct starts are ranked per product with the skew-safe
+    numbering, the next start is an equi join on (product, rank + 1) and the
+    latest start a partially aggregated max joined back.
     """
-    us = F.unix_micros(F.col("start_date"))
-    by_product = Window.partitionBy("product")
-    following = by_product.orderBy(us).rangeBetween(1, Window.unboundedFollowing)
-    nxt = F.min(us).over(following)
+    starts = versions.select("product", "start_date").distinct()
+    ranked = cut_lineage(group_sequence(starts, ["product"], ["start_date"], "_r"), "version-ranks")
+    following = ranked.select("product", (F.col("_r") - 1).alias("_r"), F.col("start_date").alias("_next"))
+    nxt = ranked.join(following, ["product", "_r"], "left").select("product", "start_date", "_next")
+    latest = starts.groupBy("product").agg(F.max("start_date").alias("_latest"))
     return (
-        versions
-        .withColumn("end_date", F.timestamp_micros(nxt) - F.expr("INTERVAL 1 DAY"))
-        .withColumn("curr_status", F.col("start_date") == F.max("start_date").over(by_product))
+        versions.join(nxt, ["product", "start_date"]).join(latest, "product")
+        .withColumn("end_date", F.col("_next") - F.expr("INTERVAL 1 DAY"))
+        .withColumn("curr_status", F.col("start_date") == F.col("_latest"))
+        .drop("_next", "_latest")
     )
 
 
@@ -138,7 +145,9 @@ def scd2_reversion(dim: DataFrame, clean: DataFrame) -> DataFrame:
                          .otherwise(F.col("end_date")))
              .withColumn("curr_status", F.when(F.col("_first_other").isNotNull(), F.lit(False))
                          .otherwise(F.col("curr_status"))))
-    latest = F.col("start_date") == F.max("start_date").over(Window.partitionBy("product"))
+    newest = dim.groupBy("product").agg(F.max("start_date").alias("_latest"))
+    step1 = step1.join(newest, "product")
+    latest = F.col("start_date") == F.col("_latest")
     step2 = (step1.withColumn("end_date", F.when(latest, F.lit(None).cast("timestamp"))
                               .otherwise(F.col("end_date")))
              .withColumn("curr_status", F.when(latest, F.lit(True)).otherwise(F.col("curr_status"))))
