@@ -122,6 +122,11 @@ def anti_dedup(new: DataFrame, existing: DataFrame | None, compare: str = "typed
         F.col("order_date").alias("_e_ts"), F.trim("purchase_address").alias("_e_addr"))
     if compare == "typed":
         probe = typed_columns(new)
+        # History is far larger than a batch: keep only the history rows whose
+        # order id occurs in the batch (a semi join AQE broadcasts when the
+        # batch's id set is small), so the anti join never shuffles all history.
+        batch_ids = probe.select(F.col("_oid").alias("_e_oid")).filter(F.col("_e_oid").isNotNull()).distinct()
+        ex = ex.join(batch_ids, "_e_oid", "left_semi")
         keys = [("_oid", "_e_oid"), ("_prod", "_e_prod"), ("_qty", "_e_qty"),
                 ("_price", "_e_price"), ("_ts", "_e_ts"), ("purchase_address", "_e_addr")]
         probe = probe.withColumn("_prod", F.lower("product"))

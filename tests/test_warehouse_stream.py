@@ -108,3 +108,21 @@ def test_analyst_views(spark):
     total = spark.sql("SELECT total_price_sum FROM sales_data_cube WHERE product_surrogate_id IS NULL "
                       "AND time_id IS NULL AND address_id IS NULL").first()[0]
     assert total == spark.sql("SELECT sum(total_price) FROM order_fact").first()[0]
+
+
+def test_load_landing_appends_and_fills_blanks(spark):
+    from starloom.sources.landing import load_landing
+    base = tempfile.mkdtemp(prefix="starloom-load-")
+    folder = os.path.join(base, "in")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "a.csv"), "w", newline="") as fh:
+        # Columns out of order, one missing, an extra one, an empty field, a quoted comma.
+        fh.write('Product,Order ID,Extra,Order Date,Price Each,Quantity Ordered\n')
+        fh.write('"Cable, USB",7,x,01/02/23 7:05,,2\n')
+    target = os.path.join(base, "landing")
+    load_landing(spark, folder, target, "2024-01-01 00:00:00")
+    load_landing(spark, folder, target, "2024-01-02 00:00:00")
+    rows = spark.read.parquet(target).collect()
+    assert len(rows) == 2
+    r = rows[0]
+    assert (r["order_id"], r["product"], r["price_each"], r["purchase_address"]) == ("7", "Cable, USB", "", "")
