@@ -45,6 +45,7 @@ SCHEMAS = {
     "landing": S.LANDING_SCHEMA, "clean": S.CLEAN_SCHEMA, "errors": S.ERROR_SCHEMA,
     "time_dim": S.TIME_SCHEMA, "location": S.LOCATION_SCHEMA, "street_keys": KEYS_SCHEMA,
     "product": S.PRODUCT_SCHEMA, "fact": FACT_SCHEMA, "cube": CUBE_SCHEMA, "_runs": LEDGER_SCHEMA,
+    "addresses": T.StructType([T.StructField(c, T.StringType()) for c in ("street", "city", "state", "postal_code")]),
 }
 
 
@@ -90,7 +91,6 @@ def run_warehouse_batch(wh: Warehouse, batch: DataFrame, run_id: int,
     done = [r for r in wh.committed() if r < run_id]
     prev = done[-1] if done else None
     wh.write(batch.select(*S.LANDING_SCHEMA.fieldNames()), "landing", run_id)
-    landing_all = wh.read("landing", done + [run_id])
 
     # 1. cleansing: latest batch, not already loaded, validated. Runs are
     # ordered, so the newest stamps are in this run's partition: only it is scanned.
@@ -104,13 +104,25 @@ def run_warehouse_batch(wh: Warehouse, batch: DataFrame, run_id: int,
     wh.write(errors_new, "errors", run_id)
     clean_all = wh.read("clean", done + [run_id])
 
-    # 2. calendar, 3. locations (from raw landing rows), 4. product versions
+    # 2. calendar
     wh.write(calendar.build_time_dimension(clean_all), "time_dim", run_id)
-    hierarchy, keys = location.build_location_hierarchy(location.clean_address_process(landing_all), parent_match)
+
+    # 3. locations, from raw landing rows. The distinct address set is kept
+    # per run (previous set + this batch), so history is never re-parsed; the
+    # hierarchy reads it through DISTINCTs only, so this equals a full rebuild.
+    fresh_addr = location.clean_address_process(wh.read("landing", [run_id]))
+    if prev is not None:
+        fresh_addr = fresh_addr.unionByName(wh.read("addresses", [prev]))
+    wh.write(fresh_addr.distinct(), "addresses", run_id)
+    hierarchy, keys = location.build_location_hierarchy(wh.read("addresses", [run_id]), parent_match)
     wh.write(hierarchy, "location", run_id)
     keys_full = keys if "state" in keys.columns else keys.withColumn("state", F.lit(None).cast("string"))
     wh.write(keys_full, "street_keys", run_id)
-    dim, _ = product.populate_product(clean_all, wh.read("product", [prev]) if prev is not None else None)
+
+    # 4. product versions. A (product, price) pair missing from the previous
+    # dimension can only come from this run's rows, so only they are scanned.
+    dim, _ = product.populate_product(wh.read("clean", [run_id]),
+                                      wh.read("product", [prev]) if prev is not None else None)
     wh.write(dim, "product", run_id)
 
     # 5. fact and 6. cube, from the stored dimensions
