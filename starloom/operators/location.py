@@ -105,9 +105,9 @@ def build_location_hierarchy(addresses: DataFrame, parent_match: str = "city_pos
                               F.col("city").alias("_name"), F.lit(1).alias("_lvl")).distinct()
         streets_src = a.select("state", "postal_code", F.col("city").alias("_gcity"),
                                F.col("street").alias("_name"), F.lit(0).alias("_lvl")).distinct()
-        numbered = cut_lineage(group_sequence(cities_src.unionByName(streets_src),
-                                              ["_lvl", "state", "postal_code", "_gcity"], ["_name"], "_n"),
-                               "location-counters")
+        # (the numbering materialises its ranked input, so re-reading this is cheap and stable)
+        numbered = group_sequence(cities_src.unionByName(streets_src),
+                                  ["_lvl", "state", "postal_code", "_gcity"], ["_name"], "_n")
         postal_id = F.concat(F.lit("S-"), F.col("state"), F.trim("postal_code"))
         cities_k = numbered.filter("_lvl = 1").select(
             F.col("_name").alias("city"), "postal_code", "state", postal_id.alias("_parent"),

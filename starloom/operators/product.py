@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from starloom import schemas as S
 from starloom.functions.text import counter
 from starloom.operators.keys import group_sequence
-from starloom.session import cut_lineage
 
 
 def categorise(df: DataFrame, col: str = "product",
@@ -76,8 +75,7 @@ def number_new_versions(new: DataFrame, dim: DataFrame | None) -> DataFrame:
     both = names.select(F.lit("n").alias("_kind"), "_t", "product",
                         F.lit(None).cast(S.PRICE_TYPE).alias("price_each")).unionByName(
         new.select(F.lit("v").alias("_kind"), F.col("start_date").alias("_t"), "product", "price_each"))
-    numbered = cut_lineage(group_sequence(both, ["_kind"], ["_t", "product", "price_each"], "_n"),
-                           "product-counters")
+    numbered = group_sequence(both, ["_kind"], ["_t", "product", "price_each"], "_n")
     fresh_ids = numbered.filter("_kind = 'n'").select(
         "product", F.concat(F.lit(S.PRODUCT_ID_PREFIX), counter(F.col("_n") + next_pid)).alias("product_id"))
     ids = fresh_ids if known is None else fresh_ids.unionByName(known)
@@ -99,7 +97,7 @@ def close_versions(versions: DataFrame) -> DataFrame:
     latest start a partially aggregated max joined back.
     """
     starts = versions.select("product", "start_date").distinct()
-    ranked = cut_lineage(group_sequence(starts, ["product"], ["start_date"], "_r"), "version-ranks")
+    ranked = group_sequence(starts, ["product"], ["start_date"], "_r")
     following = ranked.select("product", (F.col("_r") - 1).alias("_r"), F.col("start_date").alias("_next"))
     nxt = ranked.join(following, ["product", "_r"], "left").select("product", "start_date", "_next")
     latest = starts.groupBy("product").agg(F.max("start_date").alias("_latest"))

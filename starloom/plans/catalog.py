@@ -43,7 +43,6 @@ class Model:
         self.addresses = location.clean_address_process(self.landing)
         self.hierarchy, self.street_keys = location.build_location_hierarchy(self.addresses, parent_match)
         self.product, self.orders_updated = product.populate_product(self.clean)
-        self.product = cut_lineage(self.product)
 
     def fact(self, address_match: str = "keyed", price_mode: str = "current") -> DataFrame:
         return fact.build_order_fact(self.clean, self.product, self.time, self.hierarchy,
