@@ -52,6 +52,8 @@ SCHEMAS = {
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
+        # An empty append creates the ledger folder, so it can always be read.
+        spark.createDataFrame([], LEDGER_SCHEMA).write.mode("append").parquet(self._path("_runs"))
 
     def _path(self, table: str) -> str:
         return os.path.join(self.root, table)
@@ -71,16 +73,14 @@ class Warehouse:
 
     def committed(self) -> list[int]:
         """Finished runs, ascending. The ledger has one row per run (a small, bounded read)."""
-        try:
-            rows = self.spark.read.schema(LEDGER_SCHEMA).parquet(self._path("_runs")).select(RUN).collect()
-        except Exception:  # no run has finished yet
-            return []
-        return sorted({r[0] for r in rows})
+        rows = self.spark.read.schema(LEDGER_SCHEMA).parquet(self._path("_runs")).select(RUN).distinct().collect()
+        return sorted(r[0] for r in rows)
 
     def commit(self, run_id: int) -> None:
+        """Append the run's ledger row (a replayed run appends a duplicate, which reads the same)."""
         row = self.spark.range(1).select(F.lit(run_id).cast("long").alias(RUN),
                                          F.current_timestamp().alias("finished_at"))
-        row.write.mode("overwrite").parquet(os.path.join(self._path("_runs"), f"part={run_id}"))
+        row.coalesce(1).write.mode("append").parquet(self._path("_runs"))
 
 
 def run_warehouse_batch(wh: Warehouse, batch: DataFrame, run_id: int,
