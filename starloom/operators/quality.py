@@ -33,12 +33,21 @@ def latest_batch(df: DataFrame, ts: str = "updated_at") -> DataFrame:
     return df.filter(F.col(ts) >= df.agg(F.max(ts)).scalar())
 
 
-def typed_columns(df: DataFrame) -> DataFrame:
-    """Trim product and address, then add the parsed typed values (NULL if unparsable)."""
+def typed_columns(df: DataFrame, blank_is_null: bool = False) -> DataFrame:
+    """Trim product and address, then add the parsed typed values (NULL if unparsable).
+
+    ``blank_is_null`` (Q-10, off like the source): an empty product or address
+    counts as missing instead of passing the NOT NULL rules.
+    """
     qty_ok, price_ok, oid_ok = is_digits("quantity_ordered"), is_price_text("price_each"), is_digits("order_id")
+
+    def trimmed(c: str) -> Column:
+        t = F.trim(c)
+        return F.when(t != "", t) if blank_is_null else t
+
     return (
-        df.withColumn("product", F.trim("product"))
-        .withColumn("purchase_address", F.trim("purchase_address"))
+        df.withColumn("product", trimmed("product"))
+        .withColumn("purchase_address", trimmed("purchase_address"))
         .withColumn("_oid", F.when(oid_ok, F.col("order_id").try_cast("int")))
         .withColumn("_qty", F.when(qty_ok, F.col("quantity_ordered").try_cast("int")))
         .withColumn("_price", F.when(price_ok, F.col("price_each").try_cast(S.PRICE_TYPE)))
@@ -46,18 +55,28 @@ def typed_columns(df: DataFrame) -> DataFrame:
     )
 
 
-def error_reason(as_of: datetime | str | Column | None = None) -> Column:
+def error_reason(as_of: datetime | str | Column | None = None,
+                 max_lengths: Mapping[str, int] | None = None) -> Column:
     """First failing rule, evaluated in the source's order; NULL for a clean row.
 
     A NULL in a test never selects its branch (three-valued logic), so a row
     with NULL quantity or price and nothing else wrong ends as
-    ``Unknown validation error``.
+    ``Unknown validation error``. ``max_lengths`` (Q-13, opt-in, e.g.
+    ``schemas.LANDING_WIDTHS``) rejects over-long fields first: the source
+    would abort the whole load on them.
     """
     now = _as_of(as_of)
     oid, prod, qty, price = (F.col(c) for c in ("order_id", "product", "quantity_ordered", "price_each"))
     date, addr = F.col("order_date"), F.col("purchase_address")
+    headers = {c: h for h, c in S.CSV_HEADERS.items()}
+    chain = None
+    for c, n in (max_lengths or {}).items():
+        cond, reason = F.length(F.col(c)) > n, S.REASON_TOO_LONG.format(headers[c])
+        chain = F.when(cond, reason) if chain is None else chain.when(cond, reason)
+    first = ~F.coalesce(is_digits(oid), F.lit(False))
+    chain = F.when(first, S.REASON_ORDER_ID) if chain is None else chain.when(first, S.REASON_ORDER_ID)
     return (
-        F.when(~F.coalesce(is_digits(oid), F.lit(False)), S.REASON_ORDER_ID)
+        chain
         .when(F.col("_oid").isNull(), S.REASON_ORDER_ID_RANGE)
         .when(prod.isNull(), S.REASON_PRODUCT_NULL)
         .when(~is_digits(qty), S.REASON_QTY_FORMAT)
@@ -74,9 +93,10 @@ def error_reason(as_of: datetime | str | Column | None = None) -> Column:
     )
 
 
-def tag_rows(df: DataFrame, as_of: datetime | str | Column | None = None) -> DataFrame:
+def tag_rows(df: DataFrame, as_of: datetime | str | Column | None = None, blank_is_null: bool = False,
+             max_lengths: Mapping[str, int] | None = None) -> DataFrame:
     """Landing rows + typed values + ``error_reason``."""
-    return typed_columns(df).withColumn("error_reason", error_reason(as_of))
+    return typed_columns(df, blank_is_null).withColumn("error_reason", error_reason(as_of, max_lengths))
 
 
 def clean_of(tagged: DataFrame) -> DataFrame:
@@ -100,9 +120,10 @@ def errors_of(tagged: DataFrame, executed_time: datetime | str | Column | None =
 
 
 def validate_split(df: DataFrame, as_of: datetime | str | Column | None = None,
-                   executed_time: datetime | str | Column | None = None) -> tuple[DataFrame, DataFrame]:
+                   executed_time: datetime | str | Column | None = None, blank_is_null: bool = False,
+                   max_lengths: Mapping[str, int] | None = None) -> tuple[DataFrame, DataFrame]:
     """O-04: (clean, errors). Persist the tagged frame when both are consumed."""
-    tagged = tag_rows(df, as_of)
+    tagged = tag_rows(df, as_of, blank_is_null, max_lengths)
     return clean_of(tagged), errors_of(tagged, executed_time)
 
 
@@ -160,10 +181,11 @@ def assign_error_ids(errors: DataFrame, start: Column | int = 1) -> DataFrame:
 
 def clean_sales(landing: DataFrame, clean_existing: DataFrame | None = None,
                 as_of: datetime | str | Column | None = None, compare: str = "typed",
-                error_id_start: Column | int = 1, executed_time=None) -> tuple[DataFrame, DataFrame]:
+                error_id_start: Column | int = 1, executed_time=None, blank_is_null: bool = False,
+                max_lengths: Mapping[str, int] | None = None) -> tuple[DataFrame, DataFrame]:
     """O-05: latest batch -> anti dedup -> trim -> validate -> (clean, errors with ids)."""
     batch = anti_dedup(latest_batch(landing), clean_existing, compare)
-    tagged = tag_rows(batch, as_of)
+    tagged = tag_rows(batch, as_of, blank_is_null, max_lengths)
     clean = clean_of(tagged)
     errors = assign_error_ids(errors_of(tagged, executed_time), error_id_start)
     return clean, errors

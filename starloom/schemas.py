@@ -39,6 +39,11 @@ REASON_DATE_INVALID = "Invalid Order Date"
 REASON_DATE_FUTURE = "Order Date is in the future"
 REASON_ADDRESS_NULL = "Purchase Address is NULL"
 REASON_UNKNOWN = "Unknown validation error"
+# Opt-in length rule (ours): "<CSV header> is too long".
+REASON_TOO_LONG = "{} is too long"
+# Landing column widths of the source (VARCHAR(n)), for the opt-in length rule.
+LANDING_WIDTHS = {"order_id": 20, "product": 100, "quantity_ordered": 20, "price_each": 20,
+                  "order_date": 20, "purchase_address": 200}
 
 # Patterns (Java regex; \A..\z so a trailing newline never matches).
 DIGITS_RE = r"\A\d+\z"

@@ -110,3 +110,19 @@ def test_assert_quality_counts_violations(spark):
     rep = {r["check"]: r["violations"] for r in
            quality.assert_quality(df, {"positive": F.col("q") > 0, "present": F.col("q").isNotNull()}).collect()}
     assert rep == {"positive": 2, "present": 1}
+
+
+def test_blank_is_null_option(spark):
+    rows = [("6", "", "1", "1", "01/02/23 07:05", "a", None), ("7", "X", "1", "1", "01/02/23 07:05", "  ", None)]
+    df = landing(spark, rows)
+    default = {r["order_id"]: r["error_reason"] for r in quality.tag_rows(df, AS_OF).collect()}
+    assert default == {"6": None, "7": None}
+    strict = {r["order_id"]: r["error_reason"] for r in quality.tag_rows(df, AS_OF, blank_is_null=True).collect()}
+    assert strict == {"6": S.REASON_PRODUCT_NULL, "7": S.REASON_ADDRESS_NULL}
+
+
+def test_max_lengths_option(spark):
+    rows = [("1", "X" * 101, "1", "1", "01/02/23 07:05", "a", None), ("2", "X", "1", "1", "01/02/23 07:05", "a", None)]
+    got = {r["order_id"]: r["error_reason"] for r in
+           quality.tag_rows(landing(spark, rows), AS_OF, max_lengths=S.LANDING_WIDTHS).collect()}
+    assert got == {"1": "Product is too long", "2": None}
