@@ -34,7 +34,7 @@ def latest_batch(df: DataFrame, ts: str = "updated_at") -> DataFrame:
 
 
 def typed_columns(df: DataFrame, blank_is_null: bool = False) -> DataFrame:
-    """Trim product and address, then add the parsed typed values (NULL if unparsable).
+    """Add trimmed product/address and the parsed typed values (NULL if unparsable).
 
     ``blank_is_null`` (Q-10, off like the source): an empty product or address
     counts as missing instead of passing the NOT NULL rules.
@@ -45,9 +45,10 @@ def typed_columns(df: DataFrame, blank_is_null: bool = False) -> DataFrame:
         t = F.trim(c)
         return F.when(t != "", t) if blank_is_null else t
 
+    # Raw text stays as landed (addresses are parsed from it); trimmed copies drive the rules.
     return (
-        df.withColumn("product", trimmed("product"))
-        .withColumn("purchase_address", trimmed("purchase_address"))
+        df.withColumn("_product", trimmed("product"))
+        .withColumn("_address", trimmed("purchase_address"))
         .withColumn("_oid", F.when(oid_ok, F.col("order_id").try_cast("int")))
         .withColumn("_qty", F.when(qty_ok, F.col("quantity_ordered").try_cast("int")))
         .withColumn("_price", F.when(price_ok, F.col("price_each").try_cast(S.PRICE_TYPE)))
@@ -66,8 +67,8 @@ def error_reason(as_of: datetime | str | Column | None = None,
     would abort the whole load on them.
     """
     now = _as_of(as_of)
-    oid, prod, qty, price = (F.col(c) for c in ("order_id", "product", "quantity_ordered", "price_each"))
-    date, addr = F.col("order_date"), F.col("purchase_address")
+    oid, prod, qty, price = (F.col(c) for c in ("order_id", "_product", "quantity_ordered", "price_each"))
+    date, addr = F.col("order_date"), F.col("_address")
     headers = {c: h for h, c in S.CSV_HEADERS.items()}
     chain = None
     for c, n in (max_lengths or {}).items():
@@ -102,11 +103,11 @@ def tag_rows(df: DataFrame, as_of: datetime | str | Column | None = None, blank_
 def clean_of(tagged: DataFrame) -> DataFrame:
     return tagged.filter(F.col("error_reason").isNull()).select(
         F.col("_oid").alias("order_id"),
-        F.upper("product").alias("product"),
+        F.upper("_product").alias("product"),
         F.col("_qty").alias("quantity_ordered"),
         F.col("_price").alias("price_each"),
         F.col("_ts").alias("order_date"),
-        "purchase_address",
+        F.col("_address").alias("purchase_address"),
         "updated_at",
     )
 
@@ -115,7 +116,8 @@ def errors_of(tagged: DataFrame, executed_time: datetime | str | Column | None =
     """Rejected rows: the landing text (product/address trimmed) and the reason."""
     run_ts = F.col("updated_at") if executed_time is None else _as_of(executed_time)
     return tagged.filter(F.col("error_reason").isNotNull()).select(
-        *S.LANDING_COLUMNS, "error_reason",
+        "order_id", F.col("_product").alias("product"), "quantity_ordered", "price_each", "order_date",
+        F.col("_address").alias("purchase_address"), "error_reason",
         run_ts.alias("logged_at"), run_ts.alias("executed_time"))
 
 
@@ -149,8 +151,8 @@ def anti_dedup(new: DataFrame, existing: DataFrame | None, compare: str = "typed
         batch_ids = probe.select(F.col("_oid").alias("_e_oid")).filter(F.col("_e_oid").isNotNull()).distinct()
         ex = ex.join(batch_ids, "_e_oid", "left_semi")
         keys = [("_oid", "_e_oid"), ("_prod", "_e_prod"), ("_qty", "_e_qty"),
-                ("_price", "_e_price"), ("_ts", "_e_ts"), ("purchase_address", "_e_addr")]
-        probe = probe.withColumn("_prod", F.lower("product"))
+                ("_price", "_e_price"), ("_ts", "_e_ts"), ("_address", "_e_addr")]
+        probe = probe.withColumn("_prod", F.lower("_product"))
         cond = [probe[a] == ex[b] for a, b in keys]
         out = probe.join(ex, cond, "left_anti")
         return out.select(*new.columns)

@@ -305,7 +305,7 @@ ORACLE: dict[str, str] = {
     "latest_batch": f"WITH landing AS ({LANDING_SQL}) SELECT * FROM landing WHERE updated_at >= (SELECT max(updated_at) FROM landing)",
     "anti_dedup": f"""{BASE},
         prev AS (SELECT * FROM clean WHERE updated_at < (SELECT max(updated_at) FROM landing))
-        SELECT order_id, tproduct AS product, quantity_ordered, price_each, order_date, taddr AS purchase_address, updated_at
+        SELECT order_id, product, quantity_ordered, price_each, order_date, purchase_address, updated_at
         FROM typed t WHERE NOT EXISTS (SELECT 1 FROM prev e WHERE e.order_id = t.oid
           AND lower(trim(e.product)) = lower(t.tproduct) AND e.quantity_ordered = t.qty AND e.price_each = t.price
           AND e.order_date = t.ts AND trim(e.purchase_address) = t.taddr)""",
