@@ -193,4 +193,7 @@ def register_views(wh: Warehouse) -> list[str]:
     accumulating = {"landing", "clean", "errors"}
     for view, table in VIEW_NAMES.items():
         wh.read(table, runs if table in accumulating else runs[-1:]).createOrReplaceTempView(view)
-    return sorted(VIEW_NAMES)
+    # O-36: the source's Orders_Updated temp table (each sale -> its valid version).
+    product.map_orders_to_versions(wh.read("clean", runs), wh.read("product", runs[-1:])) \
+        .createOrReplaceTempView("orders_updated")
+    return sorted([*VIEW_NAMES, "orders_updated"])

@@ -88,3 +88,25 @@ def test_rollups_sum_to_total(spark):
         assert cube.rollup_time(f, t, lvl).agg(F.sum("total_price_sum")).first()[0] == total
     st = cube.rollup_location(f, h, 3).collect()
     assert [(r["address_id"], r["total_price_sum"]) for r in st] == [("S-TX", total)]
+
+
+def test_hot_product_and_address_third_of_rows(spark):
+    """One product at one address holds a third of all sales: results stay whole."""
+    import random
+    rnd = random.Random(7)
+    rows = []
+    for i in range(300):
+        if i % 3 == 0:
+            rows.append(("HOT TV", 1, "10.00", datetime(2020, 1, 1 + i % 28, 9), "1 Hot St, Austin, TX 73301"))
+        else:
+            n = rnd.randint(1, 20)  # one price per product: no tied versions
+            rows.append((f"P{n} LAPTOP", 1 + i % 3, f"{5 + n % 5}.00",
+                         datetime(2020, 2, 1 + i % 28, 10), f"{i} Side St, City{i % 7}, CA 9000{i % 5}"))
+    clean, t, h, k, dim = model(spark, rows)
+    f = fact.build_order_fact(clean, dim, t, h, k).cache()
+    assert f.count() == 300
+    current = {r["product"]: r["price_each"] for r in dim.filter("curr_status").collect()}
+    want = sum(q * current[p] for p, q, *_ in rows)
+    assert f.agg(F.sum("total_price")).first()[0] == want
+    grand = cube.cube_slice(cube.sales_cube(f), product_surrogate_id=None, time_id=None, address_id=None)
+    assert grand.first()["total_price_sum"] == want

@@ -108,6 +108,7 @@ def test_analyst_views(spark):
     total = spark.sql("SELECT total_price_sum FROM sales_data_cube WHERE product_surrogate_id IS NULL "
                       "AND time_id IS NULL AND address_id IS NULL").first()[0]
     assert total == spark.sql("SELECT sum(total_price) FROM order_fact").first()[0]
+    assert spark.sql("SELECT count(*) FROM orders_updated").first()[0] == 6
 
 
 def test_load_landing_appends_and_fills_blanks(spark):
