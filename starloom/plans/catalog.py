@@ -23,9 +23,14 @@ EARLY_CUTOFF = "1998-01-01 00:00:00"
 
 # -- shared building blocks ------------------------------------------------------
 
-def tagged(spark: SparkSession, sf: str) -> DataFrame:
-    """Landing rows with typed values and their reason, materialised once."""
-    return cut_lineage(quality.tag_rows(dirty_landing(spark, sf), AS_OF))
+def tagged(spark: SparkSession, sf: str, materialise: bool = False) -> DataFrame:
+    """Landing rows with typed values and their reason.
+
+    Materialised (written once, then read with pruning and pushdown) only
+    where several consumers read it; a single consumer streams through.
+    """
+    t = quality.tag_rows(dirty_landing(spark, sf), AS_OF)
+    return cut_lineage(t, "tagged") if materialise else t
 
 
 def clean(spark: SparkSession, sf: str, t: DataFrame | None = None) -> DataFrame:
@@ -36,7 +41,7 @@ class Model:
     """The warehouse built from one landing: clean, calendar, locations, product."""
 
     def __init__(self, spark: SparkSession, sf: str, parent_match: str = "city_postal"):
-        self.tagged = tagged(spark, sf)
+        self.tagged = tagged(spark, sf, materialise=True)
         self.landing = self.tagged.select(*S.LANDING_COLUMNS, "updated_at")
         self.clean = quality.clean_of(self.tagged)
         self.time = calendar.build_time_dimension(self.clean)
