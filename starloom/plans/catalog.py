@@ -23,11 +23,13 @@ EARLY_CUTOFF = "1998-01-01 00:00:00"
 
 # -- shared building blocks ------------------------------------------------------
 
-def tagged(spark: SparkSession, sf: str, materialise: bool = False) -> DataFrame:
-    """Landing rows with typed values and their reason.
+def tagged(spark: SparkSession, sf: str, materialise: bool = True) -> DataFrame:
+    """Landing rows with typed values and their reason, materialised once.
 
-    Materialised (written once, then read with pruning and pushdown) only
-    where several consumers read it; a single consumer streams through.
+    The rules are evaluated exactly once, by the write; the consumers read
+    the table with pruning and pushdown. (Streaming it instead lets the
+    optimizer push ``error_reason IS NULL`` below the projection that
+    computes it, which evaluates the whole rule chain twice per row.)
     """
     t = quality.tag_rows(dirty_landing(spark, sf), AS_OF)
     return cut_lineage(t, "tagged") if materialise else t
@@ -41,7 +43,7 @@ class Model:
     """The warehouse built from one landing: clean, calendar, locations, product."""
 
     def __init__(self, spark: SparkSession, sf: str, parent_match: str = "city_postal"):
-        self.tagged = tagged(spark, sf, materialise=True)
+        self.tagged = tagged(spark, sf)
         self.landing = self.tagged.select(*S.LANDING_COLUMNS, "updated_at")
         self.clean = quality.clean_of(self.tagged)
         self.time = calendar.build_time_dimension(self.clean)
