@@ -140,15 +140,3 @@ def build_location_hierarchy(addresses: DataFrame, parent_match: str = "city_pos
 
     hierarchy = states.unionByName(postals).unionByName(cities).unionByName(streets)
     return hierarchy, keys
-
-
-def ancestors(hierarchy: DataFrame) -> DataFrame:
-    """Street node -> (city, postal, state) ancestor ids: three fixed-depth self joins."""
-    h = hierarchy.select("address_id", "parent_id", "level")
-    street = h.filter("level = 0").select(F.col("address_id").alias("street_id"),
-                                          F.col("parent_id").alias("city_id"))
-    city = h.filter("level = 1").select(F.col("address_id").alias("city_id"),
-                                        F.col("parent_id").alias("postal_id"))
-    postal = h.filter("level = 2").select(F.col("address_id").alias("postal_id"),
-                                          F.col("parent_id").alias("state_id"))
-    return street.join(city, "city_id", "left").join(postal, "postal_id", "left")

@@ -13,7 +13,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.schemas import CSV_HEADERS, CSV_SCHEMA, LANDING_COLUMNS
+from starloom.schemas import CSV_HEADERS, LANDING_COLUMNS
 
 
 def _stamp(batch_ts: datetime | str | Column | None) -> Column:
@@ -51,18 +51,6 @@ def read_landing_csv(spark: SparkSession, paths: str | Sequence[str],
     return to_landing(raw, batch_ts)
 
 
-def read_landing_stream(spark: SparkSession, directory: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """Streaming CSV source over a landing folder (fixed schema, header row)."""
-    raw = (
-        spark.readStream.schema(CSV_SCHEMA).option("header", True)
-        .option("enforceSchema", False)
-        .option("quote", '"').option("escape", '"')
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .csv(directory)
-    )
-    return raw
-
-
 def write_landing_csv(df: DataFrame, path: str) -> None:
     """Write landing rows back out as CSV with the original headers."""
     out = df.select(*[F.col(c).alias(h) for h, c in CSV_HEADERS.items()])
@@ -78,5 +66,4 @@ def load_landing(spark: SparkSession, paths: str | Sequence[str], target: str,
     return df
 
 
-__all__ = ["LANDING_COLUMNS", "to_landing", "read_landing_csv", "read_landing_stream",
-           "write_landing_csv", "load_landing"]
+__all__ = ["LANDING_COLUMNS", "to_landing", "read_landing_csv", "write_landing_csv", "load_landing"]
