@@ -187,7 +187,10 @@ def clean_sales(landing: DataFrame, clean_existing: DataFrame | None = None,
                 max_lengths: Mapping[str, int] | None = None) -> tuple[DataFrame, DataFrame]:
     """O-05: latest batch -> anti dedup -> trim -> validate -> (clean, errors with ids)."""
     batch = anti_dedup(latest_batch(landing), clean_existing, compare)
-    tagged = tag_rows(batch, as_of, blank_is_null, max_lengths)
+    # Both outputs read one materialised tagged batch: the rules and the
+    # anti join run once per row, not once per output.
+    from starloom.session import cut_lineage
+    tagged = cut_lineage(tag_rows(batch, as_of, blank_is_null, max_lengths), "tagged-batch")
     clean = clean_of(tagged)
     errors = assign_error_ids(errors_of(tagged, executed_time), error_id_start)
     return clean, errors
