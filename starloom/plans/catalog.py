@@ -172,6 +172,12 @@ def q_product_dim_incremental(spark, sf):
     return second
 
 
+def q_product_ids(spark, sf):
+    """O-16: product ids after two runs (early sales, then all): known names keep
+    their id, new names continue from the largest suffix."""
+    return q_product_dim_incremental(spark, sf).select("product", "product_id").distinct()
+
+
 def q_orders_updated(spark, sf):
     c = clean(spark, sf)
     dim, mapped = product.populate_product(c)

@@ -332,6 +332,7 @@ ORACLE: dict[str, str] = {
     "product_scd2": f"{BASE},{PRODUCT_CTES} SELECT * FROM pdim",
     "product_dim_incremental": _incremental_product(),
     "scd2_reversion": f"{BASE},{PRODUCT_CTES} SELECT * FROM pdim",
+    "product_ids": f"SELECT DISTINCT product, product_id FROM ({_incremental_product()})",
     "orders_updated": f"""{BASE},{PRODUCT_CTES}
         SELECT s.order_id, s.product, d.id AS product_sk, d.parent_id AS category_id, s.price_each, s.order_date
         FROM clean s JOIN pdim d ON s.product = d.product AND round(s.price_each, 2) = round(d.price_each, 2)
