@@ -32,6 +32,11 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     b = SparkSession.builder.master(master).appName(app_name)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master.startswith("local"):
+        # Small local data: let AQE keep post-shuffle partitions down to 64 KB so
+        # CPU-heavy stages over small frames still use every core. Clusters keep
+        # Spark's defaults (their partitions are far above this floor).
+        conf["spark.sql.adaptive.coalescePartitions.minPartitionSize"] = "64k"
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
