@@ -127,3 +127,21 @@ def test_load_landing_appends_and_fills_blanks(spark):
     assert len(rows) == 2
     r = rows[0]
     assert (r["order_id"], r["product"], r["price_each"], r["purchase_address"]) == ("7", "Cable, USB", "", "")
+
+
+def test_repeated_file_adds_no_clean_rows(spark):
+    base = tempfile.mkdtemp(prefix="starloom-repeat-")
+    src = os.path.join(base, "landing")
+    wh = Warehouse(spark, os.path.join(base, "wh"))
+    stamps = [datetime(2024, 1, 1), datetime(2024, 1, 2), datetime(2024, 1, 3)]
+    for k, rows in enumerate([BATCH1, BATCH2, BATCH1]):
+        write_csv(os.path.join(src, f"batch={k}"), rows)
+    q = start_landing_stream(spark, src, wh, os.path.join(base, "ckpt"), stamp_for=lambda k: stamps[k],
+                             as_of="2024-01-01 00:00:00")
+    q.awaitTermination()
+    got = {r["table_name"]: (r["row_count"], r["amount"]) for r in warehouse_totals(wh).collect()}
+    want = expected()
+    for table in ("clean", "product", "fact"):
+        assert got[table] == want[table], table
+    # Rejected rows are not deduplicated (as in the source): the header row is logged again.
+    assert got["errors"][0] == want["errors"][0] + 1
