@@ -110,3 +110,13 @@ def test_hot_product_and_address_third_of_rows(spark):
     assert f.agg(F.sum("total_price")).first()[0] == want
     grand = cube.cube_slice(cube.sales_cube(f), product_surrogate_id=None, time_id=None, address_id=None)
     assert grand.first()["total_price_sum"] == want
+
+
+def test_location_rollups_at_every_level_sum_to_total(spark):
+    clean, t, h, k, dim = model(spark, ROWS + [("TV", 2, "50.00", datetime(2020, 4, 2, 9), "7 C St, Dallas, TX 75001")])
+    f = fact.build_order_fact(clean, dim, t, h, k).cache()
+    total = f.agg(F.sum("total_price")).first()[0]
+    for level, n_nodes in ((0, 3), (1, 2), (2, 2), (3, 1)):
+        r = cube.rollup_location(f, h, level)
+        assert r.count() == n_nodes
+        assert r.agg(F.sum("total_price_sum")).first()[0] == total
