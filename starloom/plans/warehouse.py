@@ -1,9 +1,9 @@
 """One warehouse run per arriving landing batch (O-24), and the run ledger.
 
-Every table lives under ``<root>/<table>/run_id=<n>/``. Accumulating tables
-(landing, clean, errors) keep one partition per run; rebuilt tables
-(calendar, locations, product, fact, cube) write a full new version per run
-and readers take the newest committed one. A run overwrites only its own
+Accumulating tables (landing, clean, errors) keep one folder per run,
+``<root>/<table>/run_id=<n>/``. Rebuilt tables (calendar, addresses,
+locations, product, fact, cube) write a full new version per run into one of
+two slots, so the previous version stays readable and at most two copies exist. A run overwrites only its own
 partitions and commits by writing its ledger row last, so re-running a run
 (a replayed stream batch, a lost executor, a killed job) is idempotent.
 Tables are read back from storage between stages, which also cuts lineage.
@@ -49,27 +49,43 @@ SCHEMAS = {
 }
 
 
+# Rebuilt tables keep two versions (the previous run's and the current run's)
+# in two slots picked by the run's position in the ledger: the previous
+# version stays readable while the next is written, a replayed run rewrites its
+# own slot, and storage never exceeds two full copies.
+ROLLING = {"time_dim", "addresses", "location", "street_keys", "product", "fact", "cube"}
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
+        self._ledger: list[int] | None = None  # pinned for the duration of one run
         # An empty append creates the ledger folder, so it can always be read.
         spark.createDataFrame([], LEDGER_SCHEMA).write.mode("append").parquet(self._path("_runs"))
 
     def _path(self, table: str) -> str:
         return os.path.join(self.root, table)
 
+    def _dir(self, table: str, run_id: int, committed: list[int] | None = None) -> str:
+        if table not in ROLLING:
+            return os.path.join(self._path(table), f"{RUN}={run_id}")
+        done = committed if committed is not None else (
+            self._ledger if self._ledger is not None else self.committed())
+        position = sum(1 for r in done if r < run_id)
+        return os.path.join(self._path(table), f"slot={position % 2}")
+
     def write(self, df: DataFrame, table: str, run_id: int) -> None:
         cols = SCHEMAS[table].fieldNames()
-        df.select(*cols).write.mode("overwrite").parquet(os.path.join(self._path(table), f"{RUN}={run_id}"))
+        df.select(*cols).write.mode("overwrite").parquet(self._dir(table, run_id))
 
     def read(self, table: str, runs: list[int]) -> DataFrame | None:
-        """Union of the given runs' partitions (None when no run is given)."""
+        """Union of the given runs' data (None when no run is given). A rolling
+        table can only be read for the latest two runs."""
         if not runs:
             return None
-        schema = T.StructType(list(SCHEMAS[table].fields) + [T.StructField(RUN, T.LongType())])
-        df = self.spark.read.schema(schema).option("basePath", self._path(table)).parquet(
-            *[os.path.join(self._path(table), f"{RUN}={r}") for r in runs])
-        return df.drop(RUN)
+        done = (self._ledger if self._ledger is not None else self.committed()) if table in ROLLING else None
+        paths = sorted({self._dir(table, r, done) for r in runs})
+        return self.spark.read.schema(SCHEMAS[table]).parquet(*paths)
 
     def committed(self) -> list[int]:
         """Finished runs, ascending. The ledger has one row per run (a small, bounded read)."""
@@ -87,8 +103,21 @@ def run_warehouse_batch(wh: Warehouse, batch: DataFrame, run_id: int,
                         as_of: datetime | str | Column | None = None, compare: str = "typed",
                         parent_match: str = "city_postal", address_match: str = "keyed",
                         price_mode: str = "current", fact_mode: str = "rebuild") -> None:
-    """Land one batch and rebuild every downstream table (the source's trigger chain)."""
-    done = [r for r in wh.committed() if r < run_id]
+    """Land one batch and rebuild every downstream table (the source's trigger chain).
+
+    Re-running the latest run (a replayed stream epoch, a retried job) is
+    idempotent; older runs cannot be re-run once a later one has committed.
+    """
+    wh._ledger = wh.committed()
+    try:
+        _run(wh, batch, run_id, as_of, compare, parent_match, address_match, price_mode, fact_mode)
+    finally:
+        wh._ledger = None
+
+
+def _run(wh: Warehouse, batch: DataFrame, run_id: int, as_of, compare: str, parent_match: str,
+         address_match: str, price_mode: str, fact_mode: str) -> None:
+    done = [r for r in wh._ledger if r < run_id]
     prev = done[-1] if done else None
     wh.write(batch.select(*S.LANDING_SCHEMA.fieldNames()), "landing", run_id)
 
