@@ -123,7 +123,8 @@ def identify(rows: DataFrame, langs: list[str], table: np.ndarray, accept: float
     base = (whole + 1.0) / (whole.sum() + n)
 
     @F.arrow_udf("array<double>")
-    def fuse(scores, own, host, domain, declared, suffix) -> pa.Array:
+    def fuse(scores: pa.Array, own: pa.Array, host: pa.Array, domain: pa.Array, declared: pa.Array,
+             suffix: pa.Array) -> pa.Array:
         own = _matrix(own, n)
         others = lambda c: np.maximum(_matrix(c, n) - own, 0.0)  # noqa: E731  without the row itself
         prior = np.tile(base, (len(own), 1))
