@@ -8,7 +8,8 @@ declaration or suffix goes with each language, and how the languages of a host a
 domain's, the domain's towards those of all rows (``SMOOTH`` pseudo-rows a level); a row's own share is taken out of its
 host's and domain's counts first.
 
-The text model is fitted on ``SAMPLE`` labelled documents at most (least digests of id first): the only bounded sample here.
+The text model is fitted on about ``SAMPLE`` labelled documents (those whose digest of id falls under SAMPLE / rows; all of
+them in smaller tables): the only bounded sample here.
 
 Defined results: a row without any letter trigram (NULL, empty, digits, symbols) has language NULL and confidence 0: rejected. So is a row whose
 best language has a posterior under ``accept``. NULL or unparsable addresses, and NULL declarations, are values of their own; repeated rows give equal rows.
@@ -58,8 +59,10 @@ def fit_text_model(labelled: DataFrame, sample: int = SAMPLE) -> tuple[list[str]
             yield pa.record_batch([pa.array(x) for x in zip(*out)] if out else
                                   [pa.array([], pa.string()), pa.array([], pa.int64()), pa.array([], pa.int64())],
                                   ["lang", "bucket", "n"])
-    taken = (labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-             .orderBy(F.xxhash64("id"), "id").limit(sample).select("text", "lang"))
+    usable = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    n = usable.count()
+    place = F.pmod(F.xxhash64(F.col("id").cast("string"), "lang"), F.lit(1 << 40)) / float(1 << 40)
+    taken = usable.filter(place < sample / max(n, 1)).select("text", "lang")
     rows = (taken.mapInArrow(count, "lang string, bucket long, n long")
             .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect())  # languages x BUCKETS at most
     langs = sorted({r.lang for r in rows})
