@@ -26,7 +26,7 @@ from starloom.llm.common import read, utf8
 from starloom.llm.repeats import Windows, blocks, recurring
 
 WINDOW, GRAM = 100, 24
-SHARD = 2 << 20
+SHARD = 1 << 20
 _TABLE = np.random.default_rng(20240501).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 RESULT = T.StructType([T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
