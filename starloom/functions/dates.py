@@ -30,23 +30,6 @@ def parse_order_ts(c: Column | str) -> Column:
     return F.when(s.rlike(ORDER_TS_RE), F.when(F.length(year_text) == 4, four).otherwise(two))
 
 
-def parse_order_ts_fields(c: Column | str) -> Column:
-    """Reference form of ``parse_order_ts`` built from the regex groups (slower)."""
-    s = col_(c)
-
-    def grp(i: int) -> Column:
-        return F.regexp_extract(s, ORDER_TS_RE, i).cast("int")
-
-    yy = F.regexp_extract(s, ORDER_TS_RE, 3)
-    year = (
-        F.when(F.length(yy) == 4, yy.cast("int"))
-        .when(yy.cast("int") < YEAR_PIVOT, yy.cast("int") + 2000)
-        .otherwise(yy.cast("int") + 1900)
-    )
-    ts = F.try_make_timestamp(year, grp(1), grp(2), grp(4), grp(5), F.lit(0))
-    return F.when(s.rlike(ORDER_TS_RE), ts)
-
-
 def iso_week_year(d: Column) -> Column:
     return F.extract(F.lit("YEAROFWEEK"), d)
 

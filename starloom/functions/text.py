@@ -23,8 +23,9 @@ def is_price_text(c: Column | str) -> Column:
 
 
 def counter(n: Column, width: int = ID_COUNTER_WIDTH) -> Column:
-    """Zero-padded counter; like LPAD it truncates past ``width`` digits."""
-    return F.lpad(n.cast("string"), width, "0")
+    """Counter padded with zeros to at least ``width`` digits, never truncated."""
+    text = n.cast("string")
+    return F.when(F.length(text) >= width, text).otherwise(F.lpad(text, width, "0"))
 
 
 def part(s: Column, delim: str, n: int) -> Column:

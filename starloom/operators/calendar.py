@@ -81,10 +81,16 @@ def build_time_dimension(df: DataFrame, date_col: str = "order_date") -> DataFra
 
 
 def update_time_dimension(dim: DataFrame, df: DataFrame, date_col: str = "order_date") -> tuple[DataFrame, DataFrame]:
-    """O-07: (rows to append, updated dimension) - set difference, NULL-equal."""
+    """O-07: (new or changed rows, updated dimension) - set difference, NULL-equal.
+
+    A stored row whose key comes again with other values (the days before the first full week, once an
+    earlier year has arrived) is replaced, so keys stay unique.
+    """
     fresh = build_time_dimension(df, date_col)
-    added = fresh.subtract(dim.select(*fresh.columns))
-    return added, dim.select(*fresh.columns).unionByName(added)
+    stored = dim.select(*fresh.columns)
+    added = fresh.subtract(stored)
+    kept = stored.join(added.select("time_combined_id"), "time_combined_id", "left_anti").select(*fresh.columns)
+    return added, kept.unionByName(added)
 
 
 def main_days(dim: DataFrame) -> DataFrame:
@@ -93,10 +99,10 @@ def main_days(dim: DataFrame) -> DataFrame:
 
 
 def update_time_table(spark, table: str, df: DataFrame, date_col: str = "order_date") -> int | None:
-    """O-07 + O-42 on a catalog table: append the missing calendar rows.
+    """O-07 + O-42 on a catalog table: append the missing calendar rows, replace changed ones.
 
     Does nothing (returns None) when the table does not exist, as the source's
-    update silently aborts; otherwise returns the number of rows appended.
+    update silently aborts; otherwise returns the number of rows appended or replaced.
     """
     if not spark.catalog.tableExists(table):
         return None
@@ -106,6 +112,9 @@ def update_time_table(spark, table: str, df: DataFrame, date_col: str = "order_d
     from starloom.session import cut_lineage
     added = cut_lineage(added.select(*current.columns), "time-added")
     n = added.count()
-    if n:
+    if n and current.join(added, "time_combined_id", "left_semi").isEmpty():
         added.write.insertInto(table)
+    elif n:
+        kept = current.join(added.select("time_combined_id"), "time_combined_id", "left_anti").select(*current.columns)
+        cut_lineage(kept.unionByName(added), "time-updated").write.insertInto(table, overwrite=True)
     return n

@@ -105,11 +105,16 @@ def run_warehouse_batch(wh: Warehouse, batch: DataFrame, run_id: int,
                         price_mode: str = "current", fact_mode: str = "rebuild") -> None:
     """Land one batch and rebuild every downstream table (the source's trigger chain).
 
-    Re-running the latest run (a replayed stream epoch, a retried job) is
-    idempotent; older runs cannot be re-run once a later one has committed.
+    A committed run is skipped, so a replayed stream epoch or a retried job changes nothing, whatever committed
+    after it. A run older than the newest committed one that did not commit itself is refused: its
+    arrival would be read as the newest.
     """
     wh._ledger = wh.committed()
     try:
+        if run_id in wh._ledger:
+            return
+        if wh._ledger and run_id < wh._ledger[-1]:
+            raise ValueError(f"run {run_id} is older than the committed run {wh._ledger[-1]}")
         _run(wh, batch, run_id, as_of, compare, parent_match, address_match, price_mode, fact_mode)
     finally:
         wh._ledger = None

@@ -8,7 +8,8 @@ never NULL, as the upload front end wrote them.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,20 +36,27 @@ def to_landing(raw: DataFrame, batch_ts: datetime | str | Column | None = None)
 
 
 def read_landing_csv(spark: SparkSession, paths: str | Sequence[str],
-                     batch_ts: datetime | str | Column | None = None) -> DataFrame:
+                     batch_ts: datetime | str | Column | None = None, multi_line: bool = False) -> DataFrame:
     """Read one or many CSV files (header row, quoted commas) as landing rows.
 
-    Columns are matched by header name; the header row is only consulted for
-    names, so the scan stays a plain parallel CSV read with no inference.
+    Columns are matched by header name, file by file: each file's first line is
+    read, and files of one header are scanned together as a plain parallel CSV
+    read with no inference. ``multi_line`` accepts quoted line breaks; it is off
+    by default because such files cannot be split.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    raw = (
+    reader = (
         spark.read.option("header", True).option("inferSchema", False)
-        .option("quote", '"').option("escape", '"').option("multiLine", False)
+        .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-        .csv(paths)
     )
-    return to_landing(raw, batch_ts)
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file in sorted(spark.read.text(paths).inputFiles()):
+        by_header.setdefault(tuple(reader.csv(file).columns), []).append(file)
+    if not by_header:
+        return to_landing(reader.csv(paths), batch_ts)
+    stamp = F.lit(datetime.now(timezone.utc)) if batch_ts is None else batch_ts
+    return reduce(DataFrame.unionByName, [to_landing(reader.csv(files), stamp) for files in by_header.values()])
 
 
 def write_landing_csv(df: DataFrame, path: str) -> None:

@@ -42,8 +42,10 @@ def start_landing_stream(spark: SparkSession, landing_dir: str, wh: Warehouse, c
     def each(df: DataFrame, epoch_id: int) -> None:
         # Arrival folders in this micro-batch: bounded by the files per trigger.
         arrivals = sorted(r[0] for r in df.select("batch").distinct().collect())
+        if len(arrivals) > RUNS_PER_EPOCH:
+            raise ValueError(f"{len(arrivals)} arrivals in one micro-batch: set max_files_per_trigger")
         for i, k in enumerate(arrivals):
-            ts = stamp_for(k) if stamp_for else datetime.now(timezone.utc).replace(tzinfo=None)
+            ts = stamp_for(k) if stamp_for else datetime.now(timezone.utc)
             rows = to_landing(df.filter(F.col("batch") == k).drop("batch"), ts)
             run_warehouse_batch(wh, rows, epoch_id * RUNS_PER_EPOCH + i, as_of, **options)
 

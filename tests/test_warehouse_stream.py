@@ -17,18 +17,18 @@ from starloom.streaming.trigger import start_landing_stream
 
 HEADER = ["Order ID", "Product", "Quantity Ordered", "Price Each", "Order Date", "Purchase Address"]
 BATCH1 = [
-    ["100", "AA Batteries (4-pack)", "4", "3.84", "09/17/19 14:44", "380 North St, Los Angeles, CA 90001"],
-    ["101", "USB-C Charging Cable", "2", "11.95", "09/29/2019 10:19", "511 8th St, Austin, TX 73301"],
-    ["102", "27in FHD Monitor", "1", "149.99", "09/07/2019 9:59", "355 Hickory St, Seattle, WA 98101"],
-    ["103", "Wired Headphones", "1", "11.99", "09/02/19 08:00", "12 Elm St, Portland, ME 04101"],
-    ["104", "Wired Headphones", "2", "11.99", "09/03/19 08:00", "40 Oak St, Portland, OR 97035"],
-    ["104", "Wired Headphones", "2", "11.99", "09/03/19 08:00", "40 Oak St, Portland, OR 97035"],
+    ["100", "Garden Batteries box", "4", "6.35", "03/05/19 16:20", "17 Lantern Row, Mill Haven, KS 66002"],
+    ["101", "Braided Cable 3m", "2", "8.45", "03/11/2019 11:35", "6 Quarry Ln, Dunmore, NV 89007"],
+    ["102", "Kestrel Monitor", "1", "212.40", "03/08/2019 7:42", "92 Tidewater Rd, Ferrow, MN 55011"],
+    ["103", "Osprey Headphones", "1", "17.25", "03/02/19 06:15", "3 Copper Ct, Westlow, VT 05033"],
+    ["104", "Osprey Headphones", "2", "17.25", "03/04/19 06:15", "8 Juniper Way, Westlow, ID 83209"],
+    ["104", "Osprey Headphones", "2", "17.25", "03/04/19 06:15", "8 Juniper Way, Westlow, ID 83209"],
     ["Order ID", "Product", "Quantity Ordered", "Price Each", "Order Date", "Purchase Address"],
 ]
 BATCH2 = [
-    ["105", "27in FHD Monitor", "1", "139.99", "10/01/19 09:00", "355 Hickory St, Seattle, WA 98101"],
-    ["100", "AA Batteries (4-pack)", "4", "3.84", "09/17/19 14:44", "380 North St, Los Angeles, CA 90001"],
-    ["106", "Macbook Pro Laptop", "0", "1700", "10/02/19 11:00", "1 Pine St, Austin, TX 73301"],
+    ["105", "Kestrel Monitor", "1", "198.70", "04/01/19 09:30", "92 Tidewater Rd, Ferrow, MN 55011"],
+    ["100", "Garden Batteries box", "4", "6.35", "03/05/19 16:20", "17 Lantern Row, Mill Haven, KS 66002"],
+    ["106", "Heron Laptop", "0", "903.10", "04/02/19 13:10", "5 Orchard Sq, Dunmore, NV 89007"],
 ]
 
 
@@ -45,8 +45,8 @@ def expected():
     # batch 2: the re-sent order 100 is skipped, order 106 rejected (quantity 0)
     clean = [r for r in BATCH1 if r[0] != "Order ID"] + [BATCH2[0]]
     amount = sum(int(r[2]) * Decimal(r[3]) for r in clean)
-    current = {"AA BATTERIES (4-PACK)": Decimal("3.84"), "USB-C CHARGING CABLE": Decimal("11.95"),
-               "27IN FHD MONITOR": Decimal("139.99"), "WIRED HEADPHONES": Decimal("11.99")}
+    current = {"GARDEN BATTERIES BOX": Decimal("6.35"), "BRAIDED CABLE 3M": Decimal("8.45"),
+               "KESTREL MONITOR": Decimal("198.70"), "OSPREY HEADPHONES": Decimal("17.25")}
     fact = sum(int(r[2]) * current[r[1].upper()] for r in clean)
     return {"clean": (7, amount), "errors": (2, Decimal(3)), "product": (5, sum(current.values())),
             "fact": (7, fact), "time_dim": (802, 0)}
@@ -57,7 +57,7 @@ def check(totals):
     for table, (rows, amount) in expected().items():
         assert got[table][0] == rows, table
         assert got[table][1] == amount, table
-    # 8 states... locations: CA/TX/WA/ME/OR states, 5 postal, 5 cities (Portland twice), 6 streets
+    # 5 states, 5 postal codes, 5 cities (Westlow twice), 6 streets
     assert got["location"][0] == 5 + 5 + 5 + 6
     assert got["cube"][1] == 8 * got["fact"][1]
 
