@@ -165,9 +165,11 @@ def find_contamination(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_
         F.max("n_words").alias("n_words"), F.flatten(F.collect_set("spans")).alias("spans"),
         F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
     k1, k2 = F.col(id_col), F.md5(text_col)
-    joined = docs.join(merged, k1.eqNullSafe(F.col("k1")) & k2.eqNullSafe(F.col("k2")), "left")
-    return joined.select(*docs.columns, F.struct("n_words", _merge(F.col("spans")).alias("spans"),
-                                                 F.sort_array("items").alias("items")).alias(name)), name
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    keyed = docs.select(row, k1.alias("d1"), k2.alias("d2"))
+    joined = keyed.join(merged, F.col("d1").eqNullSafe(F.col("k1")) & F.col("d2").eqNullSafe(F.col("k2")), "left")
+    return joined.select("row.*", F.struct("n_words", _merge(F.col("spans")).alias("spans"),
+                                           F.sort_array("items").alias("items")).alias(name)), name
 
 
 def _merge(spans):

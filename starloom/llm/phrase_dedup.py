@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.common import read, utf8
+from starloom.llm.common import free_name, read, utf8
 from starloom.llm.repeats import Windows, blocks, recurring
 from starloom.llm.suffix_dedup import covered
 
@@ -122,8 +122,8 @@ def decide(batches, window: int = WINDOW, shard: int = SHARD):
 
 
 def remove_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-                    gram: int = GRAM, shard: int = SHARD) -> DataFrame:
-    """``docs`` with a struct column ``dedup``: n_words, n_removed, kept (the words left, joined by one space)."""
+                    gram: int = GRAM, shard: int = SHARD) -> tuple[DataFrame, str]:
+    """``docs`` with a struct column more, and that column's name: n_words, n_removed, kept (the words left, joined by one space)."""
     found = recurring(docs, id_col, text_col, word_windows(window, gram), lambda b: decide(b, window, shard))
 
     @F.arrow_udf(RESULT)
@@ -137,9 +137,10 @@ def remove_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 part.append(value)
         return pa.StructArray.from_arrays([*(pa.array(x, pa.int64()) for x in out[:2]), pa.array(out[2], pa.binary())],
                                           names=["n_words", "n_removed", "kept"])
-    return found.withColumn("dedup", strip.asNondeterministic()(F.col(text_col), F.col("spans"))).drop("spans")
+    name = free_name(docs, "dedup")
+    return found.select("row.*", strip.asNondeterministic()(F.col("_text"), F.col("spans")).alias(name)), name
 
 
 def op8_phrase_dedup(spark, sf_dir):
-    done = remove_passages(read(spark, sf_dir, "documents").select("doc_id", "text"))
-    return done.select("doc_id", "dedup.n_words", "dedup.n_removed", F.sha2("dedup.kept", 256).alias("kept_sha256"))
+    done, d = remove_passages(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", f"{d}.n_words", f"{d}.n_removed", F.sha2(f"{d}.kept", 256).alias("kept_sha256"))

@@ -200,11 +200,12 @@ def release(spark) -> None:
 
 
 def recurring(docs: DataFrame, id_col: str, text_col: str, w: Windows, decide: Callable) -> DataFrame:
-    """``docs`` keyed (doc, tie) and with ``spans``: start, n of recurring windows of each row, unordered."""
+    """``row`` (the row of ``docs`` as a struct), ``_text`` and ``spans``: start, n of its recurring windows, unordered."""
     spark = docs.sparkSession
-    keyed = docs.withColumns({"_doc": F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)),
-                              "_tie": F.coalesce(F.xxhash64(text_col), F.lit(0))})
-    narrow = keyed.select("_doc", "_tie", F.col(text_col).alias("_text"))
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                        F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("_doc"),
+                        F.xxhash64(text_col).alias("_tie"), F.col(text_col).alias("_text"))
+    narrow = keyed.select("_doc", "_tie", "_text")
     known = cut_lineage(classify(places(narrow, w), w), "repeats-places")
     release(spark)
 
@@ -232,8 +233,9 @@ def recurring(docs: DataFrame, id_col: str, text_col: str, w: Windows, decide: C
     release(spark)
     spans = (known.filter(F.col("h").isNull()).select("doc", "tie", "start", "n").union(decided)
              .groupBy("doc", "tie").agg(F.collect_list(F.struct("start", "n")).alias("spans")))
-    return (keyed.join(spans, (F.col("_doc") == F.col("doc")) & (F.col("_tie") == F.col("tie")), "left")
-            .drop("_doc", "_tie", "doc", "tie"))
+    # The text crosses the shuffle once, inside its row.
+    return (keyed.drop("_text").join(spans, (F.col("_doc") == F.col("doc")) & (F.col("_tie") == F.col("tie")), "left")
+            .select("row", F.col(f"row.`{text_col}`").alias("_text"), "spans"))
 
 
 def blocks(batches, limit: int):

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.common import read, utf8
+from starloom.llm.common import free_name, read, utf8
 from starloom.llm.repeats import Windows, blocks, recurring
 
 WINDOW, GRAM = 100, 24
@@ -193,8 +193,8 @@ def covered(spans: list[dict], window: int) -> list[list[int]]:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-                   gram: int = GRAM, shard: int = SHARD) -> DataFrame:
-    """``docs`` with a struct column ``dedup``: n_bytes, n_removed, n_spans, kept (the bytes left)."""
+                   gram: int = GRAM, shard: int = SHARD) -> tuple[DataFrame, str]:
+    """``docs`` with a struct column more, and that column's name: n_bytes, n_removed, n_spans, kept (the bytes left)."""
     found = recurring(docs, id_col, text_col, byte_windows(window, gram), lambda b: decide(b, window, shard))
 
     @F.arrow_udf(RESULT)
@@ -208,7 +208,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 part.append(value)
         return pa.StructArray.from_arrays([*(pa.array(x, pa.int64()) for x in out[:3]), pa.array(out[3], pa.binary())],
                                           names=["n_bytes", "n_removed", "n_spans", "kept"])
-    return found.withColumn("dedup", strip.asNondeterministic()(F.col(text_col), F.col("spans"))).drop("spans")
+    name = free_name(docs, "dedup")
+    return found.select("row.*", strip.asNondeterministic()(F.col("_text"), F.col("spans")).alias(name)), name
 
 
 def digest(data: bytes) -> str:
@@ -216,6 +217,6 @@ def digest(data: bytes) -> str:
 
 
 def op2_suffix_dedup(spark, sf_dir):
-    done = remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
-    return done.select("doc_id", "dedup.n_bytes", "dedup.n_removed", "dedup.n_spans",
-                       F.sha2("dedup.kept", 256).alias("kept_sha256"))
+    done, d = remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", f"{d}.n_bytes", f"{d}.n_removed", f"{d}.n_spans",
+                       F.sha2(f"{d}.kept", 256).alias("kept_sha256"))
