@@ -33,8 +33,8 @@ _PCOL_NAMES = [("id", "_p_id"), ("product", "_p_product"), ("price_each", "_p_pr
                ("parent_id", "_p_parent"), ("category_name", "_p_cat")]
 
 _FACT_TYPES = {
-    "order_id": "int", "quantity": "int", "total_price": "decimal(10,2)",
-    "product_surrogate_id": "int", "product": "string", "time_id": "string", "address_id": "string",
+    "order_id": "bigint", "quantity": "bigint", "total_price": "decimal(38,2)",
+    "product_surrogate_id": "bigint", "product": "string", "time_id": "string", "address_id": "string",
     "product_start_date": "date", "product_end_date": "date", "product_current_status": "boolean",
     "product_parent_id": "string", "product_category": "string", "time_name": "date",
     "time_parent": "string", "time_level": "string", "time_branch": "string",

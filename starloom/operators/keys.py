@@ -21,6 +21,7 @@ from starloom.session import cut_lineage
 
 _PID = "_seq_pid"
 _POS = "_seq_pos"
+_TIE = "_seq_tie"
 
 
 def _names(cols: Sequence[str | Column]) -> list[Column]:
@@ -41,9 +42,13 @@ def _tag(df: DataFrame, sort_cols: list[Column], partitions: int | None) -> Data
 
 def sequence_ids(df: DataFrame, order_cols: Sequence[str | Column], id_col: str,
                  start: Column | int = 1, partitions: int | None = None) -> DataFrame:
-    """Add ``id_col`` = start, start+1, ... in ``order_cols`` order (ties arbitrary)."""
-    order = _names(order_cols)
-    tagged = _tag(df, order, partitions)
+    """Add ``id_col`` = start, start+1, ... in ``order_cols`` order (ties arbitrary).
+
+    Rows equal in all order columns (repeated header lines may be most of the rejects) are told apart by
+    their place in the input, the last range column, so they too are spread over partitions.
+    """
+    order = _names(order_cols) + [F.col(_TIE)]
+    tagged = _tag(df.withColumn(_TIE, F.monotonically_increasing_id()), order, partitions).drop(_TIE)
     counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"))
     # One row per partition: a single-task window here is bounded by the partition count.
     offsets = counts.select(

@@ -2,7 +2,8 @@
 
 Levels: 3 State ``S-<state>``; 2 Postal Code ``S-<state><postal>``;
 1 City ``<postal node>-C%05d``; 0 Street ``<city node>-S%05d``. Counters
-number siblings in name order (the source used arbitrary DISTINCT order).
+number siblings in name order (the source used arbitrary DISTINCT order);
+nodes stored by an earlier run keep their ids.
 
 ``parent_match``:
   * ``city_postal`` (default) - every node is keyed by its full path, so a
@@ -79,14 +80,41 @@ def _nodes(df: DataFrame, id_col, name_col, level: int, parent_col) -> DataFrame
         parent_col.cast("string").alias("parent_id"), F.lit(level).alias("level"))
 
 
-def build_location_hierarchy(addresses: DataFrame, parent_match: str = "city_postal"
-                             ) -> tuple[DataFrame, DataFrame]:
+def _suffix(node_id, kind: str):
+    """The sibling number at the end of a city (``C``) or street (``S``) id."""
+    return F.regexp_extract(node_id, rf"-{kind}(\d+)$", 1).cast("long")
+
+
+def _numbered_after(fresh: DataFrame, known: DataFrame | None, groups: list[str], names: list[str]) -> DataFrame:
+    """``groups``, ``names``, ``_n``: stored nodes with their number, new ones numbered in name order after
+    the largest number of their group. Without stored nodes every node is new."""
+    if known is None:
+        return group_sequence(fresh, groups, names, "_n")
+
+    def same(left: DataFrame, right: DataFrame, cols: list[str]):
+        return [left[c].eqNullSafe(right[c]) for c in cols]
+
+    known = known.select(*groups, *names, "_n")
+    largest = known.groupBy(*groups).agg(F.max("_n").alias("_most"))
+    new = group_sequence(fresh.join(known, same(fresh, known, groups + names), "left_anti"), groups, names, "_n")
+    new = new.join(largest, same(new, largest, groups), "left").select(
+        *[new[c] for c in groups + names], (F.col("_n") + F.coalesce("_most", F.lit(0))).alias("_n"))
+    return known.unionByName(new)
+
+
+def build_location_hierarchy(addresses: DataFrame, parent_match: str = "city_postal",
+                             stored: tuple[DataFrame, DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
     """O-12: (hierarchy, street_keys).
 
     ``street_keys`` maps the address parts that identify a street node to its
     ``address_id`` and ``parent_id`` (full path in ``city_postal`` mode,
     street/city/postal in ``city`` mode); the keyed fact join uses it and
     needs no second join with the hierarchy.
+
+    ``stored`` is what an earlier call returned for a subset of ``addresses``:
+    its cities and streets keep their ids, and new siblings are numbered after
+    the largest number of their parent (O-63). ``addresses`` are distinct and
+    hold the stored ones too.
     """
     # The distinct addresses feed all four levels: materialise them once.
     a = cut_lineage(addresses.select(*ADDRESS_PARTS), "addresses")
@@ -101,13 +129,22 @@ def build_location_hierarchy(addresses: DataFrame, parent_match: str = "city_pos
         # Cities (within their postal node) and streets (within their city's
         # path) are numbered in one skew-safe pass: a street's group is its
         # (state, postal, city) key, so it does not wait for the city ids.
-        cities_src = a.select("state", "postal_code", F.lit(None).cast("string").alias("_gcity"),
-                              F.col("city").alias("_name"), F.lit(1).alias("_lvl")).distinct()
+        no_city = F.lit(None).cast("string").alias("_gcity")
+        cities_src = a.select("state", "postal_code", no_city, F.col("city").alias("_name"),
+                              F.lit(1).alias("_lvl")).distinct()
         streets_src = a.select("state", "postal_code", F.col("city").alias("_gcity"),
                                F.col("street").alias("_name"), F.lit(0).alias("_lvl")).distinct()
+        known = None
+        if stored is not None:
+            # Every stored city has a stored street, whose parent it is.
+            k = stored[1]
+            known = k.select("state", "postal_code", no_city, F.col("city").alias("_name"), F.lit(1).alias("_lvl"),
+                             _suffix("parent_id", "C").alias("_n")).distinct().unionByName(
+                k.select("state", "postal_code", F.col("city").alias("_gcity"), F.col("street").alias("_name"),
+                         F.lit(0).alias("_lvl"), _suffix("address_id", "S").alias("_n")))
         # (the numbering materialises its ranked input, so re-reading this is cheap and stable)
-        numbered = group_sequence(cities_src.unionByName(streets_src),
-                                  ["_lvl", "state", "postal_code", "_gcity"], ["_name"], "_n")
+        numbered = _numbered_after(cities_src.unionByName(streets_src), known,
+                                   ["_lvl", "state", "postal_code", "_gcity"], ["_name"])
         postal_id = F.concat(F.lit("S-"), F.col("state"), F.trim("postal_code"))
         cities_k = numbered.filter("_lvl = 1").select(
             F.col("_name").alias("city"), "postal_code", "state", postal_id.alias("_parent"),
@@ -125,12 +162,28 @@ def build_location_hierarchy(addresses: DataFrame, parent_match: str = "city_pos
         first_postal = postals.groupBy(F.col("address_name").alias("postal_code")).agg(
             F.min("address_id").alias("_parent"))
         cities_src = a.select("city", "postal_code").distinct().join(first_postal, "postal_code")
-        cities_k = group_sequence(cities_src, ["_parent"], ["city", "postal_code"], "_n").withColumn(
-            "_id", F.concat(F.col("_parent"), F.lit("-C"), counter(F.col("_n")))).cache()
+        known_cities = known_streets = None
+        if stored is not None:
+            # A stored city or street stays under the parent it was given: only new ones are looked up.
+            nodes, k = stored
+            postal = nodes.filter("level = 2").select(F.col("address_id").alias("_parent"),
+                                                      F.col("address_name").alias("postal_code"))
+            known_cities = nodes.filter("level = 1").select(
+                F.col("address_name").alias("city"), F.col("parent_id").alias("_parent"),
+                _suffix("address_id", "C").alias("_n")).join(postal, "_parent")
+            known_streets = k.select("street", "city", "postal_code", F.col("parent_id").alias("_parent"),
+                                     _suffix("address_id", "S").alias("_n"))
+            cities_src = cities_src.join(known_cities.select("city", "postal_code"), ["city", "postal_code"], "left_anti")
+        # Two consumers (the nodes and the streets' lookup): written once.
+        cities_k = cut_lineage(_numbered_after(cities_src, known_cities, ["_parent"], ["city", "postal_code"]).withColumn(
+            "_id", F.concat(F.col("_parent"), F.lit("-C"), counter(F.col("_n")))), "cities")
         cities = _nodes(cities_k, F.col("_id"), F.col("city"), 1, F.col("_parent"))
         first_city = cities_k.groupBy("city").agg(F.min("_id").alias("_parent"))
         streets_src = a.select("street", "city", "postal_code").distinct().join(first_city, "city")
-        streets_k = group_sequence(streets_src, ["_parent"], ["street", "city", "postal_code"], "_n") \
+        if known_streets is not None:
+            streets_src = streets_src.join(known_streets.select("street", "city", "postal_code"),
+                                           ["street", "city", "postal_code"], "left_anti")
+        streets_k = _numbered_after(streets_src, known_streets, ["_parent"], ["street", "city", "postal_code"]) \
             .withColumn("address_id", F.concat(F.col("_parent"), F.lit("-S"), counter(F.col("_n"))))
         streets = _nodes(streets_k, F.col("address_id"), F.col("street"), 0, F.col("_parent"))
         keys = streets_k.select("street", "city", "postal_code", "address_id",

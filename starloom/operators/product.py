@@ -66,7 +66,7 @@ def number_new_versions(new: DataFrame, dim: DataFrame | None) -> DataFrame:
         known, next_pid, next_id = None, F.lit(0), F.lit(0)
     else:
         known = dim.groupBy("product").agg(F.min("product_id").alias("product_id"))
-        next_pid = F.coalesce(dim.agg(F.max(F.substring("product_id", 6, 100).try_cast("int"))).scalar(),
+        next_pid = F.coalesce(dim.agg(F.max(F.substring("product_id", 6, 100).try_cast("bigint"))).scalar(),
                               F.lit(0))
         next_id = F.coalesce(dim.agg(F.max("id")).scalar(), F.lit(0))
     names = new.groupBy("product").agg(F.min("start_date").alias("_t"))
@@ -131,9 +131,10 @@ def scd2_reversion(dim: DataFrame, clean: DataFrame) -> DataFrame:
     cur = dim.filter("curr_status").select(
         "id", F.col("product").alias("_p"), price_key("price_each").alias("_pk"),
         F.col("start_date").alias("_s"))
-    # Sales join the few current versions of their product; the reduction to
-    # one row per version is partially aggregated before its shuffle.
-    later = (clean.select("product", price_key("price_each").alias("_spk"), "order_date")
+    # Sales are reduced to one row per product, price and minute before they
+    # meet the current versions of their product; the reduction to one row per
+    # version is partially aggregated before its shuffle.
+    later = (clean.select("product", price_key("price_each").alias("_spk"), "order_date").distinct()
              .join(cur, (F.col("product") == F.col("_p")) & (F.col("_spk") != F.col("_pk"))
                    & (F.col("order_date") > F.col("_s")))
              .groupBy("id").agg(F.min("order_date").alias("_first_other")))

@@ -8,7 +8,7 @@ whole-stage codegen, with no Python in the row path.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -33,12 +33,15 @@ def latest_batch(df: DataFrame, ts: str = "updated_at") -> DataFrame:
     return df.filter(F.col(ts) >= df.agg(F.max(ts)).scalar())
 
 
-def typed_columns(df: DataFrame, blank_is_null: bool = False) -> DataFrame:
+def typed_columns(df: DataFrame, blank_is_null: bool = False, int_limits: bool = False) -> DataFrame:
     """Add trimmed product/address and the parsed typed values (NULL if unparsable).
 
     ``blank_is_null`` (Q-10, off like the source): an empty product or address
-    counts as missing instead of passing the NOT NULL rules.
+    counts as missing instead of passing the NOT NULL rules. ``int_limits``
+    (off): order ids and quantities over 2,147,483,647 are out of range, as in
+    the source's INT columns; otherwise they may use 64 bits.
     """
+    whole = "int" if int_limits else "bigint"
     qty_ok, price_ok, oid_ok = is_digits("quantity_ordered"), is_price_text("price_each"), is_digits("order_id")
 
     def trimmed(c: str) -> Column:
@@ -49,8 +52,8 @@ def typed_columns(df: DataFrame, blank_is_null: bool = False) -> DataFrame:
     return (
         df.withColumn("_product", trimmed("product"))
         .withColumn("_address", trimmed("purchase_address"))
-        .withColumn("_oid", F.when(oid_ok, F.col("order_id").try_cast("int")))
-        .withColumn("_qty", F.when(qty_ok, F.col("quantity_ordered").try_cast("int")))
+        .withColumn("_oid", F.when(oid_ok, F.col("order_id").try_cast(whole).cast("bigint")))
+        .withColumn("_qty", F.when(qty_ok, F.col("quantity_ordered").try_cast(whole).cast("bigint")))
         .withColumn("_price", F.when(price_ok, F.col("price_each").try_cast(S.PRICE_TYPE)))
         .withColumn("_ts", parse_order_ts("order_date"))
     )
@@ -95,9 +98,9 @@ def error_reason(as_of: datetime | str | Column | None = None,
 
 
 def tag_rows(df: DataFrame, as_of: datetime | str | Column | None = None, blank_is_null: bool = False,
-             max_lengths: Mapping[str, int] | None = None) -> DataFrame:
+             max_lengths: Mapping[str, int] | None = None, int_limits: bool = False) -> DataFrame:
     """Landing rows + typed values + ``error_reason``."""
-    return typed_columns(df, blank_is_null).withColumn("error_reason", error_reason(as_of, max_lengths))
+    return typed_columns(df, blank_is_null, int_limits).withColumn("error_reason", error_reason(as_of, max_lengths))
 
 
 def clean_of(tagged: DataFrame) -> DataFrame:
@@ -123,9 +126,10 @@ def errors_of(tagged: DataFrame, executed_time: datetime | str | Column | None =
 
 def validate_split(df: DataFrame, as_of: datetime | str | Column | None = None,
                    executed_time: datetime | str | Column | None = None, blank_is_null: bool = False,
-                   max_lengths: Mapping[str, int] | None = None) -> tuple[DataFrame, DataFrame]:
+                   max_lengths: Mapping[str, int] | None = None,
+                   int_limits: bool = False) -> tuple[DataFrame, DataFrame]:
     """O-04: (clean, errors). Persist the tagged frame when both are consumed."""
-    tagged = tag_rows(df, as_of, blank_is_null, max_lengths)
+    tagged = tag_rows(df, as_of, blank_is_null, max_lengths, int_limits)
     return clean_of(tagged), errors_of(tagged, executed_time)
 
 
@@ -184,13 +188,14 @@ def assign_error_ids(errors: DataFrame, start: Column | int = 1) -> DataFrame:
 def clean_sales(landing: DataFrame, clean_existing: DataFrame | None = None,
                 as_of: datetime | str | Column | None = None, compare: str = "typed",
                 error_id_start: Column | int = 1, executed_time=None, blank_is_null: bool = False,
-                max_lengths: Mapping[str, int] | None = None) -> tuple[DataFrame, DataFrame]:
+                max_lengths: Mapping[str, int] | None = None,
+                int_limits: bool = False) -> tuple[DataFrame, DataFrame]:
     """O-05: latest batch -> anti dedup -> trim -> validate -> (clean, errors with ids)."""
     batch = anti_dedup(latest_batch(landing), clean_existing, compare)
     # Both outputs read one materialised tagged batch: the rules and the
     # anti join run once per row, not once per output.
     from starloom.session import cut_lineage
-    tagged = cut_lineage(tag_rows(batch, as_of, blank_is_null, max_lengths), "tagged-batch")
+    tagged = cut_lineage(tag_rows(batch, as_of, blank_is_null, max_lengths, int_limits), "tagged-batch")
     clean = clean_of(tagged)
     errors = assign_error_ids(errors_of(tagged, executed_time), error_id_start)
     return clean, errors
@@ -211,3 +216,24 @@ def assert_quality(df: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
     pairs = ", ".join(f"'{n}', `{n}`" for n in checks)
     return wide.selectExpr(f"stack({len(checks)}, {pairs}) as (check, violations)") \
         .withColumn("violations", F.coalesce("violations", F.lit(0)).cast("long"))
+
+
+def assert_keys(unique: Mapping[str, tuple[DataFrame, Sequence[str]]],
+                references: Mapping[str, tuple[DataFrame, str, DataFrame, str]]) -> DataFrame:
+    """Primary and foreign keys as (check, violations).
+
+    ``unique``: check -> (table, key columns); every row beyond the first of its key is a violation.
+    ``references``: check -> (table, column, parent table, parent column); rows whose value no parent has are
+    violations, NULL refers to nothing. Rows are counted per key before any join, so a hot key is one row there.
+    """
+    out = None
+    for name, (df, cols) in unique.items():
+        n = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n")).agg(F.sum(F.col("n") - 1).alias("n"))
+        one = n.select(F.lit(name).alias("check"), F.coalesce("n", F.lit(0)).cast("long").alias("violations"))
+        out = one if out is None else out.unionByName(one)
+    for name, (df, col, parents, key) in references.items():
+        used = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("_key")).agg(F.count(F.lit(1)).alias("n"))
+        n = used.join(parents.select(F.col(key).alias("_key")), "_key", "left_anti").agg(F.sum("n").alias("n"))
+        one = n.select(F.lit(name).alias("check"), F.coalesce("n", F.lit(0)).cast("long").alias("violations"))
+        out = one if out is None else out.unionByName(one)
+    return out

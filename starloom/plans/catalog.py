@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from starloom import schemas as S
 from starloom.operators import calendar, cube, fact, location, product, quality
 from starloom.functions.dates import iso_week_year
+from starloom.functions.text import counter
 from starloom.session import cut_lineage
 from starloom.sources.testdata import AS_OF, dirty_landing
 
@@ -102,6 +103,18 @@ def q_quality_report(spark, sf):
     })
 
 
+def q_key_report(spark, sf):
+    m = Model(spark, sf)
+    f, h, p = m.fact(), m.hierarchy, m.product
+    return quality.assert_keys(
+        {"time_key_unique": (m.time, ["time_combined_id"]), "address_key_unique": (h, ["address_id"]),
+         "product_key_unique": (p, ["id"])},
+        {"location_parent_exists": (h, "parent_id", h, "address_id"),
+         "fact_address_exists": (f, "address_id", h, "address_id"),
+         "fact_time_exists": (f, "time_id", calendar.main_days(m.time), "time_id"),
+         "fact_product_exists": (f, "product_surrogate_id", p, "id")})
+
+
 # -- O-06, O-07, O-57a ------------------------------------------------------------------
 
 def q_time_dim(spark, sf):
@@ -144,6 +157,22 @@ def q_location_hierarchy_city(spark, sf):
     return h
 
 
+def q_location_ids_incremental(spark, sf):
+    """Locations after two runs (the first arrival, then all): stored nodes keep their ids."""
+    land = cut_lineage(dirty_landing(spark, sf).select("purchase_address", "updated_at"), "landing")
+    first = land.filter(F.col("updated_at") == land.agg(F.min("updated_at")).scalar())
+    h, keys = location.build_location_hierarchy(location.clean_address_process(first))
+    both, _ = location.build_location_hierarchy(location.clean_address_process(land),
+                                                stored=(cut_lineage(h), cut_lineage(keys)))
+    return both
+
+
+def q_counter_wide(spark, sf):
+    """Counters on both sides of five digits, one per order key."""
+    n = spark.read.parquet(f"{sf}/orders.parquet").select((F.col("o_orderkey") * 37).alias("n"))
+    return n.select("n", counter(F.col("n")).alias("id_text"))
+
+
 # -- O-14..O-20 ----------------------------------------------------------------------------
 
 def q_product_category(spark, sf):
@@ -199,9 +228,11 @@ def q_semi_active_versions(spark, sf):
 
 
 def q_scd2_reversion(spark, sf):
+    """Re-versioning of a stale dimension: versions added without closing any, so all are current."""
     c = clean(spark, sf)
     dim, _ = product.populate_product(c)
-    return product.scd2_reversion(cut_lineage(dim), c)
+    stale = dim.withColumns({"end_date": F.lit(None).cast("timestamp"), "curr_status": F.lit(True)})
+    return product.scd2_reversion(cut_lineage(stale), c)
 
 
 # -- O-21..O-25 ------------------------------------------------------------------------------
@@ -283,7 +314,7 @@ def q_scalar_date_num(spark, sf):
         F.date_add(F.to_date("order_date"), 30).alias("plus_30"),
         (F.col("order_date") - F.expr("INTERVAL 1 DAY")).alias("minus_day"),
         F.round("price_each", 1).alias("rounded"),
-        (F.col("quantity_ordered") * F.col("price_each")).cast("decimal(10,2)").alias("line_total"),
+        (F.col("quantity_ordered") * F.col("price_each")).cast(S.FACT_PRICE_TYPE).alias("line_total"),
     )
 
 

@@ -33,8 +33,8 @@ def _cleansing(landing_cte: str = "landing") -> str:
     return f"""
 typed AS (
   SELECT *, trim(product) AS tproduct, trim(purchase_address) AS taddr,
-    CASE WHEN regexp_full_match(order_id, {DIG}) THEN TRY_CAST(order_id AS INTEGER) END AS oid,
-    CASE WHEN regexp_full_match(quantity_ordered, {DIG}) THEN TRY_CAST(quantity_ordered AS INTEGER) END AS qty,
+    CASE WHEN regexp_full_match(order_id, {DIG}) THEN TRY_CAST(order_id AS BIGINT) END AS oid,
+    CASE WHEN regexp_full_match(quantity_ordered, {DIG}) THEN TRY_CAST(quantity_ordered AS BIGINT) END AS qty,
     CASE WHEN regexp_full_match(price_each, {PRICE}) THEN TRY_CAST(price_each AS DECIMAL(18,2)) END AS price,
     {TS_EXPR} AS ts
   FROM {landing_cte}),
@@ -147,6 +147,29 @@ hier AS (
   UNION ALL SELECT id, city, 'City', p, 1 FROM cities
   UNION ALL SELECT id, street, 'Street', p, 0 FROM streets)"""
 
+# Nodes of the first arrival come first among their siblings, in name order, then the later ones.
+HIER_TWO_RUNS_CTES = f"""
+first_landing AS (SELECT * FROM landing WHERE updated_at = (SELECT min(updated_at) FROM landing)),
+addr AS (SELECT street, city, state, postal_code, min(run) AS run FROM (
+  SELECT *, 0 AS run FROM ({addresses_sql('first_landing')}) UNION ALL SELECT *, 1 FROM ({addresses_sql('landing')}))
+  GROUP BY street, city, state, postal_code),
+cities AS (
+  SELECT city, postal_code, state, p,
+         p || '-C' || lpad(CAST(row_number() OVER (PARTITION BY p ORDER BY run, city) AS VARCHAR), 5, '0') AS id
+  FROM (SELECT city, postal_code, state, 'S-' || state || trim(postal_code) AS p, min(run) AS run FROM addr
+        GROUP BY city, postal_code, state)),
+streets AS (
+  SELECT street, p, p || '-S' || lpad(CAST(row_number() OVER (PARTITION BY p ORDER BY run, street) AS VARCHAR), 5, '0') AS id
+  FROM (SELECT a.street, c.id AS p, min(a.run) AS run FROM addr a JOIN cities c
+        ON a.city = c.city AND a.postal_code = c.postal_code AND a.state = c.state GROUP BY a.street, c.id)),
+hier AS (
+  SELECT DISTINCT 'S-' || state AS address_id, state AS address_name, 'State' AS address_type,
+         CAST(NULL AS VARCHAR) AS parent_id, 3 AS level FROM addr
+  UNION ALL
+  SELECT DISTINCT 'S-' || state || trim(postal_code), postal_code, 'Postal Code', 'S-' || state, 2 FROM addr
+  UNION ALL SELECT id, city, 'City', p, 1 FROM cities
+  UNION ALL SELECT id, street, 'Street', p, 0 FROM streets)"""
+
 CATEGORY_ID = """CASE WHEN regexp_matches(upper({c}), 'MONITOR') THEN 'CAT-00001'
   WHEN regexp_matches(upper({c}), 'BATTERIES|BATTERY') THEN 'CAT-00002'
   WHEN regexp_matches(upper({c}), 'HEADPHONES') THEN 'CAT-00003'
@@ -211,8 +234,8 @@ addr_match AS (SELECT DISTINCT s.purchase_address, a.address_id
     return f"""{BASE},{ctes},{PRODUCT_CTES},{tdim}
 fact AS (
   SELECT s.order_id, s.quantity_ordered AS quantity,
-         CAST(s.quantity_ordered * p.price_each AS DECIMAL(10,2)) AS total_price,
-         CAST(p.id AS INTEGER) AS product_surrogate_id, p.product, t.time_id, a.address_id,
+         CAST(s.quantity_ordered * p.price_each AS DECIMAL(38,2)) AS total_price,
+         CAST(p.id AS BIGINT) AS product_surrogate_id, p.product, t.time_id, a.address_id,
          CAST(p.start_date AS DATE) AS product_start_date, CAST(p.end_date AS DATE) AS product_end_date,
          p.curr_status AS product_current_status, p.parent_id AS product_parent_id,
          p.category_name AS product_category, t.day_date AS time_name, t.time_parent,
@@ -227,7 +250,7 @@ fact AS (
 FACT = fact_sql()
 CUBE = f"""{FACT},
 cube AS (SELECT product_surrogate_id, address_id, time_id,
-                CAST(sum(total_price) AS DECIMAL(20,2)) AS total_price_sum
+                CAST(sum(total_price) AS DECIMAL(38,2)) AS total_price_sum
          FROM fact GROUP BY CUBE (product_surrogate_id, time_id, address_id))"""
 
 
@@ -265,7 +288,7 @@ pcur AS (SELECT product, price_each FROM (SELECT *, max(start_date) OVER (PARTIT
 {HIER_CTES.strip()},
 tdim AS ({calendar_sql('clean')}),
 fact AS (
-  SELECT CAST(s.quantity_ordered * p.price_each AS DECIMAL(10,2)) AS total_price,
+  SELECT CAST(s.quantity_ordered * p.price_each AS DECIMAL(38,2)) AS total_price,
          p.product || '|' || CAST(p.price_each AS VARCHAR) AS pkey,
          'D_' || strftime(s.order_date, '%Y%m%d') AS time_id, k.id AS address_id
   FROM clean s JOIN pcur p ON upper(s.product) = upper(p.product)
@@ -274,14 +297,14 @@ fact AS (
    AND k.postal_code = trim(split_part(s.purchase_address, ' ', -1))
    AND k.state = upper(trim(split_part(split_part(s.purchase_address, ',', 3), ' ', 2)))),
 cube_rows AS (SELECT 1 AS x FROM fact GROUP BY CUBE (pkey, time_id, address_id))
-SELECT 'landing' AS table_name, count(*) AS row_count, CAST(0 AS DECIMAL(20,2)) AS amount FROM landing
-UNION ALL SELECT 'clean', count(*), CAST(coalesce(sum(quantity_ordered * price_each), 0) AS DECIMAL(20,2)) FROM clean
-UNION ALL SELECT 'errors', count(*), CAST(count(*) * (count(*) + 1) // 2 AS DECIMAL(20,2)) FROM e
-UNION ALL SELECT 'time_dim', count(*), CAST(0 AS DECIMAL(20,2)) FROM tdim
-UNION ALL SELECT 'location', count(*), CAST(0 AS DECIMAL(20,2)) FROM hier
-UNION ALL SELECT 'product', count(*), CAST((SELECT coalesce(sum(price_each), 0) FROM pcur) AS DECIMAL(20,2)) FROM pv
-UNION ALL SELECT 'fact', count(*), CAST(coalesce(sum(total_price), 0) AS DECIMAL(20,2)) FROM fact
-UNION ALL SELECT 'cube', (SELECT count(*) FROM cube_rows), CAST(coalesce(sum(total_price), 0) * 8 AS DECIMAL(20,2)) FROM fact"""
+SELECT 'landing' AS table_name, count(*) AS row_count, CAST(0 AS DECIMAL(38,2)) AS amount FROM landing
+UNION ALL SELECT 'clean', count(*), CAST(coalesce(sum(quantity_ordered * price_each), 0) AS DECIMAL(38,2)) FROM clean
+UNION ALL SELECT 'errors', count(*), CAST(count(*) * (count(*) + 1) // 2 AS DECIMAL(38,2)) FROM e
+UNION ALL SELECT 'time_dim', count(*), CAST(0 AS DECIMAL(38,2)) FROM tdim
+UNION ALL SELECT 'location', count(*), CAST(0 AS DECIMAL(38,2)) FROM hier
+UNION ALL SELECT 'product', count(*), CAST((SELECT coalesce(sum(price_each), 0) FROM pcur) AS DECIMAL(38,2)) FROM pv
+UNION ALL SELECT 'fact', count(*), CAST(coalesce(sum(total_price), 0) AS DECIMAL(38,2)) FROM fact
+UNION ALL SELECT 'cube', (SELECT count(*) FROM cube_rows), CAST(coalesce(sum(total_price), 0) * 8 AS DECIMAL(38,2)) FROM fact"""
 
 
 LANDING_AS_CSV = f"""SELECT coalesce(order_id, '') AS order_id, coalesce(product, '') AS product,
@@ -323,6 +346,9 @@ ORACLE: dict[str, str] = {
     "address_clean": f"WITH landing AS ({LANDING_SQL}) {addresses_sql('landing')}",
     "location_hierarchy": f"WITH landing AS ({LANDING_SQL}), {HIER_CTES.strip()} SELECT * FROM hier",
     "location_hierarchy_city": f"WITH landing AS ({LANDING_SQL}), {HIER_CITY_CTES.strip()} SELECT * FROM hier",
+    "location_ids_incremental": f"WITH landing AS ({LANDING_SQL}), {HIER_TWO_RUNS_CTES.strip()} SELECT * FROM hier",
+    "counter_wide": """SELECT o_orderkey * 37 AS n, CASE WHEN o_orderkey * 37 > 99999 THEN CAST(o_orderkey * 37 AS VARCHAR)
+        ELSE right('00000' || CAST(o_orderkey * 37 AS VARCHAR), 5) END AS id_text FROM orders""",
     "product_category": f"""{BASE} SELECT product, {CATEGORY_ID.format(c='product')} AS parent_id,
         {CATEGORY_NAME.format(c='product')} AS category_name FROM (SELECT DISTINCT product FROM clean)""",
     "new_versions": f"""{BASE}, early AS (SELECT * FROM clean WHERE order_date < {EARLY})
@@ -331,7 +357,17 @@ ORACLE: dict[str, str] = {
         GROUP BY c.product, c.price_each""",
     "product_scd2": f"{BASE},{PRODUCT_CTES} SELECT * FROM pdim",
     "product_dim_incremental": _incremental_product(),
-    "scd2_reversion": f"{BASE},{PRODUCT_CTES} SELECT * FROM pdim",
+    # The two UPDATE steps over a dimension of open versions only.
+    "scd2_reversion": f"""{BASE},{PRODUCT_CTES},
+        step1 AS (SELECT d.id, d.product_id, d.product, d.price_each, d.start_date, d.parent_id, d.category_name,
+          (SELECT min(s.order_date) FROM clean s WHERE s.product = d.product
+             AND round(s.price_each, 2) <> round(d.price_each, 2) AND s.order_date > d.start_date) AS other
+          FROM pdim d)
+        SELECT id, product_id, product, price_each, start_date,
+          CASE WHEN start_date <> (SELECT max(w.start_date) FROM step1 w WHERE w.product = step1.product)
+               THEN other - INTERVAL 1 DAY END AS end_date,
+          other IS NULL OR start_date = (SELECT max(w.start_date) FROM step1 w WHERE w.product = step1.product) AS curr_status,
+          parent_id, category_name FROM step1""",
     "product_ids": f"SELECT DISTINCT product, product_id FROM ({_incremental_product()})",
     "orders_updated": f"""{BASE},{PRODUCT_CTES}
         SELECT s.order_id, s.product, d.id AS product_sk, d.parent_id AS category_id, s.price_each, s.order_date
@@ -347,16 +383,16 @@ ORACLE: dict[str, str] = {
     "fact_append_twice": f"{FACT} SELECT * FROM fact UNION ALL SELECT * FROM fact",
     "sales_cube": f"{CUBE} SELECT * FROM cube",
     "sales_cube_substring": f"""{fact_sql('substring')},
-        cube AS (SELECT product_surrogate_id, address_id, time_id, CAST(sum(total_price) AS DECIMAL(20,2)) AS total_price_sum
+        cube AS (SELECT product_surrogate_id, address_id, time_id, CAST(sum(total_price) AS DECIMAL(38,2)) AS total_price_sum
                  FROM fact GROUP BY CUBE (product_surrogate_id, time_id, address_id)) SELECT * FROM cube""",
     "cube_slice": f"""{FACT} SELECT product_surrogate_id, CAST(NULL AS VARCHAR) AS address_id, CAST(NULL AS VARCHAR) AS time_id,
-        CAST(sum(total_price) AS DECIMAL(20,2)) AS total_price_sum FROM fact GROUP BY product_surrogate_id""",
-    "rollup_month": f"""{FACT} SELECT f.time_parent AS time_id, t.time_name, CAST(sum(total_price) AS DECIMAL(20,2)) AS total_price_sum
+        CAST(sum(total_price) AS DECIMAL(38,2)) AS total_price_sum FROM fact GROUP BY product_surrogate_id""",
+    "rollup_month": f"""{FACT} SELECT f.time_parent AS time_id, t.time_name, CAST(sum(total_price) AS DECIMAL(38,2)) AS total_price_sum
         FROM fact f JOIN tdim t ON t.time_id = f.time_parent AND t.timebranch = 'main' GROUP BY f.time_parent, t.time_name""",
-    "rollup_quarter": f"""{FACT} SELECT q.time_id, q.time_name, CAST(sum(total_price) AS DECIMAL(20,2)) AS total_price_sum
+    "rollup_quarter": f"""{FACT} SELECT q.time_id, q.time_name, CAST(sum(total_price) AS DECIMAL(38,2)) AS total_price_sum
         FROM fact f JOIN tdim m ON m.time_id = f.time_parent AND m.timebranch = 'main'
         JOIN tdim q ON q.time_id = m.time_parent AND q.timebranch = 'main' GROUP BY q.time_id, q.time_name""",
-    "rollup_state": f"""{FACT} SELECT st.address_id, st.address_name, CAST(sum(total_price) AS DECIMAL(20,2)) AS total_price_sum
+    "rollup_state": f"""{FACT} SELECT st.address_id, st.address_name, CAST(sum(total_price) AS DECIMAL(38,2)) AS total_price_sum
         FROM fact f JOIN hier s ON s.address_id = f.address_id JOIN hier c ON c.address_id = s.parent_id
         JOIN hier p ON p.address_id = c.parent_id JOIN hier st ON st.address_id = p.parent_id
         GROUP BY st.address_id, st.address_name""",
@@ -369,6 +405,17 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'address_present', count(*) FILTER (WHERE address_id IS NULL) FROM fact
         UNION ALL SELECT 'current_product', count(*) FILTER (WHERE NOT coalesce(product_current_status, false)) FROM fact
         UNION ALL SELECT 'street_level', count(*) FILTER (WHERE NOT coalesce(address_level = 0, false)) FROM fact""",
+    "key_report": f"""{FACT} SELECT 'time_key_unique' AS "check", count(*) - count(DISTINCT time_combined_id) AS violations FROM tdim
+        UNION ALL SELECT 'address_key_unique', count(*) - count(DISTINCT address_id) FROM hier
+        UNION ALL SELECT 'product_key_unique', count(*) - count(DISTINCT id) FROM pdim
+        UNION ALL SELECT 'location_parent_exists', count(*) FROM hier c WHERE parent_id IS NOT NULL
+          AND NOT EXISTS (SELECT 1 FROM hier p WHERE p.address_id = c.parent_id)
+        UNION ALL SELECT 'fact_address_exists', count(*) FROM fact f WHERE address_id IS NOT NULL
+          AND NOT EXISTS (SELECT 1 FROM hier h WHERE h.address_id = f.address_id)
+        UNION ALL SELECT 'fact_time_exists', count(*) FROM fact f WHERE time_id IS NOT NULL AND NOT EXISTS
+          (SELECT 1 FROM tdim t WHERE t.time_id = f.time_id AND t.time_lvl = '0' AND t.timebranch = 'main')
+        UNION ALL SELECT 'fact_product_exists', count(*) FROM fact f WHERE product_surrogate_id IS NOT NULL
+          AND NOT EXISTS (SELECT 1 FROM pdim p WHERE p.id = f.product_surrogate_id)""",
     "scalar_text": f"""WITH landing AS ({LANDING_SQL}) SELECT trim(product) AS trimmed, lower(trim(product)) AS lowered,
         upper(product) AS uppered, split_part(purchase_address, ',', 2) AS second_part,
         split_part(purchase_address, ' ', -1) AS last_word, substring(order_date, 7, 4) AS year_text,
@@ -378,7 +425,7 @@ ORACLE: dict[str, str] = {
         CAST(day(order_date) AS INTEGER) AS d, CAST(week(order_date) AS INTEGER) AS iso_week,
         CAST(isoyear(order_date) AS INTEGER) AS iso_year, CAST(order_date AS DATE) + 30 AS plus_30,
         order_date - INTERVAL 1 DAY AS minus_day, round(price_each, 1) AS rounded,
-        CAST(quantity_ordered * price_each AS DECIMAL(10,2)) AS line_total FROM clean""",
+        CAST(quantity_ordered * price_each AS DECIMAL(38,2)) AS line_total FROM clean""",
     "landing_roundtrip": f"""WITH landing AS ({LANDING_SQL}) SELECT coalesce(order_id, '') AS order_id,
         coalesce(product, '') AS product, coalesce(quantity_ordered, '') AS quantity_ordered,
         coalesce(price_each, '') AS price_each, coalesce(order_date, '') AS order_date,

@@ -20,14 +20,15 @@ from pyspark.sql import types as T
 
 from starloom import schemas as S
 from starloom.operators import calendar, cube, fact, location, product, quality
+from starloom.session import cut_lineage
 
 RUN = "run_id"
 LEDGER_SCHEMA = T.StructType([T.StructField(RUN, T.LongType()), T.StructField("finished_at", T.TimestampType())])
 KEYS_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in
                             ("street", "city", "state", "postal_code", "address_id", "parent_id")])
 FACT_SCHEMA = T.StructType([
-    T.StructField("order_id", T.IntegerType()), T.StructField("quantity", T.IntegerType()),
-    T.StructField("total_price", S.FACT_PRICE_TYPE), T.StructField("product_surrogate_id", T.IntegerType()),
+    T.StructField("order_id", T.LongType()), T.StructField("quantity", T.LongType()),
+    T.StructField("total_price", S.FACT_PRICE_TYPE), T.StructField("product_surrogate_id", T.LongType()),
     T.StructField("product", T.StringType()), T.StructField("time_id", T.StringType()),
     T.StructField("address_id", T.StringType()), T.StructField("product_start_date", T.DateType()),
     T.StructField("product_end_date", T.DateType()), T.StructField("product_current_status", T.BooleanType()),
@@ -38,7 +39,7 @@ FACT_SCHEMA = T.StructType([
     T.StructField("parent_id", T.StringType()), T.StructField("address_level", T.IntegerType()),
 ])
 CUBE_SCHEMA = T.StructType([
-    T.StructField("product_surrogate_id", T.IntegerType()), T.StructField("address_id", T.StringType()),
+    T.StructField("product_surrogate_id", T.LongType()), T.StructField("address_id", T.StringType()),
     T.StructField("time_id", T.StringType()), T.StructField("total_price_sum", S.CUBE_SUM_TYPE)])
 
 SCHEMAS = {
@@ -102,9 +103,13 @@ class Warehouse:
 def run_warehouse_batch(wh: Warehouse, batch: DataFrame, run_id: int,
                         as_of: datetime | str | Column | None = None, compare: str = "typed",
                         parent_match: str = "city_postal", address_match: str = "keyed",
-                        price_mode: str = "current", fact_mode: str = "rebuild") -> None:
+                        price_mode: str = "current", fact_mode: str = "rebuild", reversion: bool = False,
+                        **cleansing) -> None:
     """Land one batch and rebuild every downstream table (the source's trigger chain).
 
+    ``reversion`` adds the re-versioning pass over all clean sales (O-18); ``cleansing`` holds the options of
+    ``quality.tag_rows`` (``blank_is_null``, ``max_lengths``, ``int_limits``).
+
     A committed run is skipped, so a replayed stream epoch or a retried job changes nothing, whatever committed
     after it. A run older than the newest committed one that did not commit itself is refused: its
     arrival would be read as the newest.
@@ -115,13 +120,13 @@ def run_warehouse_batch(wh: Warehouse, batch: DataFrame, run_id: int,
             return
         if wh._ledger and run_id < wh._ledger[-1]:
             raise ValueError(f"run {run_id} is older than the committed run {wh._ledger[-1]}")
-        _run(wh, batch, run_id, as_of, compare, parent_match, address_match, price_mode, fact_mode)
+        _run(wh, batch, run_id, as_of, compare, parent_match, address_match, price_mode, fact_mode, reversion, cleansing)
     finally:
         wh._ledger = None
 
 
 def _run(wh: Warehouse, batch: DataFrame, run_id: int, as_of, compare: str, parent_match: str,
-         address_match: str, price_mode: str, fact_mode: str) -> None:
+         address_match: str, price_mode: str, fact_mode: str, reversion: bool, cleansing: dict) -> None:
     done = [r for r in wh._ledger if r < run_id]
     prev = done[-1] if done else None
     wh.write(batch.select(*S.LANDING_SCHEMA.fieldNames()), "landing", run_id)
@@ -133,7 +138,7 @@ def _run(wh: Warehouse, batch: DataFrame, run_id: int, as_of, compare: str, pare
     err_start = (F.lit(1) if errors_prev is None
                  else F.coalesce(errors_prev.agg(F.max("error_id")).scalar(), F.lit(0)) + 1)
     clean_new, errors_new = quality.clean_sales(wh.read("landing", [run_id]), clean_prev, as_of, compare,
-                                                err_start)
+                                                err_start, **cleansing)
     wh.write(clean_new, "clean", run_id)
     wh.write(errors_new, "errors", run_id)
     clean_all = wh.read("clean", done + [run_id])
@@ -142,13 +147,17 @@ def _run(wh: Warehouse, batch: DataFrame, run_id: int, as_of, compare: str, pare
     wh.write(calendar.build_time_dimension(clean_all), "time_dim", run_id)
 
     # 3. locations, from raw landing rows. The distinct address set is kept
-    # per run (previous set + this batch), so history is never re-parsed; the
-    # hierarchy reads it through DISTINCTs only, so this equals a full rebuild.
+    # per run (previous set + this batch), so history is never re-parsed. Stored
+    # nodes keep their ids (appended facts refer to them); new ones continue.
     fresh_addr = location.clean_address_process(wh.read("landing", [run_id]))
     if prev is not None:
         fresh_addr = fresh_addr.unionByName(wh.read("addresses", [prev]))
     wh.write(fresh_addr.distinct(), "addresses", run_id)
-    hierarchy, keys = location.build_location_hierarchy(wh.read("addresses", [run_id]), parent_match)
+    stored = None
+    if prev is not None:
+        stored_keys = wh.read("street_keys", [prev])
+        stored = (wh.read("location", [prev]), stored_keys.drop("state") if parent_match == "city" else stored_keys)
+    hierarchy, keys = location.build_location_hierarchy(wh.read("addresses", [run_id]), parent_match, stored)
     wh.write(hierarchy, "location", run_id)
     keys_full = keys if "state" in keys.columns else keys.withColumn("state", F.lit(None).cast("string"))
     wh.write(keys_full, "street_keys", run_id)
@@ -157,6 +166,8 @@ def _run(wh: Warehouse, batch: DataFrame, run_id: int, as_of, compare: str, pare
     # dimension can only come from this run's rows, so only they are scanned.
     dim, _ = product.populate_product(wh.read("clean", [run_id]),
                                       wh.read("product", [prev]) if prev is not None else None)
+    if reversion:
+        dim = product.scd2_reversion(cut_lineage(dim), clean_all)
     wh.write(dim, "product", run_id)
 
     # 5. fact and 6. cube, from the stored dimensions

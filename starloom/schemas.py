@@ -85,13 +85,14 @@ LANDING_SCHEMA = T.StructType(
 )
 
 PRICE_TYPE = T.DecimalType(18, 2)
-FACT_PRICE_TYPE = T.DecimalType(10, 2)
-CUBE_SUM_TYPE = T.DecimalType(20, 2)
+# Any 64-bit quantity times any price fits, so one odd sale never ends a run.
+FACT_PRICE_TYPE = T.DecimalType(38, 2)
+CUBE_SUM_TYPE = T.DecimalType(38, 2)
 
 CLEAN_SCHEMA = T.StructType([
-    T.StructField("order_id", T.IntegerType()),
+    T.StructField("order_id", T.LongType()),
     T.StructField("product", T.StringType()),
-    T.StructField("quantity_ordered", T.IntegerType()),
+    T.StructField("quantity_ordered", T.LongType()),
     T.StructField("price_each", PRICE_TYPE),
     T.StructField("order_date", T.TimestampType()),
     T.StructField("purchase_address", T.StringType()),

@@ -46,10 +46,15 @@ def landing(spark, rows, ts=T0):
 
 
 def test_reasons_in_order(spark):
-    tagged = quality.tag_rows(landing(spark, EDGE_ROWS), AS_OF)
+    # With the source's INT limits; without them only what 64 bits cannot hold is out of range.
+    tagged = quality.tag_rows(landing(spark, EDGE_ROWS), AS_OF, int_limits=True)
     got = {r["order_id"]: r["error_reason"] for r in tagged.select("order_id", "error_reason").collect()}
     for row in EDGE_ROWS:
         assert got[row[0]] == row[6], row
+    wide = [("99999999999", "X", "1", "1", "01/02/23 07:05", "a"), ("9" * 19, "X", "1", "1", "01/02/23 07:05", "a"),
+            ("16", "X", "9" * 19, "1", "01/02/23 07:05", "a")]
+    got = {r["order_id"]: r["error_reason"] for r in quality.tag_rows(landing(spark, wide), AS_OF).collect()}
+    assert got == {"99999999999": None, "9" * 19: S.REASON_ORDER_ID_RANGE, "16": S.REASON_QTY_RANGE}
 
 
 def test_clean_typed_values(spark):
@@ -66,7 +71,7 @@ def test_clean_typed_values(spark):
 
 def test_split_is_a_partition_of_the_input(spark):
     df = landing(spark, EDGE_ROWS)
-    clean, errors = quality.validate_split(df, AS_OF)
+    clean, errors = quality.validate_split(df, AS_OF, int_limits=True)
     assert clean.count() + errors.count() == df.count()
     assert clean.count() == sum(1 for r in EDGE_ROWS if r[6] is None)
 
