@@ -4,7 +4,8 @@ Documents are reduced to fragments around anchors (``repeats``), dealt and sorte
 that stand in two documents or more are confirmed as recurring passages; they are compiled into an Aho-Corasick automaton
 (pyahocorasick; every distinct word of the shard is one symbol), and all fragments of the shard are streamed through it, which locates
 every occurrence of every passage. A window recurs if its passage was located in a document of smaller id. Where one anchor fills several shards, all
-their fragments are streamed through the automaton of each shard in turn.
+their fragments are streamed through the automaton of each shard in turn. Anchors of more than ``HEAVY`` words are split by
+window (see ``repeats``).
 
 Defined results: NULL and blank texts have no words; texts under 50 words are kept. Windows within one document do not count as
 recurring. Repeated rows (equal id) do not count as different documents. NULL ids count as the smallest id.
@@ -26,6 +27,7 @@ from starloom.llm.suffix_dedup import covered
 
 WINDOW, GRAM = 50, 6
 SHARD = 1 << 20
+HEAVY = 1 << 19  # words of one anchor that are streamed through the automata of several shards in one task
 
 RESULT = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
                        T.StructField("kept", T.BinaryType())])
@@ -122,9 +124,9 @@ def decide(batches, window: int = WINDOW, shard: int = SHARD):
 
 
 def remove_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-                    gram: int = GRAM, shard: int = SHARD) -> tuple[DataFrame, str]:
+                    gram: int = GRAM, shard: int = SHARD, heavy: int = HEAVY) -> tuple[DataFrame, str]:
     """``docs`` with a struct column more, and that column's name: n_words, n_removed, kept (the words left, joined by one space)."""
-    found = recurring(docs, id_col, text_col, word_windows(window, gram), lambda b: decide(b, window, shard))
+    found = recurring(docs, id_col, text_col, word_windows(window, gram), lambda b: decide(b, window, shard), heavy)
 
     @F.arrow_udf(RESULT)
     def strip(texts: pa.Array, spans: pa.Array) -> pa.Array:

@@ -3,7 +3,8 @@
 from starloom.llm.decontaminate import op1_decontaminate
 from starloom.llm.extract import op3_extract
 from starloom.llm.language import op9_language
-from starloom.llm.mixing import OP10_SQL, op10_mix
+from starloom.llm.mixing import op10_mix
+from starloom.llm.oracle import ORACLE  # noqa: F401
 from starloom.llm.phrase_dedup import op8_phrase_dedup
 from starloom.llm.search import op5_search
 from starloom.llm.secrets import op6_secrets
@@ -14,4 +15,3 @@ from starloom.llm.token_counts import op7_token_counts
 QUERIES = {f.__name__: f for f in (
     op1_decontaminate, op2_suffix_dedup, op3_extract, op4_simhash, op5_search, op6_secrets, op7_token_counts, op8_phrase_dedup, op9_language, op10_mix)}
 
-ORACLE = {"op10_mix": OP10_SQL}

@@ -11,6 +11,10 @@ An anchor with one text needs nothing more. Only fragments of anchors with sever
 copies) are cut out of the documents and given to ``decide``, the operator's own method, dealt and sorted by anchor. What it returns and the places known before are
 the recurring windows; each document then meets its own by key.
 
+Heavy anchors. A line of boilerplate in very many different contexts is one anchor with very many different texts. Where an anchor's
+fragments add up to more than ``heavy`` symbols, its windows are dealt one by one, by their whole content: the earliest place of
+each is a partial aggregation, and an equi-join finds the later ones. So no task holds more than ``heavy`` symbols of one anchor.
+
 Documents are told apart by id and a digest of the text. Rows equal in both are one document given twice and get equal results.
 NULL ids count as the smallest id.
 """
@@ -26,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import utf8
+from starloom.llm.common import chunks, utf8
 from starloom.session import cut_lineage
 
 PIECE = 1 << 19  # symbols hashed at a time
@@ -167,29 +171,34 @@ def classify(found: DataFrame, w: Windows) -> DataFrame:
     """doc, tie, start, n of windows known to recur (h NULL) and of fragments to be decided (h: their anchor)."""
     dealt = found.repartition("h").sortWithinPartitions("h", "fh", "n", "doc", "tie", "start")
 
-    def of(rows):
+    def of(rows, told):
         h, fh, doc, tie, start, n = rows
         known = n < 0
         new = np.concatenate([[True], (h[1:] != h[:-1]) | (fh[1:] != fh[:-1]) | (n[1:] != n[:-1])])
         group = np.cumsum(np.concatenate([[True], h[1:] != h[:-1]])) - 1
         several = (np.bincount(group, new & ~known) > 1)[group]
+        several |= told & (group == 0)
         first = new if not w.other_documents else doc == doc[np.flatnonzero(new)[np.cumsum(new) - 1]]
         recur, check = known | ~first, ~known & first & several
         out = recur | check
+        out[0] &= not told
         return pa.record_batch([pa.array(h[out], mask=recur[out]), *(pa.array(x[out]) for x in (doc, tie, start)),
-                                pa.array(np.abs(n[out]))], ["h", "doc", "tie", "start", "n"])
+                                pa.array(np.abs(n[out]))], ["h", "doc", "tie", "start", "n"]), several, new
 
     def run(batches):
-        held = None
+        held, told = None, False  # told: the first held row is out already and stands for its text; its anchor has several
         for b in batches:
             rows = [b.column(i).to_numpy(zero_copy_only=False) for i in range(6)]
             held = rows if held is None else [np.concatenate(x) for x in zip(held, rows)]
-            cut = np.searchsorted(held[0], held[0][-1])  # the last anchor may go on
-            if cut:
-                yield of([x[:cut] for x in held])
-                held = [x[cut:] for x in held]
+            result, several, new = of(held, told)
+            if several[-1]:  # the last anchor may go on, but what it holds is decided
+                yield result
+                held, told = [x[np.flatnonzero(new)[-1]:][:1] for x in held], True
+            elif cut := np.searchsorted(held[0], held[0][-1]):  # its only text so far waits
+                yield of([x[:cut] for x in held], told)[0]
+                held, told = [x[cut:] for x in held], False
         if held is not None and len(held[0]):
-            yield of(held)
+            yield of(held, told)[0]
     return dealt.mapInArrow(run, "h long, doc long, tie long, start long, n long")
 
 
@@ -199,7 +208,27 @@ def release(spark) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def recurring(docs: DataFrame, id_col: str, text_col: str, w: Windows, decide: Callable) -> DataFrame:
+def _one_by_one(pieces: DataFrame, w: Windows) -> DataFrame:
+    """Windows of the fragments (doc, tie, start, n = 1) that stand earlier too, decided by the content of each."""
+    def cut(batches):
+        for b in batches:
+            for part in chunks(zip(*(b.column(i).to_pylist() for i in range(1, 6))), lambda x: x[3], 50_000):
+                out: list[list] = [[] for _ in range(4)]
+                for doc, tie, start, n, body in part:
+                    symbols = w.split(body)
+                    for column, values in zip(out, ([doc] * n, [tie] * n, range(start, start + n),
+                                                    (w.join(symbols[i:i + w.size]) for i in range(n)))):
+                        column.extend(values)
+                yield pa.record_batch([*(pa.array(x, pa.int64()) for x in out[:3]), pa.array(out[3], pa.binary())],
+                                      ["doc", "tie", "start", "body"])
+    windows = cut_lineage(pieces.mapInArrow(cut, "doc long, tie long, start long, body binary"), "repeats-windows")
+    place = F.struct("doc", "tie", "start")
+    first = windows.groupBy("body").agg(F.min(place).alias("first"))
+    later = F.col("doc") > F.col("first.doc") if w.other_documents else place > F.col("first")
+    return windows.join(first, "body").filter(later).select("doc", "tie", "start", F.lit(1).cast("long").alias("n"))
+
+
+def recurring(docs: DataFrame, id_col: str, text_col: str, w: Windows, decide: Callable, heavy: int) -> DataFrame:
     """``row`` (the row of ``docs`` as a struct), ``_text`` and ``spans``: start, n of its recurring windows, unordered."""
     spark = docs.sparkSession
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
@@ -209,8 +238,9 @@ def recurring(docs: DataFrame, id_col: str, text_col: str, w: Windows, decide: C
     known = cut_lineage(classify(places(narrow, w), w), "repeats-places")
     release(spark)
 
-    asked = (known.filter(F.col("h").isNotNull()).groupBy("doc", "tie")
-             .agg(F.collect_list(F.struct("h", "start", "n")).alias("asked")))
+    open_ = known.filter(F.col("h").isNotNull())
+    many = cut_lineage(open_.groupBy("h").agg(F.sum(F.col("n") + (w.size - 1)).alias("symbols"))
+                       .filter(F.col("symbols") > heavy).select("h"), "repeats-heavy")
 
     def cut(batches):
         for b in batches:
@@ -223,13 +253,19 @@ def recurring(docs: DataFrame, id_col: str, text_col: str, w: Windows, decide: C
                         part.append(value)
             yield pa.record_batch([*(pa.array(x, pa.int64()) for x in out[:5]), pa.array(out[5], pa.binary())],
                                   ["h", "doc", "tie", "start", "n", "body"])
-    # Rows given twice are cut once a row: equal fragments of equal places do no harm.
-    pieces = (narrow.join(asked, (F.col("_doc") == F.col("doc")) & (F.col("_tie") == F.col("tie")))
-              .select("_text", "doc", "tie", "asked")
-              .mapInArrow(cut, "h long, doc long, tie long, start long, n long, body binary"))
+
+    def pieces(fragments: DataFrame) -> DataFrame:
+        """The fragments with their text. Rows given twice are cut once a row: equal fragments of equal places do no harm."""
+        asked = fragments.groupBy("doc", "tie").agg(F.collect_list(F.struct("h", "start", "n")).alias("asked"))
+        return (narrow.join(asked, (F.col("_doc") == F.col("doc")) & (F.col("_tie") == F.col("tie")))
+                .select("_text", "doc", "tie", "asked")
+                .mapInArrow(cut, "h long, doc long, tie long, start long, n long, body binary"))
+    single = many.isEmpty()
     decided = cut_lineage(
-        pieces.repartition("h").sortWithinPartitions("h")
+        pieces(open_ if single else open_.join(many, "h", "left_anti")).repartition("h").sortWithinPartitions("h")
         .mapInArrow(lambda batches: decide(batches), "doc long, tie long, start long, n long"), "repeats-decided")
+    if not single:
+        decided = decided.union(cut_lineage(_one_by_one(pieces(open_.join(many, "h", "left_semi")), w), "repeats-later"))
     release(spark)
     spans = (known.filter(F.col("h").isNull()).select("doc", "tie", "start", "n").union(decided)
              .groupBy("doc", "tie").agg(F.collect_list(F.struct("start", "n")).alias("spans")))

@@ -5,7 +5,7 @@ Each shard of about ``SHARD`` bytes builds its suffix array by Larsson-Sadakane
 double the sorted length, touching only groups that are not yet single), and the common prefixes of neighbours by Kasai's walk in
 text order, in many lanes at once. Neighbours with a common prefix of ``WINDOW`` bytes hold the same string; all but the earliest recur. Where one
 anchor fills several shards, their sorted strings are merged by binary search: a string's earliest place over all shards
-is found in the merged table.
+is found in the merged table. Anchors of more than ``HEAVY`` bytes are split by window (see ``repeats``).
 
 Defined results: NULL is an empty text. Strings are bytes of UTF-8, so what is left may cut a character; results are digests and
 counts of bytes. Texts under 100 bytes are kept. Repeated rows (equal id and text) are one document given twice: equal
@@ -27,6 +27,7 @@ from starloom.llm.repeats import Windows, blocks, recurring
 
 WINDOW, GRAM = 100, 24
 SHARD = 1 << 20
+HEAVY = 4 * SHARD  # bytes of one anchor that are merged from several shards in one task
 _TABLE = np.random.default_rng(20240501).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 RESULT = T.StructType([T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
@@ -193,9 +194,9 @@ def covered(spans: list[dict], window: int) -> list[list[int]]:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-                   gram: int = GRAM, shard: int = SHARD) -> tuple[DataFrame, str]:
+                   gram: int = GRAM, shard: int = SHARD, heavy: int = HEAVY) -> tuple[DataFrame, str]:
     """``docs`` with a struct column more, and that column's name: n_bytes, n_removed, n_spans, kept (the bytes left)."""
-    found = recurring(docs, id_col, text_col, byte_windows(window, gram), lambda b: decide(b, window, shard))
+    found = recurring(docs, id_col, text_col, byte_windows(window, gram), lambda b: decide(b, window, shard), heavy)
 
     @F.arrow_udf(RESULT)
     def strip(texts: pa.Array, spans: pa.Array) -> pa.Array:

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from starloom.llm import (components, decontaminate, extract, language, mixing, phrase_dedup, search, secrets,
+from starloom.llm import (components, decontaminate, extract, language, mixing, phrase_dedup, repeats, search, secrets,
                           simhash, suffix_dedup, token_counts)
 from starloom.llm.automata import compile_rules
 
@@ -87,8 +87,8 @@ def test_op2_bytes(docs):
             if seen.setdefault(b[i:i + 100], (d[0], i)) != (d[0], i):
                 gone[i:i + 100] = b"\1" * 100
         expected[(d[0], d[1])] = (len(b), sum(gone), hashlib.sha256(bytes(x for x, g in zip(b, gone) if not g)).hexdigest())
-    for shard in (1 << 20, 500):
-        got, name = suffix_dedup.remove_repeats(docs, shard=shard)
+    for shard, heavy in ((1 << 20, 1 << 22), (500, 1 << 22), (500, 300)):
+        got, name = suffix_dedup.remove_repeats(docs, shard=shard, heavy=heavy)
         assert got.columns[:-1] == docs.columns
         for r in got.collect():
             d = r[name]
@@ -103,8 +103,8 @@ def test_op8_passages(docs):
         w = words(d[1])
         for i in range(len(w) - 49):
             first.setdefault(b" ".join(w[i:i + 50]), key(d))
-    for shard in (1 << 20, 300):
-        got, name = phrase_dedup.remove_passages(docs, shard=shard)
+    for shard, heavy in ((1 << 20, 1 << 19), (300, 1 << 19), (300, 60)):
+        got, name = phrase_dedup.remove_passages(docs, shard=shard, heavy=heavy)
         for r in got.collect():
             w, gone = words(r.text), set()
             for i in range(len(w) - 49):
@@ -113,6 +113,33 @@ def test_op8_passages(docs):
             assert r[name].n_removed == len(gone) and bytes(r[name].kept) == b" ".join(x for i, x in enumerate(w) if i not in gone)
 
 
+def test_places_are_classified_alike_in_any_batches(spark):
+    r = random.Random(5)
+    plain = sorted((r.randrange(4), r.randrange(3) * r.randrange(2), r.randrange(5), 0, i, 2) for i in range(400))
+    frame = spark.createDataFrame(plain, "h long, fh long, doc long, tie long, start long, n long")
+    texts = {h: {x[1] for x in plain if x[0] == h} for h in range(4)}
+    lone = [(9, 1, d, 0, d, 2) for d in range(30)]  # one text only
+    frame = frame.union(spark.createDataFrame(lone, frame.schema)).union(spark.createDataFrame([(7, 7, 1, 0, 50, -3)], frame.schema))
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    for w in (suffix_dedup.byte_windows(), phrase_dedup.word_windows()):
+        expected, first = Counter(), {}
+        for x in sorted(plain + lone, key=lambda x: (x[0], x[1], x[5], *x[2:5])):
+            new = x[:2] not in first
+            first.setdefault(x[:2], x[2])
+            if not new and not (w.other_documents and x[2] == first[x[:2]]):
+                expected[(None, *x[2:])] += 1
+            elif len(texts.get(x[0], ())) > 1:
+                expected[(x[0], *x[2:])] += 1
+        expected[(None, 1, 0, 50, 3)] += 1
+        for n in (1, 3, 1000):
+            spark.conf.set(size, n)
+            try:
+                got = Counter(tuple(x) for x in repeats.classify(frame, w).collect())
+            finally:
+                spark.conf.unset(size)
+            assert got == expected
+
+
 def test_op4_fingerprints_and_components(spark, docs):
     def brute(text):
         w = words((text or "").lower() if (text or "").isascii() else text)
