@@ -43,6 +43,21 @@ def cube_slice(cube: DataFrame, **fixed) -> DataFrame:
     return cube.filter(cond)
 
 
+def fact_slice(fact: DataFrame, keys=KEYS, measure: str = "total_price", out: str = "total_price_sum", **fixed) -> DataFrame:
+    """The rows ``cube_slice(sales_cube(fact), **fixed)`` gives, from the fact: one grouping set, no Expand.
+
+    Every key is fixed; those with None are rolled up, a value is filtered before the aggregation.
+    """
+    kept = [k for k in keys if fixed[k] is not None]
+    rows = fact
+    for k in kept:
+        rows = rows.filter(F.col(k).isNotNull() if fixed[k] == "*" else F.col(k) == F.lit(fixed[k]))
+    total = F.sum(measure).cast(CUBE_SUM_TYPE).alias(out)
+    summed = rows.groupBy(*kept).agg(total) if kept else rows.agg(total)
+    order = ["product_surrogate_id", "address_id", "time_id"] if tuple(keys) == KEYS else keys
+    return summed.select(*[F.col(k) if k in kept else F.lit(None).cast(fact.schema[k].dataType).alias(k) for k in order], out)
+
+
 def rollup_time(fact: DataFrame, time_dim: DataFrame, level: str, measure: str = "total_price",
                 out: str = "total_price_sum") -> DataFrame:
     """Sum the fact at a main-branch calendar level: month, quarter, half or year.
@@ -69,13 +84,14 @@ def rollup_location(fact: DataFrame, hierarchy: DataFrame, level: int, measure:
     """Sum a keyed (street-grain) fact at a location level (0 street .. 3 state).
 
     The fact is reduced to one row per street node before walking up the
-    parent chain, so each join carries at most one row per node.
+    parent chain, so each join carries at most one row per node. Every step reads the nodes of its own level
+    only (a stored hierarchy prunes them in the scan).
     """
     cur = fact.groupBy(F.col("address_id").alias("_node")).agg(F.sum(measure).alias("_m"))
-    parents = hierarchy.select(F.col("address_id").alias("_child"), F.col("parent_id").alias("_up"))
-    for _ in range(level):
+    for step in range(level):
+        parents = hierarchy.filter(F.col("level") == step).select(F.col("address_id").alias("_child"), F.col("parent_id").alias("_up"))
         cur = (cur.join(parents, cur["_node"] == parents["_child"])
                .groupBy(F.col("_up").alias("_node")).agg(F.sum("_m").alias("_m")))
-    names = hierarchy.select(F.col("address_id").alias("_node"), "address_name")
+    names = hierarchy.filter(F.col("level") == level).select(F.col("address_id").alias("_node"), "address_name")
     return cur.join(names, "_node").select(
         F.col("_node").alias("address_id"), "address_name", F.col("_m").cast(CUBE_SUM_TYPE).alias(out))

@@ -102,7 +102,8 @@ def build_order_fact(clean: DataFrame, product: DataFrame, time_dim: DataFrame,
         nodes = hierarchy.select(F.col("address_id").alias("_a_id"), F.col("address_name").alias("_a_name"),
                                  F.col("address_type").alias("_a_type"), F.col("parent_id").alias("_a_parent"),
                                  F.col("level").alias("_a_level"))
-        m = substring_matches(spt.select("purchase_address"), hierarchy).select(
+        # Addresses come from the sales alone: the product and calendar joins are planned once.
+        m = substring_matches(sales.select("purchase_address"), hierarchy).select(
             F.col("purchase_address").alias("_m_addr"), F.col("address_id").alias("_m_id"))
         located = (spt.join(m, spt["purchase_address"] == m["_m_addr"])
                    .join(nodes, F.col("_m_id") == F.col("_a_id")))

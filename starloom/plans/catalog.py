@@ -267,8 +267,13 @@ def q_sales_cube_substring(spark, sf):
 
 
 def q_cube_slice(spark, sf):
+    return cube.fact_slice(Model(spark, sf).fact(), product_surrogate_id="*", time_id=None, address_id=None)
+
+
+def q_cube_slice_stored(spark, sf):
+    """The slice of one address level cut from a whole cube."""
     c = cube.sales_cube(Model(spark, sf).fact())
-    return cube.cube_slice(c, product_surrogate_id="*", time_id=None, address_id=None)
+    return cube.cube_slice(c, product_surrogate_id=None, time_id=None, address_id="*")
 
 
 def q_rollup_month(spark, sf):
@@ -282,8 +287,30 @@ def q_rollup_quarter(spark, sf):
 
 
 def q_rollup_state(spark, sf):
+    return _rollup_location(spark, sf, 3)
+
+
+def q_rollup_half(spark, sf):
+    m = Model(spark, sf)
+    return cube.rollup_time(m.fact(), m.time, "half")
+
+
+def q_rollup_year(spark, sf):
+    m = Model(spark, sf)
+    return cube.rollup_time(m.fact(), m.time, "year")
+
+
+def q_rollup_city(spark, sf):
+    return _rollup_location(spark, sf, 1)
+
+
+def q_rollup_postal(spark, sf):
+    return _rollup_location(spark, sf, 2)
+
+
+def _rollup_location(spark, sf, level):
     m = Model(spark, sf)
-    return cube.rollup_location(m.fact(), m.hierarchy, 3)
+    return cube.rollup_location(m.fact(), cut_lineage(m.hierarchy, "hierarchy"), level)
 
 
 # -- scalar function families (O-58) ------------------------------------------------------------
@@ -333,6 +360,13 @@ def q_warehouse_totals(spark, sf):
     return run_batches_from_landing(spark, dirty_landing(spark, sf), AS_OF)
 
 
+def q_warehouse_fact(spark, sf):
+    """The fact's rows after three arrival runs, through the analyst view (ids, which follow arrival, left out)."""
+    from starloom.plans.warehouse import register_views, replay_landing
+    register_views(replay_landing(spark, dirty_landing(spark, sf), AS_OF))
+    return spark.table("order_fact").select("order_id", "quantity", "total_price", "product", "time_id", "address_name")
+
+
 def q_stream_equals_batch(spark, sf):
     from starloom.streaming.trigger import stream_totals_from_landing
     return stream_totals_from_landing(spark, dirty_landing(spark, sf), AS_OF)

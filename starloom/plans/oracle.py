@@ -272,6 +272,21 @@ ver AS (SELECT i.id, 'PROD-' || lpad(CAST(n.n AS VARCHAR), 5, '0') AS product_id
 {closed_versions('ver')}"""
 
 
+_FACT_AFTER_RUNS = """SELECT s.order_id, s.quantity_ordered AS quantity, CAST(s.quantity_ordered * p.price_each AS DECIMAL(38,2)) AS total_price,
+  p.product, 'D_' || strftime(s.order_date, '%Y%m%d') AS time_id, k.street AS address_name
+  FROM clean s JOIN pcur p ON upper(s.product) = upper(p.product)
+  JOIN streets k ON k.street = trim(split_part(s.purchase_address, ',', 1))
+   AND k.city = trim(split_part(s.purchase_address, ',', 2))
+   AND k.postal_code = trim(split_part(s.purchase_address, ' ', -1))
+   AND k.state = upper(trim(split_part(split_part(s.purchase_address, ',', 3), ' ', 2)))"""
+
+
+def _warehouse_fact(landing_cte_sql: str) -> str:
+    """The fact after three arrival runs: the same steps, another last SELECT."""
+    steps, _, _ = _warehouse_totals(landing_cte_sql).partition("SELECT 'landing' AS table_name")
+    return steps + _FACT_AFTER_RUNS
+
+
 def _warehouse_totals(landing_cte_sql: str) -> str:
     """Three arrival runs, replayed in SQL: per-table (rows, amount) after the last run."""
     return f"""WITH landing AS ({landing_cte_sql}),
@@ -387,6 +402,23 @@ ORACLE: dict[str, str] = {
                  FROM fact GROUP BY CUBE (product_surrogate_id, time_id, address_id)) SELECT * FROM cube""",
     "cube_slice": f"""{FACT} SELECT product_surrogate_id, CAST(NULL AS VARCHAR) AS address_id, CAST(NULL AS VARCHAR) AS time_id,
         CAST(sum(total_price) AS DECIMAL(38,2)) AS total_price_sum FROM fact GROUP BY product_surrogate_id""",
+    "cube_slice_stored": f"""{FACT} SELECT CAST(NULL AS BIGINT) AS product_surrogate_id, address_id, CAST(NULL AS VARCHAR) AS time_id,
+        CAST(sum(total_price) AS DECIMAL(38,2)) AS total_price_sum FROM fact GROUP BY address_id""",
+    "rollup_half": f"""{FACT} SELECT h.time_id, h.time_name, CAST(sum(total_price) AS DECIMAL(38,2)) AS total_price_sum
+        FROM fact f JOIN tdim m ON m.time_id = f.time_parent AND m.timebranch = 'main'
+        JOIN tdim q ON q.time_id = m.time_parent AND q.timebranch = 'main'
+        JOIN tdim h ON h.time_id = q.time_parent AND h.timebranch = 'main' GROUP BY h.time_id, h.time_name""",
+    "rollup_year": f"""{FACT} SELECT y.time_id, y.time_name, CAST(sum(total_price) AS DECIMAL(38,2)) AS total_price_sum
+        FROM fact f JOIN tdim m ON m.time_id = f.time_parent AND m.timebranch = 'main'
+        JOIN tdim q ON q.time_id = m.time_parent AND q.timebranch = 'main'
+        JOIN tdim h ON h.time_id = q.time_parent AND h.timebranch = 'main'
+        JOIN tdim y ON y.time_id = h.time_parent AND y.timebranch = 'main' GROUP BY y.time_id, y.time_name""",
+    "rollup_city": f"""{FACT} SELECT c.address_id, c.address_name, CAST(sum(total_price) AS DECIMAL(38,2)) AS total_price_sum
+        FROM fact f JOIN hier s ON s.address_id = f.address_id JOIN hier c ON c.address_id = s.parent_id
+        GROUP BY c.address_id, c.address_name""",
+    "rollup_postal": f"""{FACT} SELECT p.address_id, p.address_name, CAST(sum(total_price) AS DECIMAL(38,2)) AS total_price_sum
+        FROM fact f JOIN hier s ON s.address_id = f.address_id JOIN hier c ON c.address_id = s.parent_id
+        JOIN hier p ON p.address_id = c.parent_id GROUP BY p.address_id, p.address_name""",
     "rollup_month": f"""{FACT} SELECT f.time_parent AS time_id, t.time_name, CAST(sum(total_price) AS DECIMAL(38,2)) AS total_price_sum
         FROM fact f JOIN tdim t ON t.time_id = f.time_parent AND t.timebranch = 'main' GROUP BY f.time_parent, t.time_name""",
     "rollup_quarter": f"""{FACT} SELECT q.time_id, q.time_name, CAST(sum(total_price) AS DECIMAL(38,2)) AS total_price_sum
@@ -431,5 +463,6 @@ ORACLE: dict[str, str] = {
         coalesce(price_each, '') AS price_each, coalesce(order_date, '') AS order_date,
         coalesce(purchase_address, '') AS purchase_address, TIMESTAMP '2024-01-04 00:00:00' AS updated_at FROM landing""",
     "warehouse_totals": _warehouse_totals(LANDING_SQL),
+    "warehouse_fact": _warehouse_fact(LANDING_SQL),
     "stream_equals_batch": _warehouse_totals(LANDING_AS_CSV),
 }

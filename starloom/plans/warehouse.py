@@ -143,8 +143,12 @@ def _run(wh: Warehouse, batch: DataFrame, run_id: int, as_of, compare: str, pare
     wh.write(errors_new, "errors", run_id)
     clean_all = wh.read("clean", done + [run_id])
 
-    # 2. calendar
-    wh.write(calendar.build_time_dimension(clean_all), "time_dim", run_id)
+    # 2. calendar: the days it has already and this run's sales span the same days as all clean rows
+    sold = wh.read("clean", [run_id]).select("order_date")
+    if prev is not None:
+        sold = sold.unionByName(calendar.main_days(wh.read("time_dim", [prev])).select(
+            F.col("day_date").cast("timestamp").alias("order_date")))
+    wh.write(calendar.build_time_dimension(sold), "time_dim", run_id)
 
     # 3. locations, from raw landing rows. The distinct address set is kept
     # per run (previous set + this batch), so history is never re-parsed. Stored
@@ -209,17 +213,23 @@ def warehouse_totals(wh: Warehouse) -> DataFrame:
     return out
 
 
-def run_batches_from_landing(spark: SparkSession, landing: DataFrame, as_of=None, root: str | None = None,
-                             **options) -> DataFrame:
-    """Replay a landing table as its arrival batches (one run per distinct stamp)."""
+def replay_landing(spark: SparkSession, landing: DataFrame, as_of=None, root: str | None = None, **options) -> Warehouse:
+    """Replay a landing table as its arrival batches (one run per distinct stamp), read from one written copy."""
     from starloom.session import scratch_path
     root = root or scratch_path(spark, "warehouse")
     wh = Warehouse(spark, root)
+    landing = cut_lineage(landing, "replay")
     # One row per arrival batch: bounded by the number of batches, not by rows.
     stamps = [r[0] for r in landing.select("updated_at").distinct().orderBy("updated_at").collect()]
     for i, ts in enumerate(stamps):
         run_warehouse_batch(wh, landing.filter(F.col("updated_at") == F.lit(ts)), i, as_of, **options)
-    return warehouse_totals(wh)
+    return wh
+
+
+def run_batches_from_landing(spark: SparkSession, landing: DataFrame, as_of=None, root: str | None = None,
+                             **options) -> DataFrame:
+    """The totals of every table after ``replay_landing``."""
+    return warehouse_totals(replay_landing(spark, landing, as_of, root, **options))
 
 
 VIEW_NAMES = {
