@@ -15,7 +15,8 @@ Heavy anchors. A line of boilerplate in very many different contexts is one anch
 fragments add up to more than ``heavy`` symbols, its windows are dealt one by one, by their whole content: the earliest place of
 each is a partial aggregation, and an equi-join finds the later ones. So no task holds more than ``heavy`` symbols of one anchor.
 
-Documents are told apart by id and a digest of the text. Rows equal in both are one document given twice and get equal results.
+Documents are told apart by id and a digest of the text. Rows equal in both are one document given twice: their places are one place,
+which is not earlier than itself, so a row that is only repeated keeps its text in every copy.
 NULL ids count as the smallest id.
 """
 
@@ -133,6 +134,17 @@ def _batch_places(docs: list[tuple[int, int, bytes]], w: Windows):
     return [np.concatenate(x) if x else np.empty(0, np.int64) for x in out]
 
 
+def _new(columns) -> np.ndarray:
+    """Whether each of the sorted rows differs from the one before."""
+    return np.concatenate([[True], np.any([x[1:] != x[:-1] for x in columns], axis=0)])
+
+
+def _once(rows: list[np.ndarray]) -> list[np.ndarray]:
+    """Sorted rows without equal ones: a place that is given twice is one place, which is not after itself."""
+    own = _new(rows)
+    return rows if own.all() else [x[own] for x in rows]
+
+
 def places(docs: DataFrame, w: Windows) -> DataFrame:
     """Runs of every document, one per text and batch; n < 0 marks -n windows known to recur."""
     def find(batches):
@@ -144,8 +156,8 @@ def places(docs: DataFrame, w: Windows) -> DataFrame:
                 continue
             doc, tie = (np.array(x, np.int64)[d] for x in (ids, ties))
             order = np.lexsort((start, tie, doc, n, fh, h))
-            h, fh, doc, tie, start, n = (x[order] for x in (h, fh, doc, tie, start, n))
-            new = np.concatenate([[True], (h[1:] != h[:-1]) | (fh[1:] != fh[:-1]) | (n[1:] != n[:-1])])
+            h, fh, doc, tie, start, n = _once([x[order] for x in (h, fh, doc, tie, start, n)])
+            new = _new((h, fh, n))
             kept = new
             if w.other_documents:  # places in the first document are not repeats yet
                 kept = doc == doc[np.flatnonzero(new)[np.cumsum(new) - 1]]
@@ -174,7 +186,7 @@ def classify(found: DataFrame, w: Windows) -> DataFrame:
     def of(rows, told):
         h, fh, doc, tie, start, n = rows
         known = n < 0
-        new = np.concatenate([[True], (h[1:] != h[:-1]) | (fh[1:] != fh[:-1]) | (n[1:] != n[:-1])])
+        new = _new((h, fh, n))
         group = np.cumsum(np.concatenate([[True], h[1:] != h[:-1]])) - 1
         several = (np.bincount(group, new & ~known) > 1)[group]
         several |= told & (group == 0)
@@ -189,7 +201,9 @@ def classify(found: DataFrame, w: Windows) -> DataFrame:
         held, told = None, False  # told: the first held row is out already and stands for its text; its anchor has several
         for b in batches:
             rows = [b.column(i).to_numpy(zero_copy_only=False) for i in range(6)]
-            held = rows if held is None else [np.concatenate(x) for x in zip(held, rows)]
+            if not len(rows[0]):
+                continue
+            held = _once(rows if held is None else [np.concatenate(x) for x in zip(held, rows)])
             result, several, new = of(held, told)
             if several[-1]:  # the last anchor may go on, but what it holds is decided
                 yield result
