@@ -9,14 +9,16 @@ The weights are summed over windows of ``WINDOW`` lines. Text starts at a surge
 dive point, where the sum falls to zero; the lines between are kept, in page order. The threshold is 0 in a page
 that marks its article, so that even the shortest paragraph there stays, and ``THRESHOLD`` in others.
 
-Defined results: NULL and empty pages give the empty text. Broken, unclosed or nested markup never fails; an
-element that is not closed is stripped to the end of its parent block at most where it is a paragraph, else to the page's end.
+Defined results: NULL and empty pages give the empty text. Broken, unclosed or nested markup never fails. Elements end as HTML says: at
+their end tag or their parent's; paragraphs, list items, table parts, options and the head also where the next start tag (or,
+for the head, text) implies it. What is in scripts, styles and other raw text is never read as tags. A stripped element is stripped up to its end so found.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -31,13 +33,28 @@ THRESHOLD = 86
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|"
-    r"<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S)
+    r"<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|</?[A-Za-z][^<>]*\Z", re.S)
 _RAW = frozenset("script style textarea title xmp noembed noframes iframe".split())
 _DROP = frozenset("head script style title noscript template iframe svg math object canvas audio video nav header footer aside form "
                   "button select textarea menu dialog noembed noframes xmp".split())
 _BLOCK = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 "
                    "h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
+_HIDDEN = frozenset("head script style title noscript template iframe svg math object canvas audio video button select textarea noembed "
+                    "noframes xmp".split())  # never shown as text of the page
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+_IN_HEAD = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_TABLE = frozenset("table caption tbody thead tfoot tr td th".split())
+_LISTS = frozenset("ul ol menu".split())
+_SCOPE = frozenset("table td th caption template object html".split())  # end tags and implied ends do not reach beyond these
+_ENDS_P = _BLOCK - frozenset("body html legend tbody td tfoot th thead tr".split())
+# A start tag ends the nearest open one of the first set, and all in it, if none of the second set is nearer.
+_ENDS = {"li": ({"li"}, _BLOCK - {"li", "address", "div", "p"} | _SCOPE), "tr": ({"tr", "caption"}, {"table"}),
+         "button": ({"button"}, _SCOPE), "option": ({"option"}, {"select", "datalist", "optgroup"}),
+         "optgroup": ({"optgroup"}, {"select"}),
+         **dict.fromkeys(("dt", "dd"), ({"dt", "dd"}, _BLOCK - {"dt", "dd", "address", "div", "p"} | _SCOPE)),
+         **dict.fromkeys(("td", "th"), ({"td", "th"}, {"tr", "table"})),
+         **dict.fromkeys(("tbody", "thead", "tfoot"), ({"tbody", "thead", "tfoot", "caption"}, {"table"}))}
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _NOT_TEXT = frozenset("ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navbar navigation menu menus "
                       "breadcrumb breadcrumbs sidebar aside footer notice notices cookie cookies consent gdpr popup modal alert comment comments "
@@ -56,70 +73,141 @@ def _names(attributes: str) -> set[str]:
     return found
 
 
-def lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
-    """Lines of the page: (text, characters of link text, inside the marked article); whether the page marks one."""
-    out: list[tuple[str, int, bool]] = []
-    parts: list[str] = []
-    linked = link = 0
-    skip, depth, inside, marked = "", 0, [], False
-
-    def flush():
-        nonlocal linked
-        text = " ".join(entities.unescape("".join(parts)).split())
-        if text:
-            out.append((text, linked, bool(inside)))
-        parts.clear()
-        linked = 0
+class _Element:
+    __slots__ = ("tag", "attributes", "at", "end", "before", "after", "names", "main")
+
+    def __init__(self, tag: str, attributes: str, at: int, before: int):
+        self.tag, self.attributes, self.at, self.before = tag, attributes, at, before  # before, after: unlinked characters up to there
+        self.end, self.after = at + 1, before
+        self.names = _names(attributes) if "=" in attributes else set()
+        self.main = tag in ("article", "main") or "main" in self.names and bool(re.search(r"role\s*=\s*[\"']?main", attributes, re.I))
+
+
+def _parse(page: str) -> tuple[list, int]:
+    """The page in order: texts (text, in a link), None where a line ends, and elements that know where they end; its unlinked characters."""
+    out: list = []
+    stack: list[_Element] = []
+    number: Counter = Counter()  # open elements of each tag
+    link = hidden = unlinked = 0
+
+    def close(first: int, last: int | None = None):
+        nonlocal link, hidden
+        for e in stack[first:last]:
+            e.end, e.after = len(out), unlinked
+            number[e.tag] -= 1
+            link -= e.tag == "a"
+            hidden -= e.tag in _HIDDEN
+            if e.tag in _BLOCK:
+                out.append(None)
+        del stack[first:last]
+
+    def nearest(tags, until) -> int:
+        if not any(number[t] > 0 for t in tags):
+            return -1
+        for i in range(len(stack) - 1, -1, -1):
+            if stack[i].tag in tags:
+                return i
+            if stack[i].tag in until:
+                return -1
+        return -1
 
     at, size = 0, len(page)
     while at < size:
         m = _TOKEN.search(page, at)
         text = page[at:m.start() if m else size]
-        if text and not skip:
-            parts.append(text)
-            linked += len(text) * (link > 0)
+        if text:
+            if stack and stack[-1].tag == "head" and not text.isspace():
+                close(len(stack) - 1)
+            out.append((text, link > 0))
+            if not link and not hidden:
+                unlinked += len(text.strip())
         if not m:
             break
         at = m.end()
         closing, tag, attributes = m[1], (m[2] or "").lower(), m[3] or ""
         if not tag:
             continue
-        if skip:
-            if tag == skip and not attributes.endswith("/"):
-                depth += -1 if closing else 1
-                if not depth:
-                    skip = ""
+        if closing:
+            if tag in _BLOCK:
+                out.append(None)
+            if tag in ("html", "body"):
+                continue
+            tags = _HEADINGS if tag in _HEADINGS else (tag,)
+            i = nearest(tags, ("table",) if tag in _TABLE else _SCOPE | _LISTS if tag == "li" else _SCOPE)
+            if i >= 0:  # an inline element ends alone where blocks opened in it go on
+                close(i, i + 1 if tag not in _BLOCK and any(e.tag in _BLOCK for e in stack[i:]) else None)
             continue
+        if stack and stack[-1].tag == "head" and tag not in _IN_HEAD:
+            close(len(stack) - 1)
+        if tag == "body" and (i := nearest(("head",), ())) >= 0:
+            close(i)
+        if tag in _ENDS_P and (i := nearest(("p",), _SCOPE | {"button"})) >= 0:
+            close(i)
+        if tag in _ENDS:
+            tags, until = _ENDS[tag]
+            if (i := nearest(tags, until)) >= 0:
+                close(i)
+        elif tag == "a" and (i := nearest(("a",), _SCOPE)) >= 0:
+            close(i, i + 1)
+        elif tag in _HEADINGS and stack and stack[-1].tag in _HEADINGS:
+            close(len(stack) - 1)
         if tag in _BLOCK:
-            flush()
+            out.append(None)
         elif tag == "br":
-            parts.append(" ")
-        if closing:
-            link = max(0, link - (tag == "a"))
-            if inside and tag == inside[-1]:
-                inside.pop()
-            elif inside and tag in inside:
-                del inside[inside.index(tag):]
-            continue
+            out.append((" ", False))
         if tag in _VOID or attributes.endswith("/"):
             continue
-        names = _names(attributes) if "=" in attributes else set()
-        main = tag in ("article", "main") or "main" in names and re.search(r"role\s*=\s*[\"']?main", attributes, re.I)
-        bad = tag in _DROP and not (tag == "header" and inside) or (
-            bool(names & _NOT_TEXT) or bool(names & _OUTSIDE) and not inside) and not main and tag not in ("html", "body")
-        if bad:
-            if tag in _RAW:  # holds no tags: up to its own end tag
-                end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-                at = end.end() if end else size
-            else:
-                if tag not in _BLOCK:
-                    parts.append(" ")
-                skip, depth = tag, 1
-        elif main or inside and tag == inside[-1]:
-            inside.append(tag)
-            marked = True
-        elif tag == "a":
-            link += 1
+        if tag in _RAW:  # holds no tags: up to its own end tag
+            end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(page, at)
+            at = end.end() if end else size
+            continue
+        element = _Element(tag, attributes, len(out), unlinked)
+        out.append(element)
+        stack.append(element)
+        number[tag] += 1
+        link += tag == "a"
+        hidden += tag in _HIDDEN
+    close(0)
+    return out, unlinked
+
+
+def _stripped(e: _Element, inside: bool) -> bool:
+    return e.tag in _DROP and not (e.tag == "header" and inside) or (
+        bool(e.names & _NOT_TEXT) or bool(e.names & _OUTSIDE) and not inside) and not e.main and e.tag not in ("html", "body")
+
+
+def lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
+    """Lines of the page: (text, characters of link text, inside the marked article); whether the page marks one."""
+    given, _ = _parse(page)
+    out: list[tuple[str, int, bool]] = []
+    parts: list[str] = []
+    linked, within, marked = 0, False, False
+
+    def flush():
+        nonlocal linked, within
+        text = " ".join(entities.unescape("".join(parts)).split())
+        if text:
+            out.append((text, linked, within))
+        parts.clear()
+        linked, within = 0, False
+
+    i = until = 0  # until: the end of the marked article
+    while i < len(given):
+        x = given[i]
+        if x is None:
+            flush()
+        elif isinstance(x, tuple):
+            parts.append(x[0])
+            linked += len(x[0]) * x[1]
+            within |= i < until
+        elif _stripped(x, i < until):
+            if x.tag not in _BLOCK:
+                parts.append(" ")
+            i = x.end
+            continue
+        elif x.main:
+            until, marked = max(until, x.end), True
+        i += 1
     flush()
     return out, marked
 

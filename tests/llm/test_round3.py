@@ -2,7 +2,7 @@
 
 import random
 
-from starloom.llm import suffix_dedup
+from starloom.llm import extract, suffix_dedup
 
 
 def test_op2_a_row_given_twice_keeps_one_place(spark):
@@ -25,3 +25,18 @@ def test_op2_a_row_given_twice_keeps_one_place(spark):
             removed = x[name].n_removed
             assert removed == expected[x.doc_id, x.text] if x.doc_id != 10 else len(shared) <= removed <= len(shared) + 2
             assert len(x[name].kept) == len(x.text) - removed
+
+
+def test_op3_stripped_elements_end_as_html_says():
+    body = "<article><p>First text.<p>Second text.</article>"
+    for page in ("<html><title>t</title><meta charset=x><p>Not shown</p>" + body, "<head><title>t</title><body>" + body,
+                 "<head><title>t</title>" + body, "<div><p class=notice>Buy<div>" + body + "</div></div>",
+                 "<ul><li class=menu>Menu<li>x</ul>" + body, "<table><tr><td class=sidebar>Side<td>" + body + "</table>",
+                 "<dl><dt class=ad>Ad<dd>x</dl>" + body, "<select><option>a<option>b</select>" + body,
+                 "<div class=ad><script>document.write('<div>')</script></div>" + body, "<div class=ad><textarea><div></textarea></div>" + body,
+                 "<div><nav>Menu<ul><li>x</div>" + body):
+        assert extract.main_text(page) == "First text.\nSecond text.", page
+    inner = "<article><p>One.</p>{}<p>Two.</p></article>"
+    for x in ("<p class=ad>buy", "<ul><li class=ad>buy</ul>", "<table><tr class=ad><td>buy</table>", "<div class=ad><style>a>b{}<div></style>buy</div>",
+              "<div class=ad><p>buy<p>buy</div>", "<div><form>go</div>"):
+        assert extract.main_text(inner.format(x)) == "One.\nTwo.", x
