@@ -1,8 +1,9 @@
 """HTML extraction by line-block distribution.
 
 Markup is stripped to lines, one a block: block elements end a line, inline ones and ``<br>`` do not. Elements that never hold
-article text (scripts, styles, menus, forms, footers, ...) and elements whose class, id or role names such a part (adverts, notices, sidebars,
-comments, ...) are stripped with all they hold. Each line's weight is the length of its text; where the page marks its
+article text (scripts, styles, menus, forms, footers, ...) and elements with a class, id or role whose whole name is that of such a part (adverts,
+notices, sidebars, comments, ...) are stripped with all they hold. Ids count for containers outside the marked article only, and no shown element
+goes that holds the article or more than half of the page's unlinked text. Each line's weight is the length of its text; where the page marks its
 article (``<article>``, ``<main>``, role main), lines outside it weigh nothing; elsewhere link text does not count.
 
 The weights are summed over windows of ``WINDOW`` lines. Text starts at a surge point, where the sum climbs over the threshold, and ends at a
@@ -55,32 +56,39 @@ _ENDS = {"li": ({"li"}, _BLOCK - {"li", "address", "div", "p"} | _SCOPE), "tr":
          **dict.fromkeys(("dt", "dd"), ({"dt", "dd"}, _BLOCK - {"dt", "dd", "address", "div", "p"} | _SCOPE)),
          **dict.fromkeys(("td", "th"), ({"td", "th"}, {"tr", "table"})),
          **dict.fromkeys(("tbody", "thead", "tfoot"), ({"tbody", "thead", "tfoot", "caption"}, {"table"}))}
-_ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_ATTR = re.compile(r"([^\s=\"'/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
+# Whole names of classes, roles and ids; '_' counts as '-'.
 _NOT_TEXT = frozenset("ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navbar navigation menu menus "
                       "breadcrumb breadcrumbs sidebar aside footer notice notices cookie cookies consent gdpr popup modal alert comment comments "
                       "disqus reply replies respond form newsletter subscribe subscription signup login search share sharing social related "
-                      "recommended pagination pager toolbar complementary contentinfo dialog".split())
-_OUTSIDE = frozenset(("header", "masthead", "topbar"))
-
-
-def _names(attributes: str) -> set[str]:
-    found = set()
-    for _, a, b, c in _ATTR.findall(attributes):
-        for part in (a or b or c).lower().split():
-            tokens = re.split(r"[^a-z0-9]+", part)
-            if not {"has", "with", "no", "without"} & set(tokens):
-                found.update(tokens)
-    return found
+                      "recommended pagination pager toolbar complementary contentinfo dialog "
+                      "ad-banner ad-container ad-slot ad-unit ad-wrapper cookie-banner cookie-bar cookie-consent cookie-notice comment-form "
+                      "comment-list comments-area disqus-thread login-form main-menu main-nav nav-links nav-menu newsletter-signup page-footer "
+                      "promo-box related-articles related-links related-posts search-box search-form share-buttons share-links site-footer "
+                      "site-nav social-links social-media social-share sponsored-content widget-area".split())
+_OUTSIDE = frozenset("header masthead topbar page-header site-header".split())
+_ID_MARKS = frozenset("div ul ol menu table td".split())  # elsewhere ids are link targets: headings, sections, items
+_PART = frozenset("nav header footer aside form menu dialog".split())  # of _DROP: shown, so they may hold the article
+
+
+def _names(tag: str, attributes: str) -> tuple[set[str], set[str], bool]:
+    """Names of class and role, those of the id, and whether the role is main."""
+    found: dict[str, set[str]] = {}
+    for name, a, b, c in _ATTR.findall(attributes):
+        if (name := name.lower()) in ("class", "id", "role"):
+            found.setdefault(name, set((a or b or c).lower().replace("_", "-").split()))
+    role = found.get("role", set())
+    return found.get("class", set()) | role, found.get("id", set()) if tag in _ID_MARKS else set(), "main" in role
 
 
 class _Element:
-    __slots__ = ("tag", "attributes", "at", "end", "before", "after", "names", "main")
+    __slots__ = ("tag", "at", "end", "before", "after", "names", "ids", "main", "code")
 
-    def __init__(self, tag: str, attributes: str, at: int, before: int):
-        self.tag, self.attributes, self.at, self.before = tag, attributes, at, before  # before, after: unlinked characters up to there
+    def __init__(self, tag: str, attributes: str, at: int, before: int, code: bool):
+        self.tag, self.at, self.before, self.code = tag, at, before, code  # before, after: unlinked characters up to there
         self.end, self.after = at + 1, before
-        self.names = _names(attributes) if "=" in attributes else set()
-        self.main = tag in ("article", "main") or "main" in self.names and bool(re.search(r"role\s*=\s*[\"']?main", attributes, re.I))
+        self.names, self.ids, self.main = _names(tag, attributes) if "=" in attributes else (set(), set(), False)
+        self.main |= tag in ("article", "main")
 
 
 def _parse(page: str) -> tuple[list, int]:
@@ -161,7 +169,7 @@ def _parse(page: str) -> tuple[list, int]:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(page, at)
             at = end.end() if end else size
             continue
-        element = _Element(tag, attributes, len(out), unlinked)
+        element = _Element(tag, attributes, len(out), unlinked, number["pre"] + number["code"] > 0)
         out.append(element)
         stack.append(element)
         number[tag] += 1
@@ -171,14 +179,23 @@ def _parse(page: str) -> tuple[list, int]:
     return out, unlinked
 
 
-def _stripped(e: _Element, inside: bool) -> bool:
-    return e.tag in _DROP and not (e.tag == "header" and inside) or (
-        bool(e.names & _NOT_TEXT) or bool(e.names & _OUTSIDE) and not inside) and not e.main and e.tag not in ("html", "body")
+def _stripped(e: _Element, inside: bool, article: _Element | None, total: int) -> bool:
+    """Whether an element goes with all it holds. What holds the article or most of the page's unlinked text stays."""
+    if e.tag in _DROP and not (e.tag == "header" and inside):
+        if e.tag not in _PART:
+            return True
+    else:
+        names = e.names if inside else e.names | e.ids
+        if e.main or e.code or e.tag in ("html", "body") or not (names & _NOT_TEXT or not inside and names & _OUTSIDE):
+            return False
+    return not (article and e.at < article.at < e.end) and 2 * (e.after - e.before) <= total
 
 
 def lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
     """Lines of the page: (text, characters of link text, inside the marked article); whether the page marks one."""
-    given, _ = _parse(page)
+    given, total = _parse(page)
+    # The article: of the elements that mark one, that of most text. Others in a stripped element (comments, teasers) go with it.
+    article = max((x for x in given if isinstance(x, _Element) and x.main), key=lambda x: x.after - x.before, default=None)
     out: list[tuple[str, int, bool]] = []
     parts: list[str] = []
     linked, within, marked = 0, False, False
@@ -200,7 +217,7 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
             parts.append(x[0])
             linked += len(x[0]) * x[1]
             within |= i < until
-        elif _stripped(x, i < until):
+        elif _stripped(x, i < until, article, total):
             if x.tag not in _BLOCK:
                 parts.append(" ")
             i = x.end

@@ -40,3 +40,20 @@ def test_op3_stripped_elements_end_as_html_says():
     for x in ("<p class=ad>buy", "<ul><li class=ad>buy</ul>", "<table><tr class=ad><td>buy</table>", "<div class=ad><style>a>b{}<div></style>buy</div>",
               "<div class=ad><p>buy<p>buy</div>", "<div><form>go</div>"):
         assert extract.main_text(inner.format(x)) == "One.\nTwo.", x
+
+
+def test_op3_only_whole_names_strip_and_never_the_article():
+    text = "A sentence of the article. " * 6
+    body = f"<article><h1>Title</h1><p>{text}</p></article>"
+    for page in ('<div class="layout sidebar-right">{}</div>', '<div class="post comments-open">{}</div>', '<div class="sidebar">{}</div>',
+                 "<form action=x>{}<input></form>", "<div role=dialog><nav>Menu</nav>{}</div>", "<header>Top {}</header>",
+                 '<div data-id="search" title="class=ad">{}</div>', "<div id=comments><p>" + text * 3 + "</p></div>{}"):
+        assert extract.main_text(page.format(body)) == f"Title\n{text.strip()}", page
+        assert text.strip() in extract.main_text(page.format(f"<p>{text}</p>")), page
+    inner = ('<h2 id="social-impact">Impact</h2><section id="related-work"><p>Work</p></section><div id="search-methods">How</div>'
+             '<section id="related">More</section><div id="search">Search</div><pre><span class="token comment"># why</span></pre>')
+    kept = ["Impact", "Work", "How", "More", "Search", "# why"]
+    assert extract.main_text(f"<article><p>{text}</p>{inner}</article>").split("\n")[1:] == kept
+    gone = '<div class="ad">buy</div><section class="x comments"><article>me too</article></section><div role="search">go</div>'
+    side = "<aside><article>Other story</article></aside><div id=sidebar><article>Teaser</article></div>"
+    assert extract.main_text(f"<article><p>{text}</p>{gone}</article>{side}") == text.strip()
