@@ -6,9 +6,11 @@ notices, sidebars, comments, ...) are stripped with all they hold. Ids count for
 goes that holds the article or more than half of the page's unlinked text. Each line's weight is the length of its text; where the page marks its
 article (``<article>``, ``<main>``, role main), lines outside it weigh nothing; elsewhere link text does not count.
 
-The weights are summed over windows of ``WINDOW`` lines. Text starts at a surge point, where the sum climbs over the threshold, and ends at a
-dive point, where the sum falls to zero; the lines between are kept, in page order. The threshold is 0 in a page
-that marks its article, so that even the shortest paragraph there stays, and ``THRESHOLD`` in others.
+The weights are summed over windows of ``WINDOW`` lines. Text starts at the first surge point, where the sum climbs from zero to over the threshold, and ends at
+the last dive point, where the sum falls to zero for good. Lines between are kept, in page order, but for those between an inner dive and the next
+line with weight: ``WINDOW`` lines or more that are links alone, a list of links. A shorter run of such lines is kept as paragraphs of the text.
+The threshold is taken from the page: a ``SHARE``-th of its largest sum, ``THRESHOLD`` at most. A page that marks its article has the
+threshold 0 and no text outside the mark: it is cut by its marks, so that even the shortest paragraph there stays. Marks without text do not count.
 
 Defined results: NULL and empty pages give the empty text. Broken, unclosed or nested markup never fails. Elements end as HTML says: at
 their end tag or their parent's; paragraphs, list items, table parts, options and the head also where the next start tag (or,
@@ -31,6 +33,7 @@ from starloom.llm.common import free_name, read
 
 WINDOW = 3
 THRESHOLD = 86
+SHARE = 20
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|"
@@ -198,7 +201,7 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
     article = max((x for x in given if isinstance(x, _Element) and x.main), key=lambda x: x.after - x.before, default=None)
     out: list[tuple[str, int, bool]] = []
     parts: list[str] = []
-    linked, within, marked = 0, False, False
+    linked, within = 0, False
 
     def flush():
         nonlocal linked, within
@@ -223,10 +226,10 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
             i = x.end
             continue
         elif x.main:
-            until, marked = max(until, x.end), True
+            until = max(until, x.end)
         i += 1
     flush()
-    return out, marked
+    return out, any(inside for _, _, inside in out)
 
 
 def main_text(page: str | None, window: int = WINDOW, threshold: int = THRESHOLD) -> str:
@@ -234,18 +237,21 @@ def main_text(page: str | None, window: int = WINDOW, threshold: int = THRESHOLD
     found, marked = lines(page) if page else ([], False)
     if not found:
         return ""
-    limit = 0 if marked else threshold
     weight = np.array([(len(t) if inside else 0) if marked else max(0, len(t) - linked) for t, linked, inside in found])
     sums = np.convolve(weight, np.ones(window, np.int64))[window - 1:]  # of the window that starts at each line
-    kept, i = [], 0
-    while i < len(found):
-        if sums[i] > limit and weight[i]:  # surge
-            end = i
-            while end < len(found) and sums[end] > 0:  # up to the dive
-                end += 1
-            kept += [t for (t, _, inside), w in zip(found[i:end], weight[i:end]) if w and (inside or not marked)]
-            i = end
-        i += 1
+    limit = 0 if marked else min(threshold, sums.max() / SHARE)
+    heavy = np.flatnonzero(weight)
+    surges = np.flatnonzero(sums[heavy] > limit)
+    if not len(surges):
+        return ""
+    first = surges[0]
+    while first and heavy[first] - heavy[first - 1] <= window:  # to the foot of the climb: the sum was never zero from there on
+        first -= 1
+    heavy, kept = heavy[first:], []
+    for a, b in zip(heavy, [*heavy[1:], heavy[-1]]):
+        kept.append(found[a][0])
+        if not marked and b - a <= window:  # fewer than a window of lines that are links alone: no dive between
+            kept += [t for t, _, _ in found[a + 1:b]]
     return "\n".join(kept)
 
 

@@ -57,3 +57,16 @@ def test_op3_only_whole_names_strip_and_never_the_article():
     gone = '<div class="ad">buy</div><section class="x comments"><article>me too</article></section><div role="search">go</div>'
     side = "<aside><article>Other story</article></aside><div id=sidebar><article>Teaser</article></div>"
     assert extract.main_text(f"<article><p>{text}</p>{gone}</article>{side}") == text.strip()
+
+
+def test_op3_pages_without_marks_keep_their_text():
+    long = "A sentence of the article. " * 6
+    poem = ["Roses are red", "Violets are blue", "Sugar is sweet", "And so are you"]
+    assert extract.main_text("<body>" + "".join(f"<p>{x}</p>" for x in poem)).split("\n") == poem
+    assert extract.main_text("<p>Short news.</p>") == "Short news."
+    links = "".join(f"<div><a href=/{i}>Link {i}</a></div>" for i in range(5))
+    page = f"<body>{links}<p>Title</p><p>{long}</p><p><a href=x>A paragraph that is a link</a></p><p>Next.</p>{links}<p>Short end.</p><p>Bye.</p>{links}"
+    assert extract.main_text(page).split("\n") == ["Title", long.strip(), "A paragraph that is a link", "Next.", "Short end.", "Bye."]
+    assert extract.main_text(f"<main></main><p>{long}</p>") == long.strip()
+    assert extract.main_text(f"<body>{links}") == ""
+    assert extract.main_text(f"<article>{links}<p>End</p></article>") == "\n".join([f"Link {i}" for i in range(5)] + ["End"])
