@@ -8,8 +8,12 @@ declaration or suffix goes with each language, and how the languages of a host a
 domain's, the domain's towards those of all rows (``SMOOTH`` pseudo-rows a level); a row's own share is taken out of its
 host's and domain's counts first.
 
-The text model is fitted on about ``SAMPLE`` labelled documents (those whose digest of id falls under SAMPLE / rows; all of
-them in smaller tables): the only bounded sample here.
+The text model is fitted on a sample of the labelled documents, the only bounded one here: those whose digest of id, label and text falls under
+a share of their label. The share is SAMPLE / rows, or QUOTA / rows of the label where that is more, so about ``SAMPLE`` documents and ``QUOTA``
+more for each rare label; labels are counted over all rows, and one of QUOTA rows or fewer gives all of them. Only rows equal in
+all three go together. A label is left out if none of its documents taken holds a letter trigram.
+
+Without any labelled document nothing can be told: every row has language NULL and confidence 0, and ``keep_identified`` rejects nothing.
 
 Defined results: a row without any letter trigram (NULL, empty, digits, symbols) has language NULL and confidence 0: rejected. So is a row whose
 best language has a posterior under ``accept``. NULL or unparsable addresses, and NULL declarations, are values of their own; repeated rows give equal rows.
@@ -26,6 +30,7 @@ from starloom.llm.common import free_name, read, utf8
 from starloom.session import cut_lineage
 
 SAMPLE = 4000
+QUOTA = 200
 BUCKETS = 1 << 15
 TEXT_WEIGHT = 100.0
 SMOOTH = 10.0
@@ -47,7 +52,7 @@ def trigrams(data: bytes | None) -> np.ndarray:
     return ((x * 0x9E3779B1) & 0xFFFFFFFF) >> (32 - 15)
 
 
-def fit_text_model(labelled: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
+def fit_text_model(labelled: DataFrame, sample: int = SAMPLE, quota: int = QUOTA) -> tuple[list[str], np.ndarray]:
     """Languages and log P(trigram | language) from (id, text, lang) rows."""
     def count(batches):
         for b in batches:
@@ -60,9 +65,14 @@ def fit_text_model(labelled: DataFrame, sample: int = SAMPLE) -> tuple[list[str]
                                   [pa.array([], pa.string()), pa.array([], pa.int64()), pa.array([], pa.int64())],
                                   ["lang", "bucket", "n"])
     usable = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    n = usable.count()
-    place = F.pmod(F.xxhash64(F.col("id").cast("string"), "lang"), F.lit(1 << 40)) / float(1 << 40)
-    taken = usable.filter(place < sample / max(n, 1)).select("text", "lang")
+    of = {r.lang: r["count"] for r in usable.groupBy("lang").count().collect()}  # one number a language
+    even = sample / max(1, sum(of.values()))
+    rare = {lang: quota / n for lang, n in of.items() if quota / n > even}
+    share = F.lit(even)
+    if rare:
+        share = F.coalesce(F.create_map(*[F.lit(x) for pair in sorted(rare.items()) for x in pair])[F.col("lang")], share)
+    place = F.pmod(F.xxhash64(F.col("id").cast("string"), "lang", "text"), F.lit(1 << 40)) / float(1 << 40)
+    taken = usable.filter(place < share).select("text", "lang")
     rows = (taken.mapInArrow(count, "lang string, bucket long, n long")
             .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect())  # languages x BUCKETS at most
     langs = sorted({r.lang for r in rows})
@@ -174,8 +184,10 @@ def keep_identified(docs: DataFrame, langs: list[str], table: np.ndarray, accept
     """``docs`` without those whose language stays open; the source stands for the host, the lang column for the markup's.
 
     The input is given a row number and written once, so that the decision, made on narrow rows, finds its document
-    whatever its id (NULL and repeated ids included).
+    whatever its id (NULL and repeated ids included). Without a model (no labels) no language can be open: all are kept.
     """
+    if not langs:
+        return docs
     row = free_name(docs, "language_row")
     held = cut_lineage(docs.withColumn(row, F.monotonically_increasing_id()), "language-docs")
     rows = held.select(F.col(row).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("declared"),

@@ -1,8 +1,9 @@
 """Cases of the second review: the whole job where the code once did less."""
 
+import math
 import random
 
-from starloom.llm import extract, suffix_dedup
+from starloom.llm import extract, language, suffix_dedup
 
 
 def test_op2_a_row_given_twice_keeps_one_place(spark):
@@ -70,3 +71,28 @@ def test_op3_pages_without_marks_keep_their_text():
     assert extract.main_text(f"<main></main><p>{long}</p>") == long.strip()
     assert extract.main_text(f"<body>{links}") == ""
     assert extract.main_text(f"<article>{links}<p>End</p></article>") == "\n".join([f"Link {i}" for i in range(5)] + ["End"])
+
+
+def test_op9_every_label_is_sampled(spark):
+    r = random.Random(3)
+    sounds = {"en": "the and ing tion er", "de": "sch ung ein der ich", "fi": "aa kä yö lla ssa"}
+    text = lambda lang: " ".join("".join(r.choice(sounds[lang].split()) for _ in range(3)) for _ in range(30))
+    given = [(i, text(x), x) for i in range(300) for x in ("en", "de")] + [(900, text("fi"), "fi"), (901, text("fi"), "fi")]
+    schema = "id long, text string, lang string"
+    langs, table = language.fit_text_model(spark.createDataFrame(given, schema), sample=20)
+    assert langs == ["de", "en", "fi"]
+    pages = spark.createDataFrame([(1, "https://a.example.fi/", f"<html lang=fi><p>{text('fi')}")], "page_id long, url string, html string")
+    assert language.identify_pages(pages, langs, table).first().language == "fi"
+    null = spark.createDataFrame([(None, text("en"), "en") for _ in range(4000)], schema)  # rows without an id are taken one by one
+    langs, table = language.fit_text_model(null, sample=40)
+    assert langs == ["en"]
+    taken = (0.5 / math.exp(table.min()) - language.BUCKETS / 2) / 250  # the least is log(0.5 / (trigrams taken + BUCKETS / 2))
+    assert 50 < taken < 600, taken
+
+
+def test_op9_without_labels(spark):
+    docs = spark.createDataFrame([(1, "some text", None, "s"), (2, None, None, None)], "doc_id long, text string, lang string, source string")
+    langs, table = language.fit_text_model(docs.selectExpr("doc_id AS id", "text", "lang"))
+    assert langs == [] and language.keep_identified(docs, langs, table).count() == 2
+    pages = spark.createDataFrame([(1, "https://a.example.fi/", "<html lang=fi><p>text")], "page_id long, url string, html string")
+    assert [(x.language, x.confidence) for x in language.identify_pages(pages, langs, table).collect()] == [(None, 0.0)]
