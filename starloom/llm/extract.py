@@ -2,8 +2,8 @@
 
 Markup is stripped to lines, one a block: block elements end a line, inline ones and ``<br>`` do not. Elements that never hold
 article text (scripts, styles, menus, forms, footers, ...) and elements with a class, id or role whose whole name is that of such a part (adverts,
-notices, sidebars, comments, ...) are stripped with all they hold. Ids count for containers outside the marked article only, and no shown element
-goes that holds the article or more than half of the page's unlinked text. Each line's weight is the length of its text; where the page marks its
+notices, sidebars, comments, ...) are stripped with all they hold, whatever its size. Ids count for containers outside the marked article only, and no shown
+element goes that holds the article, or, where no article is marked, that wraps all of the page's unlinked text. Each line's weight is the length of its text; where the page marks its
 article (``<article>``, ``<main>``, role main), lines outside it weigh nothing; elsewhere link text does not count.
 
 The weights are summed over windows of ``WINDOW`` lines. Text starts at the first surge point, where the sum climbs from zero to over the threshold, and ends at
@@ -35,9 +35,10 @@ WINDOW = 3
 THRESHOLD = 86
 SHARE = 20
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|"
-    r"<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|</?[A-Za-z][^<>]*\Z", re.S)
+_START = re.compile(r"<!--|<!\[CDATA\[|<[!?]|</?[A-Za-z]")
+_TAG = re.compile(r"<(/?)([A-Za-z][^\s/<>]*+)")
+_QUOTED = re.compile(r"(?:[^<>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+")  # a quote opens after '=' alone
+_PLAIN = re.compile(r"[^<>]*+")
 _RAW = frozenset("script style textarea title xmp noembed noframes iframe".split())
 _DROP = frozenset("head script style title noscript template iframe svg math object canvas audio video nav header footer aside form "
                   "button select textarea menu dialog noembed noframes xmp".split())
@@ -59,7 +60,7 @@ _ENDS = {"li": ({"li"}, _BLOCK - {"li", "address", "div", "p"} | _SCOPE), "tr":
          **dict.fromkeys(("dt", "dd"), ({"dt", "dd"}, _BLOCK - {"dt", "dd", "address", "div", "p"} | _SCOPE)),
          **dict.fromkeys(("td", "th"), ({"td", "th"}, {"tr", "table"})),
          **dict.fromkeys(("tbody", "thead", "tfoot"), ({"tbody", "thead", "tfoot", "caption"}, {"table"}))}
-_ATTR = re.compile(r"([^\s=\"'/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
+_ATTR = re.compile(r"(?<![^\s=\"'/])([^\s=\"'/]++)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 # Whole names of classes, roles and ids; '_' counts as '-'.
 _NOT_TEXT = frozenset("ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navbar navigation menu menus "
                       "breadcrumb breadcrumbs sidebar aside footer notice notices cookie cookies consent gdpr popup modal alert comment comments "
@@ -94,6 +95,45 @@ class _Element:
         self.main |= tag in ("article", "main")
 
 
+class _Tokens:
+    """The page's tags and what stands between, each place looked at a bounded number of times.
+
+    A tag ends at the first '>' outside a quoted value. Where a '<' outside quotes or the page's end comes first, the quotes up to there are
+    not trusted: tags that start before it end at the next '>' whatever is quoted, or are text if a '<' comes first.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.plain_until = page, 0
+
+    def after(self, mark: str, at: int) -> int:
+        found = self.page.find(mark, at)
+        return found + len(mark) if found >= 0 else len(self.page)
+
+    def next(self, at: int):
+        """End, closing mark, tag, attributes of the next token and the text before it ('' for the tag of what is none)."""
+        page, begin = self.page, at
+        while m := _START.search(page, at):
+            start, found = m.start(), m[0]
+            if found in ("<!--", "<![CDATA["):
+                return self.after("-->" if found == "<!--" else "]]>", m.end()), "", "", "", page[begin:start]
+            if found in ("<!", "<?"):
+                return self.after(">", m.end()), "", "", "", page[begin:start]
+            tag = _TAG.match(page, start)
+            end = _PLAIN.match(page, tag.end()).end()
+            if start >= self.plain_until:
+                quoted = _QUOTED.match(page, tag.end()).end()
+                if quoted < len(page) and page[quoted] == ">":
+                    end = quoted
+                else:
+                    self.plain_until = quoted
+            if end == len(page):
+                return end, "", "", "", page[begin:start]
+            if page[end] == ">":
+                return end + 1, tag[1], tag[2].lower(), page[tag.end():end], page[begin:start]
+            at = end  # a '<' before any '>': text
+        return len(page), "", "", "", page[begin:]
+
+
 def _parse(page: str) -> tuple[list, int]:
     """The page in order: texts (text, in a link), None where a line ends, and elements that know where they end; its unlinked characters."""
     out: list = []
@@ -122,20 +162,15 @@ def _parse(page: str) -> tuple[list, int]:
                 return -1
         return -1
 
-    at, size = 0, len(page)
+    at, size, tokens = 0, len(page), _Tokens(page)
     while at < size:
-        m = _TOKEN.search(page, at)
-        text = page[at:m.start() if m else size]
+        at, closing, tag, attributes, text = tokens.next(at)
         if text:
             if stack and stack[-1].tag == "head" and not text.isspace():
                 close(len(stack) - 1)
             out.append((text, link > 0))
             if not link and not hidden:
                 unlinked += len(text.strip())
-        if not m:
-            break
-        at = m.end()
-        closing, tag, attributes = m[1], (m[2] or "").lower(), m[3] or ""
         if not tag:
             continue
         if closing:
@@ -169,8 +204,8 @@ def _parse(page: str) -> tuple[list, int]:
         if tag in _VOID or attributes.endswith("/"):
             continue
         if tag in _RAW:  # holds no tags: up to its own end tag
-            end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(page, at)
-            at = end.end() if end else size
+            end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(page, at)
+            at = tokens.after(">", end.end()) if end else size
             continue
         element = _Element(tag, attributes, len(out), unlinked, number["pre"] + number["code"] > 0)
         out.append(element)
@@ -182,8 +217,8 @@ def _parse(page: str) -> tuple[list, int]:
     return out, unlinked
 
 
-def _stripped(e: _Element, inside: bool, article: _Element | None, total: int) -> bool:
-    """Whether an element goes with all it holds. What holds the article or most of the page's unlinked text stays."""
+def _stripped(e: _Element, inside: bool, article: _Element | None) -> bool:
+    """Whether an element goes with all it holds. What holds the article stays."""
     if e.tag in _DROP and not (e.tag == "header" and inside):
         if e.tag not in _PART:
             return True
@@ -191,7 +226,26 @@ def _stripped(e: _Element, inside: bool, article: _Element | None, total: int) -
         names = e.names if inside else e.names | e.ids
         if e.main or e.code or e.tag in ("html", "body") or not (names & _NOT_TEXT or not inside and names & _OUTSIDE):
             return False
-    return not (article and e.at < article.at < e.end) and 2 * (e.after - e.before) <= total
+    return not (article and e.at < article.at < e.end)
+
+
+def _wrappers(given: list, total: int) -> set[int]:
+    """On a page that marks no article: the outermost parts that go, if together they hold all its unlinked text (a form around the whole
+    page). These stay, and what they hold is looked at again."""
+    spared: set[int] = set()
+    while True:
+        outermost, i = [], 0
+        while i < len(given):
+            x = given[i]
+            if isinstance(x, _Element) and x.at not in spared and _stripped(x, False, None):
+                outermost.append(x)
+                i = max(i + 1, x.end)
+            else:
+                i += 1
+        shown = [x for x in outermost if x.tag not in _HIDDEN and x.after > x.before]
+        if not total or not shown or sum(x.after - x.before for x in shown) < total:
+            return spared
+        spared |= {x.at for x in shown}
 
 
 def lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
@@ -199,6 +253,7 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
     given, total = _parse(page)
     # The article: of the elements that mark one, that of most text. Others in a stripped element (comments, teasers) go with it.
     article = max((x for x in given if isinstance(x, _Element) and x.main), key=lambda x: x.after - x.before, default=None)
+    spared = set() if article else _wrappers(given, total)
     out: list[tuple[str, int, bool]] = []
     parts: list[str] = []
     linked, within = 0, False
@@ -220,7 +275,7 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
             parts.append(x[0])
             linked += len(x[0]) * x[1]
             within |= i < until
-        elif _stripped(x, i < until, article, total):
+        elif x.at not in spared and _stripped(x, i < until, article):
             if x.tag not in _BLOCK:
                 parts.append(" ")
             i = x.end

@@ -37,7 +37,8 @@ SMOOTH = 10.0
 ACCEPT = 0.5
 
 _LETTERS = bytes(b if b >= 0x80 or chr(b).isalpha() else 0x20 for b in range(256))
-_SKIP = r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>"
+#: What is not text. Whatever is not closed ends at the next tag or, as in HTML, at the page's end, so each place is looked at once.
+_SKIP = r"(?is)<(script|style)\b.*?(?:</\1\s*>|\z)|<!--.*?(?:-->|\z)|<[^<>]*>"
 
 
 def trigrams(data: bytes | None) -> np.ndarray:
@@ -166,7 +167,7 @@ def address_parts(url):
 
 def identify_pages(pages: DataFrame, langs, table, accept: float = ACCEPT) -> DataFrame:
     """page_id, url, declared, host, language, confidence of (page_id, url, html) rows."""
-    declared = F.lower(F.regexp_extract("html", r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]{2,3})", 1))
+    declared = F.lower(F.regexp_extract("html", r"(?i)<html\b[^<>]*?\blang\s*=\s*[\"']?([A-Za-z]{2,3})", 1))
     host, domain, suffix = address_parts(F.col("url"))
     rows = pages.select(
         F.col("page_id").alias("id"), "url", F.when(declared != "", declared).alias("declared"), host.alias("host"),
