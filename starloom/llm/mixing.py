@@ -13,8 +13,10 @@ counting words in cells of the rank (4,096 cells, then 4,096 within the cell tha
 cell), each a partial aggregation and a running sum over at most 4,096 rows a source.
 
 Defined results: a NULL or empty text has size 0 and takes 0 words. NULL is a source of its own, ordered last.
-U is drawn from a digest of document id, source and text, so reruns agree and input order does not matter; rows that are equal
-in all three share one rank and are taken or left together. An empty table gives an empty result.
+U is drawn from a digest of document id, source and text, so reruns agree and input order does not matter. Rows equal
+in all three share one rank; where a source is full at such a rank, as many of them are taken as come nearest to the target, in the order of
+a written copy of that rank's rows (numbered within its partitions, so that they are never in one task). An empty table gives an empty result.
+Other columns may have any name.
 """
 
 from __future__ import annotations
@@ -128,17 +130,36 @@ def apply_mix(rows: DataFrame, targets: DataFrame, edges: DataFrame, max_copies:
     """``rows`` (with source, size, u, priority) plus source_size, target, copies and taken."""
     drawn = _expected(rows, targets, max_copies)
     e = edges.withColumnRenamed("source", "_source")
-    joined = drawn.join(e, drawn["source"].eqNullSafe(e["_source"]), "left")
+    joined = drawn.join(e, drawn["source"].eqNullSafe(e["_source"]), "left").drop("_source")
     c1, c2, q = (F.col(f"edge_{x}") for x in _LEVELS)
     # A level without an edge ends nowhere: everything there still fits.
-    at_q = q.isNull() | (F.col("q") < q) | ((F.col("q") == q) & (F.col("size") / 2 <= F.col("edge_left")))
-    at_c2 = c2.isNull() | (F.col("cell2") < c2) | ((F.col("cell2") == c2) & at_q)
-    inside = c1.isNull() | (F.col("cell1") < c1) | ((F.col("cell1") == c1) & at_c2)
-    extra = F.when(F.col("q").isNotNull() & inside, F.lit(1)).otherwise(F.lit(0))
-    copies = (F.coalesce(F.col("certain"), F.lit(0)) + extra).cast("long")
-    return (joined.withColumn("copies", copies).withColumn("taken", copies * F.col("size"))
-            .drop("_source", "expected", "certain", "p", "q", "cell1", "cell2", "mean_priority", "edge_left",
-                  *[f"edge_{x}" for x in _LEVELS]))
+    same = lambda x: F.coalesce(F.col(x) == F.col(f"edge_{x}"), F.lit(False))
+    before = (c1.isNull() | (F.col("cell1") < c1)
+              | (same("cell1") & (c2.isNull() | (F.col("cell2") < c2) | (same("cell2") & (q.isNull() | (F.col("q") < q))))))
+    at_edge = same("cell1") & same("cell2") & same("q")
+    inside = F.when(F.col("q").isNotNull() & before, F.lit(1)).otherwise(F.lit(0))
+    last = _numbered(joined.filter(at_edge))
+    fits = F.floor((F.col("edge_left") - F.col("size") / 2) / F.nullif("size", F.lit(0))) + 1
+    both = (joined.filter(~at_edge).withColumn("extra", inside)
+            .unionByName(last.withColumn("extra", F.when((F.col("size") > 0) & (F.col("mix_place") <= fits), F.lit(1)).otherwise(F.lit(0)))
+                         .drop("mix_place")))
+    copies = (F.coalesce(F.col("certain"), F.lit(0)) + F.col("extra")).cast("long")
+    return (both.withColumn("copies", copies).withColumn("taken", copies * F.col("size"))
+            .drop("expected", "certain", "p", "q", "cell1", "cell2", "mean_priority", "edge_left", "extra", *[f"edge_{x}" for x in _LEVELS]))
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` and their number in their source from 1 (mix_place): counted by partition of a written copy, then within each."""
+    held = cut_lineage(rows.withColumn("mix_row", F.monotonically_increasing_id()), "mix-last")
+    part = F.shiftright("mix_row", 33)  # the partition that wrote the row
+    counts = held.groupBy("source", part.alias("mix_part")).agg(F.count(F.lit(1)).alias("n"))
+    running = W.partitionBy("source").orderBy("mix_part").rowsBetween(W.unboundedPreceding, -1)  # a row per partition
+    starts = counts.select(F.col("source").alias("_source"), F.col("mix_part").alias("_part"),
+                           F.coalesce(F.sum("n").over(running), F.lit(0)).alias("mix_start"))
+    within = F.row_number().over(W.partitionBy("source", "mix_part").orderBy("mix_row"))
+    numbered = held.withColumn("mix_part", part).withColumn("mix_in", within)
+    return (numbered.join(starts, F.col("source").eqNullSafe(F.col("_source")) & (F.col("mix_part") == F.col("_part")))
+            .withColumn("mix_place", F.col("mix_start") + F.col("mix_in")).drop("mix_row", "mix_part", "mix_in", "mix_start", "_source", "_part"))
 
 
 def mix_sizes(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.0,
