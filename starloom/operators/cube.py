@@ -1,32 +1,92 @@
 """Sales cube, slices and level roll-ups (O-23, O-25).
 
-The fact is first reduced to its finest (product, time, address) grain, so
-the cube's Expand (x8 rows) runs over the reduced rows, not over every sale;
-each Exchange carries partially aggregated rows only. Spark returns no
-grand-total row for an empty input while the SQL standard returns one, so
-the grand total is computed as a global aggregate (always exactly one row).
+The cube is a lattice: the fact is reduced to its finest (product, time, address) grain once, and every smaller grouping set
+is summed from the smallest set that holds its keys, so no row is expanded and the fact is read once. The sets of a level are stored,
+which tells their sizes; the last level and the grand total are sums over those. The grand total is a global aggregate: an empty input
+has one (SQL's rule), whatever Spark's CUBE gives.
+
+``cube_rows`` keeps the grouping set and the number of fact rows of every cell, so a later change of the fact can be added
+to each set (``add_cells``): cells whose rows are all gone disappear.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.schemas import CUBE_SUM_TYPE
+from starloom.session import cut_lineage
 
 KEYS = ("product_surrogate_id", "time_id", "address_id")
+CELL = ["grouping_set", "total", "n_rows"]
+
+
+def finest_cells(fact: DataFrame, keys=KEYS, measure: str = "total_price") -> DataFrame:
+    """keys, total and n_rows of the finest grain."""
+    return fact.groupBy(*keys).agg(F.sum(measure).cast(CUBE_SUM_TYPE).alias("total"), F.count(F.lit(1)).alias("n_rows"))
+
+
+def summed_cells(cells: DataFrame, kept, keys=KEYS) -> DataFrame:
+    """``cells`` of a larger set summed over the keys not in ``kept`` (NULL there)."""
+    sums = [F.sum("total").cast(CUBE_SUM_TYPE).alias("total"), F.sum("n_rows").alias("n_rows")]
+    rolled = cells.groupBy(*kept).agg(*sums) if kept else cells.agg(*sums)
+    return rolled.select(*[F.col(k) if k in kept else F.lit(None).cast(cells.schema[k].dataType).alias(k) for k in keys],
+                         F.lit(set_number(kept, keys)).alias("grouping_set"), "total", F.coalesce("n_rows", F.lit(0).cast("long")).alias("n_rows"))
+
+
+def set_number(kept, keys=KEYS) -> int:
+    """A grouping set as bits: one for every key that is rolled up (the first key's is the highest)."""
+    return sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in kept)
+
+
+def add_cells(old: DataFrame, new: DataFrame, keys=KEYS) -> DataFrame:
+    """Cells of the same grouping sets added up (``new`` may hold negative ones); a cell without rows goes, the grand total stays."""
+    return (old.unionByName(new).groupBy(*keys, "grouping_set")
+            .agg(F.sum("total").cast(CUBE_SUM_TYPE).alias("total"), F.sum("n_rows").alias("n_rows"))
+            .filter((F.col("n_rows") != 0) | (F.col("grouping_set") == set_number((), keys))))
+
+
+def negated(cells: DataFrame) -> DataFrame:
+    return cells.withColumns({"total": (-F.col("total")).cast(CUBE_SUM_TYPE), "n_rows": -F.col("n_rows")})
+
+
+def cube_rows(finest: DataFrame, keys=KEYS) -> DataFrame:
+    """keys, grouping_set, total, n_rows of all grouping sets over stored finest cells."""
+    keys = list(keys)
+    whole = tuple(keys)
+    level, size_of = {whole: finest}, {whole: 0}
+    out = finest.select(*keys, F.lit(0).alias("grouping_set"), "total", "n_rows")
+    for size in range(len(keys) - 1, -1, -1):
+        made = {}
+        for kept in combinations(keys, size):
+            parent = min((p for p in level if set(kept) <= set(p)), key=lambda p: size_of[p])
+            made[kept] = summed_cells(level[parent], kept, keys)
+        both = None
+        for df in made.values():
+            both = df if both is None else both.unionByName(df)
+        if size > 1:
+            both = cut_lineage(both, f"cube-{size}")
+            # One number a grouping set reaches the driver.
+            counted = {r.grouping_set: r.n for r in both.groupBy("grouping_set").agg(F.count(F.lit(1)).alias("n")).collect()}
+            made = {k: both.filter(F.col("grouping_set") == set_number(k, keys)) for k in made}
+            size_of = {k: counted.get(set_number(k, keys), 0) for k in made}
+        else:
+            size_of = dict.fromkeys(made, 0)
+        out, level = out.unionByName(both), made
+    return out
+
+
+def cube_view(cells: DataFrame, keys=KEYS, out: str = "total_price_sum") -> DataFrame:
+    """The cube as the source stores it: keys (NULL: all) and the sum."""
+    order = ["product_surrogate_id", "address_id", "time_id"] if tuple(keys) == KEYS else list(keys)
+    return cells.select(*order, F.col("total").cast(CUBE_SUM_TYPE).alias(out))
 
 
 def sales_cube(fact: DataFrame, keys=KEYS, measure: str = "total_price",
                out: str = "total_price_sum") -> DataFrame:
-    keys = list(keys)
-    finest = fact.groupBy(*keys).agg(F.sum(measure).alias("_m"))
-    cubed = (finest.cube(*keys).agg(F.sum("_m").alias(out), F.grouping_id().alias("_g"))
-             .filter(F.col("_g") != (1 << len(keys)) - 1).drop("_g"))
-    grand = finest.agg(F.sum("_m").alias(out)).select(
-        *[F.lit(None).cast(fact.schema[k].dataType).alias(k) for k in keys], out)
-    order = ["product_surrogate_id", "address_id", "time_id"] if keys == list(KEYS) else keys
-    return cubed.unionByName(grand).select(*order, F.col(out).cast(CUBE_SUM_TYPE).alias(out))
+    return cube_view(cube_rows(cut_lineage(finest_cells(fact, keys, measure), "cube-finest"), keys), keys, out)
 
 
 def cube_slice(cube: DataFrame, **fixed) -> DataFrame:

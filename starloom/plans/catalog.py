@@ -367,6 +367,20 @@ def q_warehouse_fact(spark, sf):
     return spark.table("order_fact").select("order_id", "quantity", "total_price", "product", "time_id", "address_name")
 
 
+def q_warehouse_fact_incremental(spark, sf):
+    """The whole fact, ids included, after three arrival runs that each replaced the months they touched."""
+    from starloom.plans.warehouse import replay_landing
+    wh = replay_landing(spark, dirty_landing(spark, sf), AS_OF, layout="months")
+    return wh.read("fact", wh.committed()[-1:])
+
+
+def q_cube_delta(spark, sf):
+    """The cube kept up over three arrival runs: old cells plus each run's difference."""
+    from starloom.plans.warehouse import replay_landing
+    wh = replay_landing(spark, dirty_landing(spark, sf), AS_OF, layout="months")
+    return wh.read("cube", wh.committed()[-1:])
+
+
 def q_stream_equals_batch(spark, sf):
     from starloom.streaming.trigger import stream_totals_from_landing
     return stream_totals_from_landing(spark, dirty_landing(spark, sf), AS_OF)

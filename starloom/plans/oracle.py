@@ -322,6 +322,38 @@ UNION ALL SELECT 'fact', count(*), CAST(coalesce(sum(total_price), 0) AS DECIMAL
 UNION ALL SELECT 'cube', (SELECT count(*) FROM cube_rows), CAST(coalesce(sum(total_price), 0) * 8 AS DECIMAL(38,2)) FROM fact"""
 
 
+def _fact_after_runs() -> str:
+    """The whole fact after three arrival runs: ids are given in the order of runs and stay."""
+    addresses = " UNION ALL ".join(
+        f"SELECT *, {r} AS run FROM ({addresses_sql(f'(SELECT l.* FROM landing l JOIN runs USING (updated_at) WHERE run = {r})')})" for r in range(3))
+    hierarchy = HIER_TWO_RUNS_CTES.partition("cities AS (")
+    return f"""{BASE},
+runs AS (SELECT updated_at, dense_rank() OVER (ORDER BY updated_at) - 1 AS run FROM (SELECT DISTINCT updated_at FROM landing)),
+c AS (SELECT clean.*, runs.run FROM clean JOIN runs USING (updated_at)),
+firsts AS (SELECT product, price_each, min(run) AS r0 FROM c GROUP BY product, price_each),
+pv AS (SELECT f.product, f.price_each, f.r0, min(c.order_date) AS start_date FROM firsts f
+       JOIN c ON c.product = f.product AND c.price_each = f.price_each AND c.run = f.r0 GROUP BY f.product, f.price_each, f.r0),
+ver AS (SELECT row_number() OVER (ORDER BY r0, start_date, product, price_each) AS id, '' AS product_id, product, price_each, start_date FROM pv),
+pdim AS ({closed_versions('ver')}),
+addr AS (SELECT street, city, state, postal_code, min(run) AS run FROM ({addresses}) GROUP BY street, city, state, postal_code),
+{hierarchy[1]}{hierarchy[2]},
+street_ids AS (SELECT s.id, s.street, c.city, c.postal_code, c.state FROM streets s JOIN cities c ON s.p = c.id),
+tdim AS ({calendar_sql('clean')}),
+fact AS (
+  SELECT s.order_id, s.quantity_ordered AS quantity, CAST(s.quantity_ordered * p.price_each AS DECIMAL(38,2)) AS total_price,
+         CAST(p.id AS BIGINT) AS product_surrogate_id, p.product, t.time_id, a.address_id,
+         CAST(p.start_date AS DATE) AS product_start_date, CAST(p.end_date AS DATE) AS product_end_date,
+         p.curr_status AS product_current_status, p.parent_id AS product_parent_id, p.category_name AS product_category,
+         t.day_date AS time_name, t.time_parent, t.time_lvl AS time_level, t.timebranch AS time_branch,
+         a.address_name, a.address_type, a.parent_id, a.level AS address_level
+  FROM clean s JOIN pdim p ON s.product = p.product AND p.curr_status
+  JOIN (SELECT * FROM tdim WHERE time_lvl = '0' AND timebranch = 'main') t ON CAST(s.order_date AS DATE) = t.day_date
+  JOIN street_ids k ON k.street = trim(split_part(s.purchase_address, ',', 1)) AND k.city = trim(split_part(s.purchase_address, ',', 2))
+   AND k.postal_code = trim(split_part(s.purchase_address, ' ', -1))
+   AND k.state = upper(trim(split_part(split_part(s.purchase_address, ',', 3), ' ', 2)))
+  JOIN hier a ON a.address_id = k.id)"""
+
+
 LANDING_AS_CSV = f"""SELECT coalesce(order_id, '') AS order_id, coalesce(product, '') AS product,
   coalesce(quantity_ordered, '') AS quantity_ordered, coalesce(price_each, '') AS price_each,
   coalesce(order_date, '') AS order_date, coalesce(purchase_address, '') AS purchase_address, updated_at
@@ -464,5 +496,8 @@ ORACLE: dict[str, str] = {
         coalesce(purchase_address, '') AS purchase_address, TIMESTAMP '2024-01-04 00:00:00' AS updated_at FROM landing""",
     "warehouse_totals": _warehouse_totals(LANDING_SQL),
     "warehouse_fact": _warehouse_fact(LANDING_SQL),
+    "warehouse_fact_incremental": f"{_fact_after_runs()} SELECT * FROM fact",
+    "cube_delta": f"""{_fact_after_runs()} SELECT product_surrogate_id, address_id, time_id,
+        CAST(sum(total_price) AS DECIMAL(38,2)) AS total_price_sum FROM fact GROUP BY CUBE (product_surrogate_id, time_id, address_id)""",
     "stream_equals_batch": _warehouse_totals(LANDING_AS_CSV),
 }

@@ -7,6 +7,9 @@ two slots, so the previous version stays readable and at most two copies exist.
 partitions and commits by writing its ledger row last, so re-running a run
 (a replayed stream batch, a lost executor, a killed job) is idempotent.
 Tables are read back from storage between stages, which also cuts lineage.
+
+With ``Warehouse(..., layout="months")`` fact and cube are kept by month instead (``plans.months``) and a run writes only the
+months it touches (``plans.incremental``).
 """
 
 from __future__ import annotations
@@ -20,6 +23,8 @@ from pyspark.sql import types as T
 
 from starloom import schemas as S
 from starloom.operators import calendar, cube, fact, location, product, quality
+from starloom.plans import incremental
+from starloom.plans.months import MonthTable
 from starloom.session import cut_lineage
 
 RUN = "run_id"
@@ -57,9 +62,19 @@ SCHEMAS = {
 ROLLING = {"time_dim", "addresses", "location", "street_keys", "product", "fact", "cube"}
 
 
+CELL_SCHEMA = T.StructType([f for f in CUBE_SCHEMA.fields if f.name in cube.KEYS] + [
+    T.StructField("grouping_set", T.IntegerType()), T.StructField("total", S.CUBE_SUM_TYPE), T.StructField("n_rows", T.LongType())])
+
+
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str):
+    """``layout``: ``slots`` (fact and cube written whole by every run) or ``months`` (kept by month, touched months replaced)."""
+
+    def __init__(self, spark: SparkSession, root: str, layout: str = "slots"):
+        if layout not in ("slots", "months"):
+            raise ValueError(f"unknown layout {layout!r}")
         self.spark, self.root = spark, root
+        self.months = {} if layout == "slots" else {
+            "fact": MonthTable(spark, root, "fact", FACT_SCHEMA), "cube": MonthTable(spark, root, "cube", CELL_SCHEMA)}
         self._ledger: list[int] | None = None  # pinned for the duration of one run
         # An empty append creates the ledger folder, so it can always be read.
         spark.createDataFrame([], LEDGER_SCHEMA).write.mode("append").parquet(self._path("_runs"))
@@ -84,6 +99,9 @@ class Warehouse:
         table can only be read for the latest two runs."""
         if not runs:
             return None
+        if table in self.months:
+            found = self.months[table].read(max(runs))
+            return cube.cube_view(found) if table == "cube" else found.select(*SCHEMAS[table].fieldNames())
         done = (self._ledger if self._ledger is not None else self.committed()) if table in ROLLING else None
         paths = sorted({self._dir(table, r, done) for r in runs})
         return self.spark.read.schema(SCHEMAS[table]).parquet(*paths)
@@ -118,6 +136,8 @@ def run_warehouse_batch(wh: Warehouse, batch: DataFrame, run_id: int,
     try:
         if run_id in wh._ledger:
             return
+        if wh.months and (address_match != "keyed" or fact_mode != "rebuild"):
+            raise ValueError("the month layout keeps a keyed fact and never repeats rows")
         if wh._ledger and run_id < wh._ledger[-1]:
             raise ValueError(f"run {run_id} is older than the committed run {wh._ledger[-1]}")
         _run(wh, batch, run_id, as_of, compare, parent_match, address_match, price_mode, fact_mode, reversion, cleansing)
@@ -178,6 +198,16 @@ def _run(wh: Warehouse, batch: DataFrame, run_id: int, as_of, compare: str, pare
     sk = wh.read("street_keys", [run_id])
     if parent_match == "city":
         sk = sk.drop("state")
+    if wh.months:
+        touched = incremental.refresh_fact(
+            wh.months["fact"], run_id, prev, wh.read("clean", [run_id]), clean_prev,
+            wh.read("product", [prev]) if prev is not None else None,
+            (wh.read("product", [run_id]), wh.read("time_dim", [run_id]), wh.read("location", [run_id]), sk), price_mode)
+        incremental.refresh_cube(wh.months["cube"], wh.months["fact"], run_id, prev, touched)
+        wh.commit(run_id)
+        for t in wh.months.values():  # as many versions as the slots keep: this run's and the one before
+            t.expire([r for r in (prev, run_id) if r is not None], done[-2:-1])
+        return
     f = fact.build_order_fact(clean_all, wh.read("product", [run_id]), wh.read("time_dim", [run_id]),
                               wh.read("location", [run_id]), sk, address_match, price_mode)
     if fact_mode == "append" and prev is not None:
@@ -213,11 +243,12 @@ def warehouse_totals(wh: Warehouse) -> DataFrame:
     return out
 
 
-def replay_landing(spark: SparkSession, landing: DataFrame, as_of=None, root: str | None = None, **options) -> Warehouse:
+def replay_landing(spark: SparkSession, landing: DataFrame, as_of=None, root: str | None = None, layout: str = "slots",
+                   **options) -> Warehouse:
     """Replay a landing table as its arrival batches (one run per distinct stamp), read from one written copy."""
     from starloom.session import scratch_path
     root = root or scratch_path(spark, "warehouse")
-    wh = Warehouse(spark, root)
+    wh = Warehouse(spark, root, layout)
     landing = cut_lineage(landing, "replay")
     # One row per arrival batch: bounded by the number of batches, not by rows.
     stamps = [r[0] for r in landing.select("updated_at").distinct().orderBy("updated_at").collect()]

@@ -79,6 +79,12 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.parquet(path)
 
 
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder through the file system that Spark itself would use for it."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin a scan that yields fewer partitions than the cluster's cores.
 
