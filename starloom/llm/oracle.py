@@ -4,6 +4,9 @@
 fingerprints, token counts, language models) are beyond SQL and are tested against brute force.
 """
 
+import math
+
+from starloom.llm import licenses
 from starloom.llm.mixing import OP10_SQL
 
 _WORDS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -30,7 +33,7 @@ OP2_SQL = """
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
 p AS (SELECT r, doc_id, x, unnest(range(greatest(0, length(x) // 2 - 99))) AS s FROM d),
 m AS (SELECT r, doc_id, s, md5(substr(x, 2 * s + 1, 200)) AS t FROM p),
-l AS (SELECT r, s FROM (SELECT r, s, row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS FIRST, s) AS n FROM m) WHERE n > 1),
+l AS (SELECT r, s FROM (SELECT r, s, rank() OVER (PARTITION BY t ORDER BY doc_id NULLS FIRST, s) AS n FROM m) WHERE n > 1),
 b AS (SELECT r, s, s > coalesce(lag(s) OVER (PARTITION BY r ORDER BY s) + 100, -1) AS fresh FROM l),
 c AS (SELECT r, s, sum(fresh::INT) OVER (PARTITION BY r ORDER BY s) AS run FROM b),
 g AS (SELECT r, min(s) AS s, max(s) + 100 AS e FROM c GROUP BY r, run),
@@ -97,5 +100,84 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(removed, 0)::BIGINT AS n_remo
 FROM d LEFT JOIN k USING (r)
 """
 
+#: Zlib's CRC-32 byte by byte, from a table made by its rule.
+OP11_SQL = r"""
+WITH RECURSIVE step(i, n, c) AS (SELECT i, 0, i::BIGINT FROM range(256) r(i)
+  UNION ALL SELECT i, n + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM step WHERE n < 8),
+byte AS (SELECT i, c FROM step WHERE n = 8),
+crc(c, s, n, x) AS (SELECT conv_id, conv_id::VARCHAR, 0, 4294967295::BIGINT FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL)
+  UNION ALL SELECT crc.c, s, n + 1, xor(x >> 8, byte.c) FROM crc JOIN byte ON byte.i = xor(x & 255, ord(substr(s, n + 1, 1))) WHERE n < length(s)),
+conv AS (SELECT c, xor(x, 4294967295) & 3 AS h, c - c % 20 AS base FROM crc WHERE n = length(s)),
+own AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) - 1 AS p,
+  coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+built AS (SELECT conv.c, p, role, text FROM conv JOIN own ON own.c = conv.base WHERE p < h
+  UNION ALL SELECT conv.c, p, role, text FROM conv JOIN own ON own.c = conv.c WHERE p >= h),
+turn AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY p) AS d, sha256(length(role)::VARCHAR || ':' || role || text) AS t,
+  coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS words FROM built),
+path AS (SELECT c, d, string_agg(t, ',') OVER (PARTITION BY c ORDER BY d) AS key, words FROM turn UNION ALL SELECT c, 0, '', 0 FROM conv),
+ending AS (SELECT key, p.d, string_agg(p.c::VARCHAR, ',' ORDER BY p.c) AS ids, count(*) AS n FROM path p
+  JOIN (SELECT c, max(d) AS d FROM path GROUP BY c) l ON l.c = p.c AND l.d = p.d GROUP BY key, p.d),
+node AS (SELECT key, d, min(c) AS conv_id, count(*) AS n_convs, max(words) AS words FROM path GROUP BY key, d),
+known AS (SELECT node.*, coalesce(ending.ids, '') AS ids, (n_convs = coalesce(ending.n, 0))::INT AS leaf FROM node LEFT JOIN ending USING (key, d)),
+below AS (SELECT p.key, p.d, sum(x.leaf) AS n_leaves, sum((x.n_convs - 1) * x.words) AS saved, sum((x.d = p.d + 1)::INT) AS n_children
+  FROM known x JOIN path p ON p.c = x.conv_id AND p.d <= x.d GROUP BY p.key, p.d)
+SELECT k.conv_id::BIGINT AS conv_id, k.d::BIGINT AS depth, up.conv_id::BIGINT AS parent_conv_id, k.n_convs::BIGINT AS n_convs, n_children::BIGINT AS n_children,
+  n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, sha256(k.ids) AS ends_sha256
+FROM known k JOIN below USING (key, d)
+LEFT JOIN path above ON above.c = k.conv_id AND above.d = k.d - 1 LEFT JOIN node up ON up.key = above.key AND up.d = above.d
+"""
+
+
+def _op12_sql(size: int = 64, centroids: int = 8, rounds: int = 10) -> str:
+    near = ("SELECT r, c, d FROM (SELECT r, c, d, row_number() OVER (PARTITION BY r ORDER BY d, c) AS n FROM (SELECT v.r, k.c, "
+            "sum((v.z - k.z) * (v.z - k.z)) AS d FROM v JOIN c{i} k ON v.i = k.i GROUP BY v.r, k.c)) WHERE n = 1")
+    steps = "".join(f""",
+n{i} AS MATERIALIZED ({near.format(i=i)}),
+c{i + 1} AS MATERIALIZED (SELECT c{i}.c, c{i}.i, coalesce((m.s - (m.s % m.n + m.n) % m.n) // m.n, c{i}.z) AS z FROM c{i}
+  LEFT JOIN (SELECT c, i, sum(z)::BIGINT AS s, count(*) AS n FROM n{i} JOIN v USING (r) GROUP BY c, i) m ON m.c = c{i}.c AND m.i = c{i}.i)"""
+                    for i in range(rounds))
+    return f"""
+WITH e AS (SELECT row_number() OVER () AS r, vec_id, embedding AS x FROM embeddings WHERE len(embedding) = {size}),
+u AS (SELECT r, vec_id, unnest(x) AS x, unnest(range({size})) AS i FROM e),
+bad AS (SELECT DISTINCT r FROM u WHERE x IS NULL OR NOT isfinite(x)),
+v AS MATERIALIZED (SELECT r, vec_id, i, floor(1024 * x::DOUBLE)::BIGINT AS z FROM u WHERE r NOT IN (SELECT r FROM bad)),
+w AS (SELECT r, sha256('3:' || vec_id::VARCHAR) AS h, list(z ORDER BY i) AS x FROM v GROUP BY r, vec_id),
+o AS (SELECT r, row_number() OVER (ORDER BY h NULLS LAST, x) - 1 AS c FROM w),
+c0 AS MATERIALIZED (SELECT c, i, z FROM o JOIN v USING (r) WHERE c < {centroids}){steps},
+a AS MATERIALIZED ({near.format(i=rounds)}),
+digest AS (SELECT c, sha256(string_agg(z::VARCHAR, ',' ORDER BY i)) AS h FROM c{rounds} GROUP BY c)
+SELECT vec_id, a.c::INT AS cluster, a.d::BIGINT AS distance, (sum(a.d) OVER (PARTITION BY a.c))::BIGINT AS cluster_inertia,
+  (sum(a.d) OVER ())::BIGINT AS inertia, digest.h AS centroid_sha256
+FROM a JOIN digest USING (c) JOIN e USING (r)
+"""
+
+
+def _op13_sql() -> str:
+    rows = [(label, True, text.split()) for text, label in licenses.PHRASES] + [(label, False, text.split()) for label, text in licenses.NOTICES]
+    places = ", ".join(f"({i}, {at}, '{a} {b}')" for i, (_, _, w) in enumerate(rows) for at, (a, b) in enumerate(zip(w, w[1:])))
+    need = lambda exact, n: n if exact or n < licenses.WHOLE else math.ceil(licenses.COVER * n)
+    names = ", ".join(f"({i}, '{label}', {exact}, {len(w) - 1}, {need(exact, len(w) - 1)})" for i, (label, exact, w) in enumerate(rows))
+    return f"""
+WITH place(t, tp, gram) AS (VALUES {places}), template(t, label, exact, n, need) AS (VALUES {names}),
+d AS (SELECT row_number() OVER () AS r, doc_id, coalesce({_WORDS.format('text')}, []) AS w FROM documents),
+word AS (SELECT r, unnest(w) AS word, unnest(range(len(w))) AS p FROM d),
+pair AS (SELECT a.r, a.p, a.word || ' ' || b.word AS gram FROM word a JOIN word b ON a.r = b.r AND b.p = a.p + 1),
+vote AS (SELECT r, t, p - tp AS diagonal, p, tp FROM pair JOIN place USING (gram)),
+base AS (SELECT r, label, diagonal AS s FROM (SELECT r, t, diagonal, count(*) AS n FROM vote GROUP BY r, t, diagonal) x
+  JOIN template USING (t) WHERE exact AND x.n = template.n),
+near AS (SELECT m.r, m.t, count(DISTINCT tp) AS n, max(p) - min(p) + 2 AS span FROM (SELECT DISTINCT r, t, diagonal FROM vote) m
+  JOIN vote v ON v.r = m.r AND v.t = m.t AND v.diagonal BETWEEN m.diagonal - {licenses.SLACK} AND m.diagonal + {licenses.SLACK}
+  JOIN template ON template.t = m.t WHERE NOT exact GROUP BY m.r, m.t, m.diagonal),
+found AS (SELECT r, label, near.n::DOUBLE / template.n AS score FROM near JOIN template USING (t) WHERE near.n >= need AND span <= 1.5 * (template.n + 1)
+  UNION ALL SELECT r, label, 1.0 FROM base),
+b AS (SELECT r, count(*) AS n, min(s) AS least, max(s) AS most, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM base GROUP BY r),
+f AS (SELECT r, max(score) AS score, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM found GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(b.n, 0)::BIGINT AS n_base, least::BIGINT AS first_word, most::BIGINT AS last_word,
+  coalesce(b.labels, '') AS base_labels, coalesce(f.labels, '') AS labels, coalesce(f.score, 0)::DOUBLE AS score
+FROM d LEFT JOIN b USING (r) LEFT JOIN f USING (r)
+"""
+
+
 ORACLE = {"op1_decontaminate": OP1_SQL, "op2_suffix_dedup": OP2_SQL, "op5_search": OP5_SQL, "op6_secrets": OP6_SQL,
-          "op8_phrase_dedup": OP8_SQL, "op10_mix": OP10_SQL}
+          "op8_phrase_dedup": OP8_SQL, "op10_mix": OP10_SQL, "op11_prefix_trie": OP11_SQL, "op12_centroids": _op12_sql(),
+          "op13_licenses": _op13_sql()}

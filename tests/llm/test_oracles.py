@@ -14,7 +14,7 @@ SF = os.environ.get("LLM_SF_DIR", "/root/testdata/sf0.001")
 def test_query_equals_sql(spark, name):
     import duckdb
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     got = QUERIES[name](spark, SF)
     expected = con.sql(ORACLE[name])
