@@ -8,10 +8,10 @@ more location nodes. ``address_match``:
   * ``substring``: the source's rule - every node whose name occurs inside
     the purchase address matches (``address LIKE '%' || name || '%'``), at
     every level. Instead of a nested-loop join, each distinct address is
-    cut into its substrings of the lengths that node names actually have,
-    and those are equi-joined with each node's longest literal run; the
-    exact LIKE is then a residual on the candidates. Distinct addresses are
-    matched once and joined back to the sales by address.
+    cut into its ``GRAM``-character pieces (one a character) and equi-joined
+    with one piece of each distinct node name: the one that fewest addresses
+    hold. The exact LIKE is then a residual on the candidates. Distinct
+    addresses are matched once and joined back to the sales by address.
 
 ``price_mode``: ``current`` (source: quantity x current version's price) or
 ``as_of_sale`` (quantity x the version valid at the sale date).
@@ -27,6 +27,7 @@ from starloom.functions.text import longest_literal_run
 from starloom.operators.calendar import main_days
 from starloom.operators.location import address_key_columns
 from starloom.operators.product import join_valid_version
+from starloom.session import cut_lineage
 
 _PCOL_NAMES = [("id", "_p_id"), ("product", "_p_product"), ("price_each", "_p_price"),
                ("start_date", "_p_start"), ("end_date", "_p_end"), ("curr_status", "_p_cur"),
@@ -42,22 +43,45 @@ _FACT_TYPES = {
 }
 
 
+GRAM = 5
+
+
+def _pieces(text, n):
+    """All pieces of ``n`` characters of a text."""
+    count = F.length(text) - n + 1
+    return F.when(count > 0, F.transform(F.sequence(F.lit(1), F.greatest(count, F.lit(1))), lambda p: F.substring(text, p, n))).otherwise(F.array())
+
+
+def substring_candidates(addresses: DataFrame, names: DataFrame) -> DataFrame:
+    """(_addr, _name): pairs of a distinct address and a distinct node name that share the name's rarest piece.
+
+    A name's pieces are those of its longest literal run, which any match holds word for word: of ``GRAM`` characters, or the
+    whole run if that is shorter (none of a name of wildcards alone, which is compared with every address). An address has about one
+    piece a character for each length in use, ``GRAM`` at most.
+    """
+    runs = names.select(F.col("address_name").alias("_name")).filter(F.col("_name").isNotNull()).distinct() \
+        .withColumn("_run", longest_literal_run(F.col("_name")))
+    size = F.least(F.length("_run"), F.lit(GRAM))
+    # Lengths in use: GRAM + 1 numbers at most.
+    sizes = sorted(r[0] for r in runs.select(size.alias("n")).distinct().collect())
+    cut = F.array_distinct(F.concat(*[F.array(F.lit("")) if n == 0 else _pieces(F.col("_addr"), n) for n in sizes])) if sizes else F.array(F.lit(""))
+    pieces = addresses.select("_addr", F.explode(cut).alias("_piece"))
+    spread = pieces.groupBy("_piece").agg(F.count(F.lit(1)).alias("_n"))
+    mine = F.when(F.length("_run") == 0, F.array(F.lit(""))).otherwise(F.array_distinct(_pieces(F.col("_run"), size)))
+    held = runs.select("_name", F.explode(mine).alias("_piece"))
+    # A piece that no address holds rules its name out.
+    rarest = (held.join(spread, "_piece", "left").groupBy("_name")
+              .agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_piece")).alias("best"))
+              .filter(F.col("best.n") > 0).select("_name", "best._piece"))
+    return pieces.join(rarest, "_piece").select("_addr", "_name")
+
+
 def substring_matches(addresses: DataFrame, hierarchy: DataFrame, col: str = "purchase_address") -> DataFrame:
     """(address, address_id) for every node name contained in the address."""
-    nodes = hierarchy.select("address_id", "address_name").filter(F.col("address_name").isNotNull()) \
-        .withColumn("_key", longest_literal_run(F.col("address_name")))
-    # Distinct key lengths: bounded by the longest node name (a VARCHAR(100) column).
-    lengths = sorted({r[0] for r in nodes.select(F.length("_key")).distinct().collect()})
-    addr = addresses.select(F.col(col).alias("_addr")).filter(F.col("_addr").isNotNull()).distinct()
-    L = F.length("_addr")
-    lens = F.array(*[F.lit(n) for n in lengths]) if lengths else F.array().cast("array<int>")
-    subs = F.array_distinct(F.flatten(F.transform(
-        F.filter(lens, lambda n: n <= L),
-        lambda n: F.transform(F.sequence(F.lit(1), L - n + 1), lambda p: F.substring("_addr", p, n)))))
-    cand = addr.select("_addr", F.explode(subs).alias("_key"))
-    hit = cand.join(nodes, "_key").filter(
-        F.like(F.col("_addr"), F.concat(F.lit("%"), F.col("address_name"), F.lit("%"))))
-    return hit.select(F.col("_addr").alias(col), "address_id").distinct()
+    addr = cut_lineage(addresses.select(F.col(col).alias("_addr")).filter(F.col("_addr").isNotNull()).distinct(), "addresses")
+    nodes = hierarchy.select("address_id", F.col("address_name").alias("_name"))
+    hit = substring_candidates(addr, hierarchy).filter(F.like(F.col("_addr"), F.concat(F.lit("%"), F.col("_name"), F.lit("%"))))
+    return hit.join(nodes, "_name").select(F.col("_addr").alias(col), "address_id")
 
 
 def build_order_fact(clean: DataFrame, product: DataFrame, time_dim: DataFrame,

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from starloom.session import cut_lineage
 
-_PID = "_seq_pid"
+RANGE_PID = _PID = "_seq_pid"
 _POS = "_seq_pos"
 _TIE = "_seq_tie"
 
@@ -28,7 +28,8 @@ def _names(cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
-def _tag(df: DataFrame, sort_cols: list[Column], partitions: int | None) -> DataFrame:
+def range_tagged(df: DataFrame, sort_cols: list[Column], partitions: int | None = None) -> DataFrame:
+    """``df`` dealt and sorted by ranges of ``sort_cols``, written once, with each row's partition (``RANGE_PID``) and place in it."""
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
     tagged = (
@@ -48,7 +49,7 @@ def sequence_ids(df: DataFrame, order_cols: Sequence[str | Column], id_col: str,
     their place in the input, the last range column, so they too are spread over partitions.
     """
     order = _names(order_cols) + [F.col(_TIE)]
-    tagged = _tag(df.withColumn(_TIE, F.monotonically_increasing_id()), order, partitions).drop(_TIE)
+    tagged = range_tagged(df.withColumn(_TIE, F.monotonically_increasing_id()), order, partitions).drop(_TIE)
     counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"))
     # One row per partition: a single-task window here is bounded by the partition count.
     offsets = counts.select(
@@ -68,7 +69,7 @@ def group_sequence(df: DataFrame, group_cols: Sequence[str], order_cols: Sequenc
                    id_col: str, partitions: int | None = None) -> DataFrame:
     """``row_number()`` over ``partitionBy(group_cols).orderBy(order_cols)``, skew-safe."""
     groups = list(group_cols)
-    tagged = _tag(df, _names(groups) + _names(order_cols), partitions)
+    tagged = range_tagged(df, _names(groups) + _names(order_cols), partitions)
     counts = tagged.groupBy(*groups, _PID).agg(
         F.count(F.lit(1)).alias("_n"), F.min(_POS).alias("_base"))
     w = Window.partitionBy(*groups).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)

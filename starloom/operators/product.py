@@ -14,11 +14,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from starloom import schemas as S
 from starloom.functions.text import counter
-from starloom.operators.keys import group_sequence
+from starloom.operators.keys import RANGE_PID, group_sequence, range_tagged
+from starloom.session import cut_lineage
 
 
 def categorise(df: DataFrame, col: str = "product",
@@ -119,6 +121,68 @@ def scd2_merge(dim: DataFrame | None, new: DataFrame) -> DataFrame:
     return close_versions(versions).select(*S.PRODUCT_SCHEMA.fieldNames())
 
 
+def first_sale_at_other_price(versions: DataFrame, clean: DataFrame) -> DataFrame:
+    """id and first_other: each version's first later sale of its product at another price (versions without one left out).
+
+    ``versions``: id, product, price_each, start_date. Sales are reduced to one row a product and minute (least and largest price); with the versions
+    between them they are dealt by ranges of (product, time), so a product that holds all rows is spread over many tasks. The next
+    sale after a version answers it unless all of that minute was sold at the version's own price; then the next *change* of price does. Both are
+    looked up in running windows within a partition, and from one row per product and partition beyond it: rows are linear in sales and versions.
+    """
+    none = F.lit(None)
+    price = price_key("price_each")
+    sales = (clean.filter(F.col("product").isNotNull() & F.col("order_date").isNotNull())
+             .groupBy("product", F.col("order_date").alias("at")).agg(F.min(price).alias("low"), F.max(price).alias("high")))
+    marks = versions.filter(F.col("product").isNotNull()).select(
+        "product", F.col("start_date").alias("at"), none.cast(sales.schema["low"].dataType).alias("low"),
+        none.cast(sales.schema["high"].dataType).alias("high"), "id", price.alias("own"))
+    rows = sales.withColumn("id", none.cast("long")).withColumn("own", none.cast(marks.schema["own"].dataType)).unionByName(marks)
+    sold = F.col("low").isNotNull()
+    # A version stands after the sales of its own minute: only later ones count.
+    order = [F.col("product"), F.col("at"), F.col("id").asc_nulls_first()]
+    placed = range_tagged(rows, order)
+    part = [F.col("product"), F.col(RANGE_PID)]
+    run = W.partitionBy(*part).orderBy(F.col("at"), F.col("id").asc_nulls_first()).rowsBetween(W.unboundedPreceding, -1)
+    back = W.partitionBy(*part).orderBy(F.col("at").desc(), F.col("id").desc_nulls_last()).rowsBetween(W.unboundedPreceding, -1)
+    sale = F.when(sold, F.struct("at", "low", "high"))
+
+    ends = placed.groupBy(*part).agg(F.max(sale).alias("last"))
+    up = W.partitionBy("product").orderBy(RANGE_PID).rowsBetween(W.unboundedPreceding, -1)
+    ends = ends.select(*part, F.last("last", True).over(up).alias("earlier"))
+    before = F.coalesce(F.last(sale, True).over(run), F.col("earlier"))
+    changes = sold & F.col("before").isNotNull() & ~((F.col("low") == F.col("high")) & (F.col("low") == F.col("before.low"))
+                                                     & (F.col("high") == F.col("before.high")))
+    linked = cut_lineage(placed.join(ends, ["product", RANGE_PID]).withColumn("before", before)
+                         .withColumn("change", F.when(changes, F.col("at"))).drop("before", "earlier"), "price-changes")
+
+    opened = linked.withColumn("opens", F.min(F.when(sold, F.col("at"))).over(W.partitionBy(*part)))
+    edge = opened.groupBy(*part).agg(F.min(sale).alias("first"), F.min("change").alias("change"),
+                                     F.min(F.when(F.col("change") > F.col("opens"), F.col("change"))).alias("change_after"))
+    down = W.partitionBy("product").orderBy(F.col(RANGE_PID).desc()).rowsBetween(W.unboundedPreceding, -1)
+    edge = edge.withColumn("later_change", F.min("change").over(down))
+    edge = edge.select(*part, "later_change", F.last(F.when(F.col("first").isNotNull(), F.struct(
+        "first.at", "first.low", "first.high", F.coalesce("change_after", "later_change").alias("then"))), True).over(down).alias("beyond"))
+    here = (linked.join(edge, ["product", RANGE_PID])
+            .withColumn("then", F.coalesce(F.min("change").over(back), F.col("later_change"))))
+    coming = F.coalesce(F.last(F.when(sold, F.struct("at", "low", "high", "then")), True).over(back), F.col("beyond"))
+    found = here.withColumn("coming", coming).filter(~sold).select("id", F.when(
+        (F.col("coming.low") != F.col("own")) | (F.col("coming.high") != F.col("own")), F.col("coming.at")).otherwise(F.col("coming.then")).alias("first_other"))
+    return found.filter(F.col("first_other").isNotNull())
+
+
+def sold_later_at_other_price(versions: DataFrame, clean: DataFrame) -> DataFrame:
+    """The versions with a later sale of their product at another price (EXISTS): the latest sales of the product's two
+    most recently sold prices decide, so a product meets one row."""
+    latest = clean.groupBy("product", price_key("price_each").alias("_price")).agg(F.max("order_date").alias("_at"))
+    top = latest.groupBy("product").agg(F.max(F.struct("_at", "_price")).alias("_top"))
+    second = (latest.join(top, "product").filter(F.col("_price") != F.col("_top._price"))
+              .groupBy("product").agg(F.max("_at").alias("_second")))
+    known = top.join(second, "product", "left").withColumnRenamed("product", "_product")
+    other = F.when(price_key("price_each") != F.col("_top._price"), F.col("_top._at")).otherwise(F.col("_second"))
+    return (versions.join(known, F.col("product") == F.col("_product")).filter(other > F.col("start_date"))
+            .select(*versions.columns))
+
+
 def scd2_reversion(dim: DataFrame, clean: DataFrame) -> DataFrame:
     """O-18: the source's re-versioning pass over a stored dimension.
 
@@ -128,21 +192,12 @@ def scd2_reversion(dim: DataFrame, clean: DataFrame) -> DataFrame:
        open end.
     On a dimension already in canonical form this is the identity.
     """
-    cur = dim.filter("curr_status").select(
-        "id", F.col("product").alias("_p"), price_key("price_each").alias("_pk"),
-        F.col("start_date").alias("_s"))
-    # Sales are reduced to one row per product, price and minute before they
-    # meet the current versions of their product; the reduction to one row per
-    # version is partially aggregated before its shuffle.
-    later = (clean.select("product", price_key("price_each").alias("_spk"), "order_date").distinct()
-             .join(cur, (F.col("product") == F.col("_p")) & (F.col("_spk") != F.col("_pk"))
-                   & (F.col("order_date") > F.col("_s")))
-             .groupBy("id").agg(F.min("order_date").alias("_first_other")))
+    later = first_sale_at_other_price(dim.filter("curr_status"), clean)
     step1 = (dim.join(later, "id", "left")
-             .withColumn("end_date", F.when(F.col("_first_other").isNotNull(),
-                                            F.col("_first_other") - F.expr("INTERVAL 1 DAY"))
+             .withColumn("end_date", F.when(F.col("first_other").isNotNull(),
+                                            F.col("first_other") - F.expr("INTERVAL 1 DAY"))
                          .otherwise(F.col("end_date")))
-             .withColumn("curr_status", F.when(F.col("_first_other").isNotNull(), F.lit(False))
+             .withColumn("curr_status", F.when(F.col("first_other").isNotNull(), F.lit(False))
                          .otherwise(F.col("curr_status"))))
     newest = dim.groupBy("product").agg(F.max("start_date").alias("_latest"))
     step1 = step1.join(newest, "product")

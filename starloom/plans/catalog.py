@@ -218,13 +218,7 @@ def q_semi_active_versions(spark, sf):
     an inequality: the test the re-versioning pass applies to current rows)."""
     c = clean(spark, sf)
     dim, _ = product.populate_product(c)
-    cur = dim
-    # The latest sale of each product and price decides: no raw sales on the side AQE cannot split.
-    s = c.groupBy(F.col("product").alias("_s_product"), F.col("price_each").alias("_s_price")).agg(
-        F.max("order_date").alias("_s_date"))
-    cond = ((cur["product"] == s["_s_product"]) & (product.price_key(cur["price_each"]) != product.price_key(s["_s_price"]))
-            & (s["_s_date"] > cur["start_date"]))
-    return cur.join(s, cond, "left_semi")
+    return product.sold_later_at_other_price(dim, c)
 
 
 def q_scd2_reversion(spark, sf):
