@@ -349,6 +349,46 @@ def q_landing_roundtrip(spark, sf):
     return L.read_landing_csv(spark, path, "2024-01-04 00:00:00")
 
 
+def _as_lines(df: DataFrame, header: str, line, path: str) -> None:
+    """Write one text line a row, with ``header`` as first line of every file."""
+    (df.select(line.alias(header)).write.option("header", True).option("sep", "\u0001").option("quote", "\u0000")
+     .option("escapeQuotes", False).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+
+
+def _quoted(name: str):
+    return F.concat(F.lit('"'), F.replace(F.coalesce(F.col(name), F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
+
+
+def q_landing_mixed_headers(spark, sf):
+    """Files of two layouts in one read: the third arrival has its columns in reverse, one more and no quantity."""
+    from starloom.session import scratch_path
+    from starloom.sources import landing as L
+    path = scratch_path(spark, "landing-mixed")
+    land = cut_lineage(dirty_landing(spark, sf), "landing")
+    third = F.col("updated_at") == F.lit("2024-01-03").cast("timestamp")
+    names = list(S.CSV_HEADERS.items())
+    _as_lines(land.filter(~third), ",".join(h for h, _ in names), F.concat_ws(",", *[_quoted(c) for _, c in names]), f"{path}/full")
+    kept = [(h, c) for h, c in reversed(names) if c != "quantity_ordered"]
+    _as_lines(land.filter(third), ",".join(["Note", *(h for h, _ in kept)]),
+              F.concat_ws(",", F.lit("a note"), *[_quoted(c) for _, c in kept]), f"{path}/other")
+    return L.read_landing_csv(spark, [f"{path}/full", f"{path}/other"], "2024-01-04 00:00:00")
+
+
+def q_landing_malformed(spark, sf):
+    """Records that do not fit their header, with the reason: a field short, one too many, a quote left open."""
+    from starloom.session import scratch_path
+    from starloom.sources import landing as L
+    path = scratch_path(spark, "landing-malformed")
+    land = dirty_landing(spark, sf)
+    fields = [_quoted(c) for c in S.CSV_HEADERS.values()]
+    day = F.dayofmonth("updated_at")
+    line = (F.when(day == 2, F.concat_ws(",", *fields[:-1])).when(day == 3, F.concat_ws(",", *fields, F.lit("x")))
+            .when(F.col("purchase_address").isNull(), F.concat_ws(",", *fields[:-1], F.lit('"open'))).otherwise(F.concat_ws(",", *fields)))
+    _as_lines(land, ",".join(S.CSV_HEADERS), line, path)
+    parsed = L.parse_lines(L.with_origin(spark.read.text(path)))
+    return L.malformed_of(parsed, "2024-01-04 00:00:00").select("order_id", "product", "price_each", "error_reason", "logged_at")
+
+
 def q_warehouse_totals(spark, sf):
     from starloom.plans.warehouse import run_batches_from_landing
     return run_batches_from_landing(spark, dirty_landing(spark, sf), AS_OF)

@@ -494,6 +494,14 @@ ORACLE: dict[str, str] = {
         coalesce(product, '') AS product, coalesce(quantity_ordered, '') AS quantity_ordered,
         coalesce(price_each, '') AS price_each, coalesce(order_date, '') AS order_date,
         coalesce(purchase_address, '') AS purchase_address, TIMESTAMP '2024-01-04 00:00:00' AS updated_at FROM landing""",
+    "landing_mixed_headers": f"""WITH landing AS ({LANDING_SQL}) SELECT coalesce(order_id, '') AS order_id, coalesce(product, '') AS product,
+        CASE WHEN updated_at = TIMESTAMP '2024-01-03' THEN '' ELSE coalesce(quantity_ordered, '') END AS quantity_ordered,
+        coalesce(price_each, '') AS price_each, coalesce(order_date, '') AS order_date,
+        coalesce(purchase_address, '') AS purchase_address, TIMESTAMP '2024-01-04 00:00:00' AS updated_at FROM landing""",
+    "landing_malformed": f"""WITH landing AS ({LANDING_SQL}), marked AS (SELECT *, CASE day(updated_at) WHEN 2 THEN 'Too few fields'
+        WHEN 3 THEN 'Too many fields' ELSE CASE WHEN purchase_address IS NULL THEN 'Unclosed quote' END END AS error_reason FROM landing)
+        SELECT coalesce(order_id, '') AS order_id, coalesce(product, '') AS product, coalesce(price_each, '') AS price_each, error_reason,
+        TIMESTAMP '2024-01-04 00:00:00' AS logged_at FROM marked WHERE error_reason IS NOT NULL""",
     "warehouse_totals": _warehouse_totals(LANDING_SQL),
     "warehouse_fact": _warehouse_fact(LANDING_SQL),
     "warehouse_fact_incremental": f"{_fact_after_runs()} SELECT * FROM fact",

@@ -20,24 +20,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.plans.warehouse import Warehouse, run_warehouse_batch, warehouse_totals
-from starloom.schemas import CSV_SCHEMA
-from starloom.sources.landing import to_landing, write_landing_csv
+from starloom.sources.landing import landing_of, parse_lines, with_origin, write_landing_csv
 
 RUNS_PER_EPOCH = 1_000_000
 
 
 def start_landing_stream(spark: SparkSession, landing_dir: str, wh: Warehouse, checkpoint: str,
                          stamp_for: Callable[[int], datetime | str] | None = None, as_of=None,
-                         available_now: bool = True, max_files_per_trigger: int | None = None,
+                         available_now: bool = True, max_files_per_trigger: int | None = None, malformed: str = "keep",
                          **options):
-    """Start the stream; returns the StreamingQuery."""
-    schema = T.StructType(list(CSV_SCHEMA.fields) + [T.StructField("batch", T.LongType())])
-    reader = (spark.readStream.schema(schema).option("header", True).option("enforceSchema", False)
-              .option("quote", '"').option("escape", '"')
-              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+    """Start the stream; returns the StreamingQuery. Every file is read by its own header, as in batch reads."""
+    reader = spark.readStream.schema(T.StructType([T.StructField("value", T.StringType()), T.StructField("batch", T.LongType())]))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.csv(landing_dir)
+    raw = with_origin(reader.text(landing_dir))
 
     def each(df: DataFrame, epoch_id: int) -> None:
         # Arrival folders in this micro-batch: bounded by the files per trigger.
@@ -46,7 +42,7 @@ def start_landing_stream(spark: SparkSession, landing_dir: str, wh: Warehouse, c
             raise ValueError(f"{len(arrivals)} arrivals in one micro-batch: set max_files_per_trigger")
         for i, k in enumerate(arrivals):
             ts = stamp_for(k) if stamp_for else datetime.now(timezone.utc)
-            rows = to_landing(df.filter(F.col("batch") == k).drop("batch"), ts)
+            rows = landing_of(parse_lines(df.filter(F.col("batch") == k)), ts, malformed)
             run_warehouse_batch(wh, rows, epoch_id * RUNS_PER_EPOCH + i, as_of, **options)
 
     writer = raw.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
