@@ -178,6 +178,18 @@ def anti_dedup(new: DataFrame, existing: DataFrame | None, compare: str = "typed
     raise ValueError(f"unknown compare mode {compare!r}")
 
 
+def batch_months(landing: DataFrame) -> list[str]:
+    """The months of a batch's readable order dates (bounded by the time it covers)."""
+    month = F.date_format("_ts", "yyyy-MM")
+    return sorted(r[0] for r in typed_columns(landing).select(month.alias("m")).distinct().collect() if r[0] is not None)
+
+
+def anti_dedup_by_month(new: DataFrame, existing: DataFrame, month_col: str = "order_month") -> DataFrame:
+    """``anti_dedup`` of typed values against a history stored by order month: the date is one of the keys compared, so only
+    the batch's months are read (a partition filter of the scan)."""
+    return anti_dedup(new, existing.filter(F.col(month_col).isin(batch_months(new))).drop(month_col))
+
+
 def assign_error_ids(errors: DataFrame, start: Column | int = 1) -> DataFrame:
     """O-66: contiguous ``error_id`` in content order, continuing from ``start``."""
     order = list(S.LANDING_COLUMNS) + ["error_reason"]
@@ -237,3 +249,26 @@ def assert_keys(unique: Mapping[str, tuple[DataFrame, Sequence[str]]],
         one = n.select(F.lit(name).alias("check"), F.coalesce("n", F.lit(0)).cast("long").alias("violations"))
         out = one if out is None else out.unionByName(one)
     return out
+
+
+def star_checks(time_dim: DataFrame, hierarchy: DataFrame, products: DataFrame, facts: DataFrame) -> DataFrame:
+    """Keys and references of the star schema as (check, violations)."""
+    return assert_keys(
+        {"time_key_unique": (time_dim, ["time_combined_id"]), "address_key_unique": (hierarchy, ["address_id"]),
+         "product_key_unique": (products, ["id"])},
+        {"location_parent_exists": (hierarchy, "parent_id", hierarchy, "address_id"),
+         "fact_address_exists": (facts, "address_id", hierarchy, "address_id"),
+         "fact_time_exists": (facts, "time_id", time_dim.filter("time_lvl = '0' AND timebranch = 'main'"), "time_id"),
+         "fact_product_exists": (facts, "product_surrogate_id", products, "id")})
+
+
+class ConstraintViolation(ValueError):
+    """A run's staged tables break a key or a reference; ``violations`` has (check, rows) of each."""
+
+    def __init__(self, run_id: int, violations: list[tuple[str, int]]):
+        super().__init__(f"run {run_id} is not published: {violations}")
+        self.run_id, self.violations = run_id, violations
+
+
+def violated(report: DataFrame) -> DataFrame:
+    return report.filter(F.col("violations") > 0)

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom import schemas as S
 from starloom.operators import calendar, cube, fact, location, product, quality
@@ -89,6 +90,19 @@ def q_anti_dedup(spark, sf):
     return quality.anti_dedup(land, existing, "typed")
 
 
+def q_anti_dedup_pruned(spark, sf):
+    """January's landing rows against the earlier arrivals' clean sales, stored by month: only Januaries are read."""
+    from starloom.plans.months import MONTH, month_of
+    from starloom.session import scratch_path
+    land = cut_lineage(dirty_landing(spark, sf), "landing")
+    prev = land.filter(F.col("updated_at") < land.agg(F.max("updated_at")).scalar())
+    path = scratch_path(spark, "clean-by-month")
+    (quality.clean_of(quality.tag_rows(prev, AS_OF)).withColumn(MONTH, month_of("order_date")).hint("rebalance", F.col(MONTH))
+     .write.partitionBy(MONTH).parquet(path))
+    stored = spark.read.schema(T.StructType([*S.CLEAN_SCHEMA.fields, T.StructField(MONTH, T.StringType())])).parquet(path)
+    return quality.anti_dedup_by_month(land.filter(F.col("order_date").startswith("01/")), stored)
+
+
 def q_quality_report(spark, sf):
     f = Model(spark, sf).fact()
     return quality.assert_quality(f, {
@@ -105,14 +119,16 @@ def q_quality_report(spark, sf):
 
 def q_key_report(spark, sf):
     m = Model(spark, sf)
-    f, h, p = m.fact(), m.hierarchy, m.product
-    return quality.assert_keys(
-        {"time_key_unique": (m.time, ["time_combined_id"]), "address_key_unique": (h, ["address_id"]),
-         "product_key_unique": (p, ["id"])},
-        {"location_parent_exists": (h, "parent_id", h, "address_id"),
-         "fact_address_exists": (f, "address_id", h, "address_id"),
-         "fact_time_exists": (f, "time_id", calendar.main_days(m.time), "time_id"),
-         "fact_product_exists": (f, "product_surrogate_id", p, "id")})
+    return quality.star_checks(m.time, m.hierarchy, m.product, m.fact())
+
+
+def q_gated_run(spark, sf):
+    """What would keep a run from being published: a dimension without its cities and with televisions twice."""
+    m = Model(spark, sf)
+    cities_gone = cut_lineage(m.hierarchy, "hierarchy").filter("address_type <> 'City'")
+    products = cut_lineage(m.product, "product")
+    twice = products.unionByName(products.filter("category_name = 'TV'"))
+    return quality.violated(quality.star_checks(m.time, cities_gone, twice, m.fact()))
 
 
 # -- O-06, O-07, O-57a ------------------------------------------------------------------

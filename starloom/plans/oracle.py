@@ -379,6 +379,12 @@ ORACLE: dict[str, str] = {
         FROM typed t WHERE NOT EXISTS (SELECT 1 FROM prev e WHERE e.order_id = t.oid
           AND lower(trim(e.product)) = lower(t.tproduct) AND e.quantity_ordered = t.qty AND e.price_each = t.price
           AND e.order_date = t.ts AND trim(e.purchase_address) = t.taddr)""",
+    "anti_dedup_pruned": f"""{BASE},
+        prev AS (SELECT * FROM clean WHERE updated_at < (SELECT max(updated_at) FROM landing))
+        SELECT order_id, product, quantity_ordered, price_each, order_date, purchase_address, updated_at
+        FROM typed t WHERE order_date LIKE '01/%' AND NOT EXISTS (SELECT 1 FROM prev e WHERE e.order_id = t.oid
+          AND lower(trim(e.product)) = lower(t.tproduct) AND e.quantity_ordered = t.qty AND e.price_each = t.price
+          AND e.order_date = t.ts AND trim(e.purchase_address) = t.taddr)""",
     "time_dim": f"{BASE}, tdim AS ({calendar_sql('clean')}) SELECT * FROM tdim",
     "time_dim_increment": f"""{BASE}, early AS (SELECT * FROM clean WHERE order_date < {EARLY}),
         full_dim AS ({calendar_sql('clean')}), early_dim AS ({calendar_sql('early')})
@@ -480,6 +486,8 @@ ORACLE: dict[str, str] = {
           (SELECT 1 FROM tdim t WHERE t.time_id = f.time_id AND t.time_lvl = '0' AND t.timebranch = 'main')
         UNION ALL SELECT 'fact_product_exists', count(*) FROM fact f WHERE product_surrogate_id IS NOT NULL
           AND NOT EXISTS (SELECT 1 FROM pdim p WHERE p.id = f.product_surrogate_id)""",
+    "gated_run": f"""{FACT} SELECT * FROM (SELECT 'product_key_unique' AS "check", count(*) AS violations FROM pdim WHERE category_name = 'TV'
+        UNION ALL SELECT 'location_parent_exists', count(*) FROM hier WHERE level = 0) WHERE violations > 0""",
     "scalar_text": f"""WITH landing AS ({LANDING_SQL}) SELECT trim(product) AS trimmed, lower(trim(product)) AS lowered,
         upper(product) AS uppered, split_part(purchase_address, ',', 2) AS second_part,
         split_part(purchase_address, ' ', -1) AS last_word, substring(order_date, 7, 4) AS year_text,

@@ -122,10 +122,11 @@ def run_warehouse_batch(wh: Warehouse, batch: DataFrame, run_id: int,
                         as_of: datetime | str | Column | None = None, compare: str = "typed",
                         parent_match: str = "city_postal", address_match: str = "keyed",
                         price_mode: str = "current", fact_mode: str = "rebuild", reversion: bool = False,
-                        **cleansing) -> None:
+                        gate: bool = False, **cleansing) -> None:
     """Land one batch and rebuild every downstream table (the source's trigger chain).
 
-    ``reversion`` adds the re-versioning pass over all clean sales (O-18); ``cleansing`` holds the options of
+    ``reversion`` adds the re-versioning pass over all clean sales (O-18); ``gate`` checks keys and references of the run's tables
+    before it commits (``quality.ConstraintViolation``); ``cleansing`` holds the options of
     ``quality.tag_rows`` (``blank_is_null``, ``max_lengths``, ``int_limits``).
 
     A committed run is skipped, so a replayed stream epoch or a retried job changes nothing, whatever committed
@@ -140,13 +141,13 @@ def run_warehouse_batch(wh: Warehouse, batch: DataFrame, run_id: int,
             raise ValueError("the month layout keeps a keyed fact and never repeats rows")
         if wh._ledger and run_id < wh._ledger[-1]:
             raise ValueError(f"run {run_id} is older than the committed run {wh._ledger[-1]}")
-        _run(wh, batch, run_id, as_of, compare, parent_match, address_match, price_mode, fact_mode, reversion, cleansing)
+        _run(wh, batch, run_id, as_of, compare, parent_match, address_match, price_mode, fact_mode, reversion, gate, cleansing)
     finally:
         wh._ledger = None
 
 
 def _run(wh: Warehouse, batch: DataFrame, run_id: int, as_of, compare: str, parent_match: str,
-         address_match: str, price_mode: str, fact_mode: str, reversion: bool, cleansing: dict) -> None:
+         address_match: str, price_mode: str, fact_mode: str, reversion: bool, gate: bool, cleansing: dict) -> None:
     done = [r for r in wh._ledger if r < run_id]
     prev = done[-1] if done else None
     wh.write(batch.select(*S.LANDING_SCHEMA.fieldNames()), "landing", run_id)
@@ -204,7 +205,7 @@ def _run(wh: Warehouse, batch: DataFrame, run_id: int, as_of, compare: str, pare
             wh.read("product", [prev]) if prev is not None else None,
             (wh.read("product", [run_id]), wh.read("time_dim", [run_id]), wh.read("location", [run_id]), sk), price_mode)
         incremental.refresh_cube(wh.months["cube"], wh.months["fact"], run_id, prev, touched)
-        wh.commit(run_id)
+        _publish(wh, run_id, gate)
         for t in wh.months.values():  # as many versions as the slots keep: this run's and the one before
             t.expire([r for r in (prev, run_id) if r is not None], done[-2:-1])
         return
@@ -214,6 +215,21 @@ def _run(wh: Warehouse, batch: DataFrame, run_id: int, as_of, compare: str, pare
         f = fact.append_fact(wh.read("fact", [prev]), f, "append")
     wh.write(f, "fact", run_id)
     wh.write(cube.sales_cube(wh.read("fact", [run_id])), "cube", run_id)
+    _publish(wh, run_id, gate)
+
+
+def _publish(wh: Warehouse, run_id: int, gate: bool) -> None:
+    """Commit the run; with ``gate`` only if its staged tables hold every key and reference.
+
+    Violations are written to ``<root>/violations/run_id=<n>`` (a row a check) and raised; what was committed before stays the newest state.
+    """
+    if gate:
+        bad = quality.violated(quality.star_checks(*(wh.read(t, [run_id]) for t in ("time_dim", "location", "product", "fact"))))
+        path = os.path.join(wh.root, "violations", f"{RUN}={run_id}")
+        bad.write.mode("overwrite").parquet(path)
+        found = [(r["check"], r["violations"]) for r in wh.spark.read.schema(bad.schema).parquet(path).collect()]  # one row a check
+        if found:
+            raise quality.ConstraintViolation(run_id, sorted(found))
     wh.commit(run_id)
 
 

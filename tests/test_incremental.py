@@ -86,3 +86,44 @@ def test_month_layout_refuses_what_it_cannot_keep(spark):
         run_warehouse_batch(wh, arrivals(spark)[0], 0, address_match="substring")
     with pytest.raises(ValueError):
         Warehouse(spark, wh.root, layout="years")
+
+
+@pytest.mark.parametrize("layout", ["slots", "months"])
+def test_a_bad_run_is_not_published(spark, monkeypatch, layout):
+    from starloom.operators import quality
+    from starloom.plans import warehouse
+    wh = Warehouse(spark, tempfile.mkdtemp(prefix="starloom-gate-"), layout=layout)
+    first, second, *_ = arrivals(spark)
+    run_warehouse_batch(wh, first, 0, "2024-06-01 00:00:00", gate=True)
+    before = rows(wh.read("fact", [0]))
+    good = warehouse.product.populate_product
+
+    def doubled(*args, **options):
+        dim, mapped = good(*args, **options)
+        return dim.unionByName(dim.filter("product = 'LAMP'")), mapped
+    monkeypatch.setattr(warehouse.product, "populate_product", doubled)
+    with pytest.raises(quality.ConstraintViolation) as e:
+        run_warehouse_batch(wh, second, 1, "2024-06-01 00:00:00", gate=True)
+    assert e.value.violations == [("product_key_unique", 1)]
+    assert [tuple(r)[:2] for r in spark.read.parquet(os.path.join(wh.root, "violations", "run_id=1")).collect()] == e.value.violations
+    assert wh.committed() == [0] and rows(wh.read("fact", [0])) == before
+    monkeypatch.undo()
+    run_warehouse_batch(wh, second, 1, "2024-06-01 00:00:00", gate=True)  # the same run, mended
+    assert wh.committed() == [0, 1] and len(rows(wh.read("fact", [1]))) == len(before) + 1
+
+
+def test_dedup_reads_the_months_of_the_batch(spark):
+    from starloom import schemas as S
+    from starloom.operators import quality
+    from starloom.plans.months import MONTH, month_of
+    path = os.path.join(tempfile.mkdtemp(prefix="starloom-dedup-"), "clean")
+    first, *_ = arrivals(spark)
+    stored = quality.clean_of(quality.tag_rows(first, "2024-06-01 00:00:00"))
+    stored.withColumn(MONTH, month_of("order_date")).write.partitionBy(MONTH).parquet(path)
+    again = first.filter("order_id in ('1', '2')").unionByName(arrivals(spark)[2])  # March and January
+    history = spark.read.schema(S.CLEAN_SCHEMA.simpleString()[7:-1].replace(":", " ") + f", {MONTH} string").parquet(path)
+    got = quality.anti_dedup_by_month(again, history)
+    assert sorted(r.order_id for r in got.collect()) == ["6", "7"]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert f"{MONTH}" in plan and "PartitionFilters: [" in plan and "2019-03" in plan and "2019-04" in plan
+    assert quality.batch_months(again) == ["2019-01", "2019-03", "2019-04"]
