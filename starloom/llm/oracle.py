@@ -51,9 +51,9 @@ g AS (SELECT count(*)::DOUBLE AS n, avg(len(w)) AS mean FROM d),
 t AS (SELECT r, doc_id, any_value(len) AS len, term, count(*) AS tf FROM (SELECT r, doc_id, len(w) AS len, unnest(w) AS term FROM d) GROUP BY r, doc_id, term),
 f AS (SELECT term, ln(1 + (any_value(g.n) - count(*) + 0.5) / (count(*) + 0.5)) AS idf FROM t, g GROUP BY term),
 x AS (SELECT t.r, t.doc_id, t.term, t.tf * 2.2::DOUBLE / (t.tf + 1.2::DOUBLE * (0.25 + 0.75 * t.len / g.mean)) AS weight FROM t, g),
-s AS (SELECT q.doc_id AS query_id, x.r, x.doc_id, round(sum(q.tf * f.idf * x.weight), 9) AS score
-  FROM t q JOIN f USING (term) JOIN x USING (term) WHERE q.doc_id % 100 = 0 GROUP BY q.doc_id, x.r, x.doc_id),
-o AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id NULLS LAST) AS rank, doc_id, score FROM s WHERE score > 0)
+s AS (SELECT q.r AS qr, q.doc_id AS query_id, x.r, x.doc_id, round(sum(q.tf * f.idf * x.weight), 9) AS score
+  FROM t q JOIN f USING (term) JOIN x USING (term) WHERE q.doc_id % 100 = 0 GROUP BY q.r, q.doc_id, x.r, x.doc_id),
+o AS (SELECT query_id, row_number() OVER (PARTITION BY qr ORDER BY score DESC, doc_id NULLS LAST) AS rank, doc_id, score FROM s WHERE score > 0)
 SELECT query_id, rank::INT AS rank, doc_id, score FROM o WHERE rank <= 10
 """
 

@@ -1,23 +1,30 @@
 """Exact top-k search: BM25 over per-shard inverted indexes with block-max WAND pruning.
 
 A shard is a batch of documents. It holds an inverted index (per term its postings by document, cut into
-blocks of ``BLOCK`` documents) and for every term and block the largest term weight there. A query first
-adds up these block maxima: no document of a block can score more. Blocks are then visited in falling order of that bound, as WAND moves its pivot:
-documents of a block are scored from the postings of its terms, the k-th best score so far is the threshold, and the first block whose bound is
-under it ends the query, as do all after it. So the shard's top k is exact.
+aligned blocks of ``BLOCK`` documents) and for every term and block the largest term weight there. A query goes through a
+shard in document order. No document of a block can score more than the sum of the block maxima of the query's terms, so the next
+pivot is the next block whose sum reaches the threshold; postings of the blocks before it are never read. Pivots are taken in waves of
+growing width, a wave at a time in numpy; after each wave the threshold is the k-th best score so far, so the next wave's pivots are fewer.
 
 Document counts, mean length and document frequencies are global, from a pass over all rows, so scores of all shards compare and
-the best k over shards are the best k of all. Queries come in blocks of ``QUERY_BYTES``, each measured before it is broadcast; shards see
-one block after the other and no pair of query and document is ever a row, only each shard's k best.
+the best k over shards are the best k of all. Thresholds are global too: queries first run over nested hash samples of the
+documents, each ``SEED`` times the one before, the first about a shard in size. The k-th best of a sample (score and id) bounds the k-th best of all from below, so
+the last round, over all documents, starts from it, and a task gives only the rows, k at most, that reach it: about ``SEED`` times k
+rows a query and round, however many shards there are. A sample only sets thresholds; results are exact.
+
+Queries come in blocks of ``QUERY_BYTES``, each measured before it is collected and broadcast, one at a time; a block's results are written before the next
+is read. Every block indexes all documents again. No pair of query and document is ever a row.
 
 Words are those of ``decontaminate``. A query counts every occurrence of its words. Equal scores (rounded to 9 places) go
 by smaller document id. Defined results: NULL and empty texts match nothing and find nothing; a NULL id is kept and comes last of equal scores;
-repeated rows are found as often as they are there.
+repeated rows are found as often as they are there; query rows are answered one by one, rows of one id too; very long texts are read whole, a
+document over ``SHARD_BYTES`` is a shard of its own; without documents or queries the result is empty. Other columns are not read.
 """
 
 from __future__ import annotations
 
 from collections import Counter
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +38,11 @@ from starloom.session import cut_lineage
 
 K1, B = 1.2, 0.75
 BLOCK = 64
+WAVE = 8
+SEED = 16
 SHARD_BYTES = 16 << 20
 QUERY_BYTES = 16 << 20
+FOUND = "number long, query_id long, doc_id long, score double"
 
 
 class Shard:
@@ -67,37 +77,92 @@ class Shard:
         which = np.repeat(np.arange(len(n)), n)
         return np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + begin[which], which
 
-    def top(self, query: list[tuple[bytes, float]], k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Documents (their places in the shard) and scores of at least the k best, ties of the last included."""
-        known = [(self.terms[w], x) for w, x in query if w in self.terms]
-        if not known:
-            return np.empty(0, np.int64), np.empty(0)
-        term = np.array([t for t, _ in known])
-        factor = np.array([x for _, x in known])
+    def codes(self, vocabulary: list[bytes]) -> np.ndarray:
+        """The shard's number of each term, -1 for terms it has not."""
+        return np.array([self.terms.get(w, -1) for w in vocabulary], np.int64)
+
+    def top(self, term: np.ndarray, factor: np.ndarray, k: int, floor: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+        """Documents (their places in the shard) and scores: all of the k best that reach ``floor``, ties of the last included."""
+        factor, term = factor[term >= 0], term[term >= 0]
+        best_doc, best = np.empty(0, np.int64), np.empty(0)
         entry, which = self._spread(self.first[term], self.first[term + 1])
         block, factor = self.block[entry], factor[which]
         bound = np.bincount(block, factor * self.most[entry], self.blocks)
-        by_block = np.argsort(block, kind="stable")
-        edges = np.searchsorted(block[by_block], np.arange(self.blocks + 1))
-        best_doc, best = np.empty(0, np.int64), np.empty(0)
-        floor = 0.0
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or bound[b] < floor - 1e-9:
+        at, width = 0, WAVE
+        while at < self.blocks:
+            pivots = at + np.flatnonzero((bound[at:] > 0) & (bound[at:] >= floor - 1e-9))[:width]
+            if not len(pivots):
                 break
-            at = by_block[edges[b]:edges[b + 1]]
-            posting, of = self._spread(self.entry[entry[at]], self.entry[entry[at] + 1])
-            score = np.bincount(self.doc[posting] - b * BLOCK, self.weight[posting] * factor[at][of], BLOCK)
-            score = np.round(score, 9)
-            good = np.flatnonzero((score > 0) & (score >= floor))
-            if len(good):
-                best_doc, best = np.concatenate([best_doc, good + b * BLOCK]), np.concatenate([best, score[good]])
-                if len(best) > k:
-                    floor = np.partition(best, len(best) - k)[len(best) - k]
-                    keep = best >= floor
-                    best_doc, best = best_doc[keep], best[keep]
+            chosen = np.zeros(self.blocks, bool)
+            chosen[pivots] = True
+            inside = np.flatnonzero(chosen[block])
+            posting, of = self._spread(self.entry[entry[inside]], self.entry[entry[inside] + 1])
+            score = np.bincount(self.doc[posting], self.weight[posting] * factor[inside][of], self.size)
+            good = np.flatnonzero((score > 0) & (score >= floor - 1e-9))
+            score = np.round(score[good], 9)
+            keep = (score > 0) & (score >= floor)
+            best_doc, best = np.concatenate([best_doc, good[keep]]), np.concatenate([best, score[keep]])
+            if len(best) > k:
+                floor = max(floor, np.partition(best, len(best) - k)[len(best) - k])
+                best_doc, best = best_doc[best >= floor], best[best >= floor]
+            at, width = pivots[-1] + 1, width * 2
         return best_doc, best
 
 
+@dataclass
+class Queries:
+    """One measured block of queries: terms as places in the block's vocabulary, and the least row that can be of a query's k best."""
+
+    vocabulary: list[bytes]
+    number: np.ndarray
+    ids: list[int | None]
+    edges: np.ndarray
+    term: np.ndarray
+    weight: np.ndarray
+    floor: np.ndarray  # score; 0 while unknown
+    floor_id: list[tuple[bool, int]]  # is NULL, id
+
+    @classmethod
+    def of(cls, rows: pa.Table) -> Queries:
+        rows = rows.sort_by([("number", "ascending"), ("term", "ascending")]).combine_chunks()
+        coded = pa.array(rows["term"].to_pylist(), pa.binary()).dictionary_encode()
+        number, first = np.unique(rows["number"].to_numpy(), return_index=True)
+        ids = rows["query_id"].take(pa.array(first, pa.int64())).to_pylist()
+        return cls(coded.dictionary.to_pylist(), number, ids, np.append(first, rows.num_rows).astype(np.int64),
+                   coded.indices.to_numpy().astype(np.int64), rows["weight"].to_numpy(), np.zeros(len(number)), [(False, 0)] * len(number))
+
+    def run(self, batches, mean: float, k: int, shard_bytes: int):
+        """The k best rows of all documents in ``batches`` for each query, without those under its threshold."""
+        n = len(self.number)
+        floor = self.floor.copy()
+        kept: list[list[tuple[float, bool, int]]] = [[] for _ in range(n)]  # (-score, id is NULL, id), in order
+        rows = (x for b in batches for x in zip(b.column(0).to_pylist(), utf8(b.column(1))))
+        for piece in chunks(rows, lambda x: len(x[1] or b"") + 64, shard_bytes):
+            null = np.array([i is None for i, _ in piece])
+            ids = np.array([i or 0 for i, _ in piece], np.int64)
+            shard = Shard([t for _, t in piece], mean)
+            codes = shard.codes(self.vocabulary)
+            for q in range(n):
+                part = slice(self.edges[q], self.edges[q + 1])
+                at, score = shard.top(codes[self.term[part]], self.weight[part], k, floor[q])
+                if len(at):
+                    first = np.lexsort((ids[at], null[at], -score))[:k]
+                    new = zip((-score[first]).tolist(), null[at[first]].tolist(), ids[at[first]].tolist())
+                    kept[q] = sorted([*kept[q], *new])[:k]
+                    if len(kept[q]) == k:
+                        floor[q] = max(floor[q], -kept[q][-1][0])
+        for from_ in range(0, n, 1000):
+            out: list[list] = [[], [], [], []]
+            for q in range(from_, min(n, from_ + 1000)):
+                least = (-self.floor[q], *self.floor_id[q])
+                for row in kept[q]:
+                    if self.floor[q] == 0 or row <= least:
+                        for column, x in zip(out, (int(self.number[q]), self.ids[q], None if row[1] else row[2], -row[0])):
+                            column.append(x)
+            yield pa.record_batch([*(pa.array(x, pa.int64()) for x in out[:3]), pa.array(out[3], pa.float64())],
+                                  ["number", "query_id", "doc_id", "score"])
+
+
 def _statistics(docs: DataFrame) -> tuple[int, float, DataFrame]:
     """Documents, mean length and the document frequency of every term, over all rows."""
     def count(batches):
@@ -118,51 +183,52 @@ def _statistics(docs: DataFrame) -> tuple[int, float, DataFrame]:
 
 
 def _query_terms(queries: DataFrame, frequencies: DataFrame, n: int) -> DataFrame:
-    """query, and its terms with their count times idf."""
+    """A row for each term of each query row (number): its count times its idf."""
     def cut(batches):
         for b in batches:
-            rows = [(q, t, c) for q, data in zip(b.column(0).to_pylist(), utf8(b.column(1))) for t, c in Counter(words(data)).items()]
-            cols = list(zip(*rows)) if rows else [[], [], []]
-            yield pa.record_batch([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.int64())],
-                                  ["query", "term", "n"])
+            rows = [(k, q, t, c) for k, q, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), utf8(b.column(2)))
+                    for t, c in Counter(words(data)).items()]
+            cols = list(zip(*rows)) if rows else [[], [], [], []]
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary(), pa.int64()))],
+                                  ["number", "query_id", "term", "n"])
     idf = F.log(1 + (F.lit(float(n)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    return (queries.mapInArrow(cut, "query long, term binary, n long").join(frequencies, "term")
-            .groupBy("query").agg(F.collect_list(F.struct("term", (F.col("n") * idf).alias("weight"))).alias("terms")))
+    numbered = queries.select(F.monotonically_increasing_id(), *queries.columns[:2])
+    return (numbered.mapInArrow(cut, "number long, query_id long, term binary, n long").join(frequencies, "term")
+            .select("number", "query_id", "term", (F.col("n") * idf).alias("weight")))
 
 
 def search(docs: DataFrame, queries: DataFrame, k: int = 10, query_bytes: int = QUERY_BYTES,
            shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """query_id, rank, doc_id, score: the k best of ``docs`` (id, text) for each of ``queries`` (id, text, ids distinct)."""
+    """query_id, rank, doc_id, score: the k best of ``docs`` (id, text) for each row of ``queries`` (id, text)."""
     spark = docs.sparkSession
     n, mean, frequencies = _statistics(docs)
     asked = cut_lineage(_query_terms(queries, frequencies, n), "search-queries")
-    size = asked.agg(F.sum(F.size("terms") * 24)).first()[0] or 0
-    parts = max(1, -(-size // query_bytes))
-    found = None
+    parts = max(1, -(-asked.count() * 24 // query_bytes))
+    shards = n * mean * 6 / shard_bytes  # at about six bytes a word
+    rounds = 0
+    while shards > SEED ** rounds:
+        rounds += 1
+    order = W.partitionBy("number").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last())
+    answers = []
     for p in range(parts):
-        held = [(r["query"], sorted((bytes(t.term), t.weight) for t in r.terms))
-                for r in asked.filter(F.pmod(F.xxhash64("query"), F.lit(parts)) == p).collect()]  # one measured block
-        given = spark.sparkContext.broadcast(held)
-
-        def run(batches, given=given):
-            rows = (x for b in batches for x in zip(b.column(0).to_pylist(), utf8(b.column(1))))
-            for piece in chunks(rows, lambda x: len(x[1] or b"") + 64, shard_bytes):
-                ids = [i for i, _ in piece]
-                shard = Shard([t for _, t in piece], mean)
-                out: list[list] = [[], [], []]
-                for q, terms in given.value:
-                    at, score = shard.top(terms, k)
-                    order = sorted(range(len(at)), key=lambda i: (-score[i], ids[at[i]] is None, ids[at[i]] or 0))[:k]
-                    out[0] += [q] * len(order)
-                    out[1] += [ids[at[i]] for i in order]
-                    out[2] += [float(score[i]) for i in order]
-                yield pa.record_batch([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())],
-                                      ["query_id", "doc_id", "score"])
-        part = docs.mapInArrow(run, "query_id long, doc_id long, score double")
-        found = part if found is None else found.unionByName(part)
-    order = W.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last())
-    return (found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-            .select("query_id", "rank", "doc_id", "score"))
+        block = Queries.of(asked.filter(F.pmod(F.xxhash64("number"), F.lit(parts)) == p).toArrow())  # one measured block
+        for r in range(rounds, -1, -1):
+            part = docs if r == 0 else (docs.filter(F.pmod(F.xxhash64(*docs.columns[:2]), F.lit(SEED ** r)) == 0)
+                                        .repartition(int(shards / SEED ** r) + 1))
+            given = spark.sparkContext.broadcast(block)
+            found = part.mapInArrow(lambda batches, given=given: given.value.run(batches, mean, k, shard_bytes), FOUND)
+            found = cut_lineage(found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k), "search-found")
+            given.unpersist()
+            if r:  # a row a query of the block
+                place = {number: q for q, number in enumerate(block.number.tolist())}
+                for row in found.filter(F.col("rank") == k).collect():
+                    q = place[row["number"]]
+                    block.floor[q], block.floor_id[q] = row["score"], (row["doc_id"] is None, row["doc_id"] or 0)
+        answers.append(found)
+    found = answers[0]
+    for more in answers[1:]:
+        found = found.unionByName(more)
+    return found.select("query_id", "rank", "doc_id", "score")
 
 
 def op5_search(spark, sf_dir):
