@@ -3,8 +3,8 @@
 A shard is a batch of documents. It holds an inverted index (per term its postings by document, cut into
 aligned blocks of ``BLOCK`` documents) and for every term and block the largest term weight there. A query goes through a
 shard in document order. No document of a block can score more than the sum of the block maxima of the query's terms, so the next
-pivot is the next block whose sum reaches the threshold; postings of the blocks before it are never read. Pivots are taken in waves of
-growing width, a wave at a time in numpy; after each wave the threshold is the k-th best score so far, so the next wave's pivots are fewer.
+pivot is the next block whose sum reaches the threshold, and the cursors of all terms move there; postings before it are not read (over a gap of at
+most ``GAP`` blocks the cursors read on; the weights of a term that more than one document in ``DENSE`` has lie in a row over all documents). Pivots are taken in waves of growing width, a wave at a time in numpy; after each wave the threshold is the k-th best score so far, so the next wave's pivots are fewer.
 
 Document counts, mean length and document frequencies are global, from a pass over all rows, so scores of all shards compare and
 the best k over shards are the best k of all. Thresholds are global too: queries first run over nested hash samples of the
@@ -38,10 +38,12 @@ from starloom.session import cut_lineage
 
 K1, B = 1.2, 0.75
 BLOCK = 64
-WAVE = 8
+WAVE = 16
+GAP = 2
+DENSE = 8
 SEED = 16
 SHARD_BYTES = 16 << 20
-QUERY_BYTES = 16 << 20
+QUERY_BYTES = 32 << 20
 FOUND = "number long, query_id long, doc_id long, score double"
 
 
@@ -69,13 +71,23 @@ class Shard:
         self.most = np.maximum.reduceat(self.weight, head) if len(term) else np.empty(0)
         self.first = np.searchsorted(term[head], np.arange(len(self.terms) + 1))  # entries of each term
         self.blocks, self.size = -(-len(texts) // BLOCK), len(texts)
+        df = np.diff(self.entry[self.first])
+        frequent = np.flatnonzero(df * DENSE > self.size)
+        self.row = np.full(len(df), -1)  # terms of more documents than one in DENSE have their weights in a row over all documents
+        self.row[frequent] = np.arange(len(frequent))
+        self.rows, self.rows_most = np.zeros((len(frequent), self.size)), np.zeros((len(frequent), self.blocks))
+        for r, t in enumerate(frequent):
+            held, at = slice(self.first[t], self.first[t + 1]), slice(self.entry[self.first[t]], self.entry[self.first[t + 1]])
+            self.rows[r, self.doc[at]] = self.weight[at]
+            self.rows_most[r, self.block[held]] = self.most[held]
 
     @staticmethod
-    def _spread(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """All indexes of the ranges, and the range each is of."""
+    def _slices(begin: np.ndarray, end: np.ndarray, *columns: np.ndarray) -> list[np.ndarray]:
+        """The ranges of each column one after the other, and the range each place is of."""
         n = end - begin
         which = np.repeat(np.arange(len(n)), n)
-        return np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + begin[which], which
+        at = np.arange(len(which)) + (begin - np.cumsum(n) + n)[which]
+        return [*(c[at] for c in columns), which]
 
     def codes(self, vocabulary: list[bytes]) -> np.ndarray:
         """The shard's number of each term, -1 for terms it has not."""
@@ -85,27 +97,33 @@ class Shard:
         """Documents (their places in the shard) and scores: all of the k best that reach ``floor``, ties of the last included."""
         factor, term = factor[term >= 0], term[term >= 0]
         best_doc, best = np.empty(0, np.int64), np.empty(0)
-        entry, which = self._spread(self.first[term], self.first[term + 1])
-        block, factor = self.block[entry], factor[which]
-        bound = np.bincount(block, factor * self.most[entry], self.blocks)
+        frequent = self.row[term] >= 0
+        row, heavy = self.row[term[frequent]], factor[frequent]
+        term, factor = term[~frequent], factor[~frequent]
+        block, most, which = self._slices(self.first[term], self.first[term + 1], self.block, self.most)
+        bound = np.bincount(block, factor[which] * most, self.blocks) + heavy @ self.rows_most[row]
+        place, line = which * self.blocks + block, np.arange(len(term)) * self.blocks  # a term's entries are in order of their block
+        entry = self.first[term] - np.searchsorted(place, line)
         at, width = 0, WAVE
         while at < self.blocks:
             pivots = at + np.flatnonzero((bound[at:] > 0) & (bound[at:] >= floor - 1e-9))[:width]
             if not len(pivots):
                 break
-            chosen = np.zeros(self.blocks, bool)
-            chosen[pivots] = True
-            inside = np.flatnonzero(chosen[block])
-            posting, of = self._spread(self.entry[entry[inside]], self.entry[entry[inside] + 1])
-            score = np.bincount(self.doc[posting], self.weight[posting] * factor[inside][of], self.size)
-            good = np.flatnonzero((score > 0) & (score >= floor - 1e-9))
-            score = np.round(score[good], 9)
-            keep = (score > 0) & (score >= floor)
-            best_doc, best = np.concatenate([best_doc, good[keep]]), np.concatenate([best, score[keep]])
+            gap = np.flatnonzero(np.diff(pivots) > GAP)
+            for from_, to in zip(pivots[np.append(0, gap + 1)], pivots[np.append(gap, len(pivots) - 1)] + 1):
+                cursor, stop = (self.entry[entry + np.searchsorted(place, line + x)] for x in (from_, to))
+                doc, weight, which = self._slices(cursor, stop, self.doc, self.weight)
+                score = np.bincount(doc, factor[which] * weight, self.size).astype(float, copy=False)
+                inside = slice(from_ * BLOCK, to * BLOCK)
+                score[inside] += heavy @ self.rows[row, inside]
+                good = np.flatnonzero((score > 0) & (score >= floor - 1e-9))
+                score = np.round(score[good], 9)
+                keep = (score > 0) & (score >= floor)
+                best_doc, best = np.concatenate([best_doc, good[keep]]), np.concatenate([best, score[keep]])
             if len(best) > k:
                 floor = max(floor, np.partition(best, len(best) - k)[len(best) - k])
                 best_doc, best = best_doc[best >= floor], best[best >= floor]
-            at, width = pivots[-1] + 1, width * 2
+            at, width = pivots[-1] + 1, width * 4
         return best_doc, best
 
 
@@ -125,11 +143,11 @@ class Queries:
     @classmethod
     def of(cls, rows: pa.Table) -> Queries:
         rows = rows.sort_by([("number", "ascending"), ("term", "ascending")]).combine_chunks()
-        coded = pa.array(rows["term"].to_pylist(), pa.binary()).dictionary_encode()
+        coded = pa.concat_arrays([pa.array([], rows["term"].type), *rows["term"].chunks]).dictionary_encode()
         number, first = np.unique(rows["number"].to_numpy(), return_index=True)
         ids = rows["query_id"].take(pa.array(first, pa.int64())).to_pylist()
         return cls(coded.dictionary.to_pylist(), number, ids, np.append(first, rows.num_rows).astype(np.int64),
-                   coded.indices.to_numpy().astype(np.int64), rows["weight"].to_numpy(), np.zeros(len(number)), [(False, 0)] * len(number))
+                   coded.indices.to_numpy().astype(np.int32), rows["weight"].to_numpy(), np.zeros(len(number)), [(False, 0)] * len(number))
 
     def run(self, batches, mean: float, k: int, shard_bytes: int):
         """The k best rows of all documents in ``batches`` for each query, without those under its threshold."""
@@ -203,7 +221,7 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, query_bytes: int =
     spark = docs.sparkSession
     n, mean, frequencies = _statistics(docs)
     asked = cut_lineage(_query_terms(queries, frequencies, n), "search-queries")
-    parts = max(1, -(-asked.count() * 24 // query_bytes))
+    parts = max(1, -(-asked.count() * 12 // query_bytes))
     shards = n * mean * 6 / shard_bytes  # at about six bytes a word
     rounds = 0
     while shards > SEED ** rounds:
