@@ -1,7 +1,7 @@
 """Exact top-k search: BM25 over per-shard inverted indexes with block-max WAND pruning.
 
 A shard is a batch of documents. It holds an inverted index (per term its postings by document, cut into
-aligned blocks of ``BLOCK`` documents) and for every term and block the largest term weight there. A query goes through a
+aligned blocks of ``BLOCK`` documents, which are placed so that those with the same common terms stand together) and for every term and block the largest term weight there. A query goes through a
 shard in document order. No document of a block can score more than the sum of the block maxima of the query's terms, so the next
 pivot is the next block whose sum reaches the threshold, and the cursors of all terms move there; postings before it are not read (over a gap of at
 most ``GAP`` blocks the cursors read on; the weights of a term that more than one document in ``DENSE`` has lie in a row over all documents). Pivots are taken in waves of growing width, a wave at a time in numpy; after each wave the threshold is the k-th best score so far, so the next wave's pivots are fewer.
@@ -41,6 +41,7 @@ BLOCK = 64
 WAVE = 16
 GAP = 2
 DENSE = 8
+KINDS = 32
 SEED = 16
 SHARD_BYTES = 16 << 20
 QUERY_BYTES = 32 << 20
@@ -61,6 +62,10 @@ class Shard:
             tf.extend(counts.values())
             doc.extend([d] * len(counts))
         term, doc, tf = (np.array(x, np.int64) for x in (term, doc, tf))
+        self.order = self._alike(term, doc, len(texts))  # the row at each place
+        place = np.empty(len(texts), np.int64)
+        place[self.order] = np.arange(len(texts))
+        doc, length = place[doc], length[self.order]
         weight = tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[doc] / max(mean, 1e-9)))
         order = np.lexsort((doc, term))
         self.doc, self.weight, term = doc[order], weight[order], term[order]
@@ -81,6 +86,16 @@ class Shard:
             self.rows[r, self.doc[at]] = self.weight[at]
             self.rows_most[r, self.block[held]] = self.most[held]
 
+    @staticmethod
+    def _alike(term: np.ndarray, doc: np.ndarray, size: int) -> np.ndarray:
+        """Rows ordered by which of the shard's commonest terms they hold, so that a block's documents are of one kind (a language, say)."""
+        df = np.bincount(term)
+        kind = np.zeros(size, np.int64)
+        for t in np.argsort(-df, kind="stable")[:KINDS]:
+            kind *= 2
+            kind[doc[term == t]] += 1
+        return np.argsort(-kind, kind="stable")
+
     @staticmethod
     def _slices(begin: np.ndarray, end: np.ndarray, *columns: np.ndarray) -> list[np.ndarray]:
         """The ranges of each column one after the other, and the range each place is of."""
@@ -94,7 +109,7 @@ class Shard:
         return np.array([self.terms.get(w, -1) for w in vocabulary], np.int64)
 
     def top(self, term: np.ndarray, factor: np.ndarray, k: int, floor: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
-        """Documents (their places in the shard) and scores: all of the k best that reach ``floor``, ties of the last included."""
+        """Documents (their places, see ``order``) and scores: all of the k best that reach ``floor``, ties of the last included."""
         factor, term = factor[term >= 0], term[term >= 0]
         best_doc, best = np.empty(0, np.int64), np.empty(0)
         frequent = self.row[term] >= 0
@@ -104,7 +119,7 @@ class Shard:
         bound = np.bincount(block, factor[which] * most, self.blocks) + heavy @ self.rows_most[row]
         place, line = which * self.blocks + block, np.arange(len(term)) * self.blocks  # a term's entries are in order of their block
         entry = self.first[term] - np.searchsorted(place, line)
-        at, width = 0, WAVE
+        at, width = 0, 4 * WAVE if floor else WAVE
         while at < self.blocks:
             pivots = at + np.flatnonzero((bound[at:] > 0) & (bound[at:] >= floor - 1e-9))[:width]
             if not len(pivots):
@@ -159,11 +174,12 @@ class Queries:
             null = np.array([i is None for i, _ in piece])
             ids = np.array([i or 0 for i, _ in piece], np.int64)
             shard = Shard([t for _, t in piece], mean)
-            codes = shard.codes(self.vocabulary)
+            terms = shard.codes(self.vocabulary)[self.term]
             for q in range(n):
                 part = slice(self.edges[q], self.edges[q + 1])
-                at, score = shard.top(codes[self.term[part]], self.weight[part], k, floor[q])
+                at, score = shard.top(terms[part], self.weight[part], k, floor[q])
                 if len(at):
+                    at = shard.order[at]
                     first = np.lexsort((ids[at], null[at], -score))[:k]
                     new = zip((-score[first]).tolist(), null[at[first]].tolist(), ids[at[first]].tolist())
                     kept[q] = sorted([*kept[q], *new])[:k]
