@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from starloom import schemas as S
 from starloom.functions.text import counter
 from starloom.operators.calendar import build_time_dimension, update_time_dimension
-from starloom.operators.keys import _tag, sequence_ids
+from starloom.operators.keys import range_tagged, sequence_ids
 from starloom.operators.location import build_location_hierarchy
 from starloom.operators.quality import assert_keys, validate_split
 from starloom.plans.warehouse import Warehouse, run_warehouse_batch, warehouse_totals
@@ -97,7 +97,7 @@ def test_equal_rows_spread_over_the_numbering(spark):
     df = spark.range(40_000).select(F.when(F.col("id") % 5 < 4, F.lit("header")).otherwise(F.col("id").cast("string")).alias("v"))
     ids = sequence_ids(df, ["v"], "n", partitions=8)
     assert ids.agg(F.min("n"), F.max("n"), F.countDistinct("n")).first()[:] == (1, 40_000, 40_000)
-    tagged = _tag(df.withColumn("_seq_tie", F.monotonically_increasing_id()), [F.col("v"), F.col("_seq_tie")], 8)
+    tagged = range_tagged(df.withColumn("_seq_tie", F.monotonically_increasing_id()), [F.col("v"), F.col("_seq_tie")], 8)
     assert tagged.groupBy("_seq_pid").count().agg(F.max("count")).first()[0] < 2 * 40_000 / 8
 
 
