@@ -16,18 +16,20 @@ def parse_order_ts(c: Column | str) -> Column:
     year; two-digit years below ``YEAR_PIVOT`` are 20xx, the others 19xx.
     Anything else (impossible dates, trailing text) gives NULL.
 
-    The shape is checked once with a regex; the value comes from Spark's
-    datetime formatter, with the pattern picked by the year's width (so no
-    row pays for a failed parse). Two-digit years parse into 2000-2099 and
-    are moved back a century from the pivot on; 19yy and 20yy share leap
-    years for yy >= 70, so the shift never lands on an invalid day.
+    The shape is checked once with a regex, so the fields between the
+    separators are numbers; the value is made of them, without a datetime
+    formatter run per row.
     """
     s = col_(c)
-    year_text = F.substring_index(F.substring_index(s, " ", 1), "/", -1)
-    four = F.try_to_timestamp(s, F.lit("M/d/yyyy H:mm"))
-    two = F.try_to_timestamp(s, F.lit("M/d/yy H:mm"))
-    two = F.when(F.year(two) >= 2000 + YEAR_PIVOT, two - F.expr("INTERVAL 100 YEARS")).otherwise(two)
-    return F.when(s.rlike(ORDER_TS_RE), F.when(F.length(year_text) == 4, four).otherwise(two))
+    day, time = F.substring_index(s, " ", 1), F.substring_index(s, " ", -1)
+    year_text = F.substring_index(day, "/", -1)
+    number = lambda text: text.cast("int")
+    year = number(year_text)
+    year = F.when(F.length(year_text) == 4, year).otherwise(year + F.when(year >= YEAR_PIVOT, 1900).otherwise(2000))
+    made = F.try_make_timestamp(
+        year, number(F.substring_index(day, "/", 1)), number(F.substring_index(F.substring_index(day, "/", 2), "/", -1)),
+        number(F.substring_index(time, ":", 1)), number(F.substring_index(time, ":", -1)), F.lit(0))
+    return F.when(s.rlike(ORDER_TS_RE), made)
 
 
 def iso_week_year(d: Column) -> Column:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.schemas import CUBE_SUM_TYPE
-from starloom.session import cut_lineage
+from starloom.session import DENSE, cut_lineage
 
 KEYS = ("product_surrogate_id", "time_id", "address_id")
 CELL = ["grouping_set", "total", "n_rows"]
@@ -67,7 +67,7 @@ def cube_rows(finest: DataFrame, keys=KEYS) -> DataFrame:
         for df in made.values():
             both = df if both is None else both.unionByName(df)
         if size > 1:
-            both = cut_lineage(both, f"cube-{size}")
+            both = cut_lineage(both, f"cube-{size}", DENSE)
             # One number a grouping set reaches the driver.
             counted = {r.grouping_set: r.n for r in both.groupBy("grouping_set").agg(F.count(F.lit(1)).alias("n")).collect()}
             made = {k: both.filter(F.col("grouping_set") == set_number(k, keys)) for k in made}
@@ -86,7 +86,7 @@ def cube_view(cells: DataFrame, keys=KEYS, out: str = "total_price_sum") -> Data
 
 def sales_cube(fact: DataFrame, keys=KEYS, measure: str = "total_price",
                out: str = "total_price_sum") -> DataFrame:
-    return cube_view(cube_rows(cut_lineage(finest_cells(fact, keys, measure), "cube-finest"), keys), keys, out)
+    return cube_view(cube_rows(cut_lineage(finest_cells(fact, keys, measure), "cube-finest", DENSE), keys), keys, out)
 
 
 def cube_slice(cube: DataFrame, **fixed) -> DataFrame:

@@ -27,7 +27,7 @@ from starloom.functions.text import longest_literal_run
 from starloom.operators.calendar import main_days
 from starloom.operators.location import address_key_columns
 from starloom.operators.product import join_valid_version
-from starloom.session import cut_lineage
+from starloom.session import DENSE, cut_lineage
 
 _PCOL_NAMES = [("id", "_p_id"), ("product", "_p_product"), ("price_each", "_p_price"),
                ("start_date", "_p_start"), ("end_date", "_p_end"), ("curr_status", "_p_cur"),
@@ -84,56 +84,75 @@ def substring_matches(addresses: DataFrame, hierarchy: DataFrame, col: str = "pu
     return hit.join(nodes, "_name").select(F.col("_addr").alias(col), "address_id")
 
 
+def address_nodes(addresses: DataFrame, street_keys: DataFrame, col: str = "purchase_address") -> DataFrame:
+    """_m_addr and its street node (_a_id, _a_name, _a_parent), one row per distinct address and node: each text is parsed once.
+
+    The texts are written, or the join's conditions are moved down to every sale; so is the result, whose size
+    is then known before the sales are joined with it.
+    """
+    texts = addresses.select(F.col(col).alias("_m_addr")).filter(F.col("_m_addr").isNotNull()).distinct()
+    parsed = cut_lineage(texts, "address-texts").withColumns(address_key_columns("_m_addr"))
+    # A street node is fully described by its key row: no join with the hierarchy.
+    k = street_keys.select(
+        *[F.col(c).alias(f"_k_{c}") for c in street_keys.columns if c not in ("address_id", "parent_id")],
+        F.col("address_id").alias("_a_id"), F.col("street").alias("_a_name"), F.col("parent_id").alias("_a_parent"))
+    cond = [parsed["_street"] == k["_k_street"], parsed["_city"] == k["_k_city"],
+            parsed["_postal"] == k["_k_postal_code"]]
+    if "_k_state" in k.columns:
+        cond.append(parsed["_state"] == k["_k_state"])
+    return cut_lineage(parsed.join(k, cond).select("_m_addr", "_a_id", "_a_name", "_a_parent"), "address-nodes", DENSE)
+
+
 def build_order_fact(clean: DataFrame, product: DataFrame, time_dim: DataFrame,
                      hierarchy: DataFrame, street_keys: DataFrame | None = None,
                      address_match: str = "keyed", price_mode: str = "current") -> DataFrame:
     sales = clean.filter(F.col("order_date").isNotNull())
 
-    # -- product --------------------------------------------------------------
-    pcols = [F.col(src).alias(dst) for src, dst in _PCOL_NAMES]
-    if price_mode == "current":
-        p = product.filter("curr_status").select(*pcols)
-        sp = sales.join(p, F.upper(sales["product"]) == F.upper(p["_p_product"]))
-    elif price_mode == "as_of_sale":
-        sp = join_valid_version(sales, product, "_v_").select(
-            *sales.columns, *[F.col("_v_" + src).alias(dst) for src, dst in _PCOL_NAMES])
-    else:
-        raise ValueError(f"unknown price_mode {price_mode!r}")
-
-    # -- time: main-branch days (size bounded by the covered years) --------------
-    t = main_days(time_dim).select(
-        F.col("time_id").alias("_t_id"), F.col("day_date").alias("_t_day"),
-        F.col("time_parent").alias("_t_parent"), F.col("time_lvl").alias("_t_lvl"),
-        F.col("timebranch").alias("_t_branch"))
-    spt = sp.join(t, F.to_date(sp["order_date"]) == t["_t_day"])
-
-    # -- location ----------------------------------------------------------------
+    # -- location: first, so that sales are dealt by address before they get wider ---
     if address_match == "keyed":
         if street_keys is None:
             raise ValueError("keyed address matching needs the street keys of the hierarchy")
-        parsed = spt.withColumns(address_key_columns("purchase_address"))
-        # A street node is fully described by its key row: no join with the hierarchy.
-        k = street_keys.select(
-            *[F.col(c).alias(f"_k_{c}") for c in street_keys.columns if c not in ("address_id", "parent_id")],
-            F.col("address_id").alias("_a_id"), F.col("street").alias("_a_name"),
-            F.lit("Street").alias("_a_type"), F.col("parent_id").alias("_a_parent"), F.lit(0).alias("_a_level"))
-        cond = [parsed["_street"] == k["_k_street"], parsed["_city"] == k["_k_city"],
-                parsed["_postal"] == k["_k_postal_code"]]
-        if "_k_state" in k.columns:
-            cond.append(parsed["_state"] == k["_k_state"])
-        located = parsed.join(k, cond)
+        m = address_nodes(sales, street_keys)
+        located = sales.join(m, sales["purchase_address"] == m["_m_addr"])
+        node = [F.lit("Street").alias("_a_type"), F.lit(0).alias("_a_level")]
     elif address_match == "substring":
         nodes = hierarchy.select(F.col("address_id").alias("_a_id"), F.col("address_name").alias("_a_name"),
                                  F.col("address_type").alias("_a_type"), F.col("parent_id").alias("_a_parent"),
                                  F.col("level").alias("_a_level"))
-        # Addresses come from the sales alone: the product and calendar joins are planned once.
+        # A distinct address meets its nodes' columns before the sales do.
         m = substring_matches(sales.select("purchase_address"), hierarchy).select(
             F.col("purchase_address").alias("_m_addr"), F.col("address_id").alias("_m_id"))
-        located = (spt.join(m, spt["purchase_address"] == m["_m_addr"])
-                   .join(nodes, F.col("_m_id") == F.col("_a_id")))
+        m = cut_lineage(m.join(nodes, F.col("_m_id") == F.col("_a_id")).drop("_m_id"), "address-nodes", DENSE)
+        node = ["_a_type", "_a_level"]
     else:
         raise ValueError(f"unknown address_match {address_match!r}")
 
+    # -- product --------------------------------------------------------------
+    def with_product(df: DataFrame) -> DataFrame:
+        if price_mode == "current":
+            p = product.filter("curr_status").select(*[F.col(src).alias(dst) for src, dst in _PCOL_NAMES])
+            return df.join(p, F.upper(df["product"]) == F.upper(p["_p_product"]))
+        if price_mode == "as_of_sale":
+            return join_valid_version(df, product, "_v_").select(
+                *df.columns, *[F.col("_v_" + src).alias(dst) for src, dst in _PCOL_NAMES])
+        raise ValueError(f"unknown price_mode {price_mode!r}")
+
+    # -- time: main-branch days (size bounded by the covered years) --------------
+    t = main_days(time_dim).select(
+        F.col("time_id").alias("_t_id"), F.col("day_date").alias("_t_day"),
+        F.col("time_parent").alias("_t_parent"), F.col("time_lvl").alias("_t_lvl"),
+        F.col("timebranch").alias("_t_branch"))
+
+    def with_day(df: DataFrame) -> DataFrame:
+        return df.join(t, F.to_date(df["order_date"]) == t["_t_day"])
+
+    if address_match == "keyed":
+        located = with_day(with_product(located)).select("*", *node)
+    else:
+        # A sale has several nodes: it gets its product and day once, before them.
+        spt = with_day(with_product(sales))
+        located = spt.join(m, spt["purchase_address"] == m["_m_addr"])
+
     out = located.select(
         F.col("order_id"), F.col("quantity_ordered").alias("quantity"),
         (F.col("quantity_ordered") * F.col("_p_price")).alias("total_price"),

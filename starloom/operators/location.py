@@ -68,8 +68,10 @@ def normalise_address(df: DataFrame) -> DataFrame:
 
 
 def clean_address_process(raw: DataFrame, col: str = "purchase_address") -> DataFrame:
-    """O-13 (first half): raw landing rows -> final staging addresses."""
-    return normalise_address(filter_postal(dedup_addresses(parse_address(raw, col))))
+    """O-13 (first half): raw landing rows -> final staging addresses. Equal texts are parsed once:
+    the distinct ones are written, or the optimizer moves the filters on the parsed parts down to every row."""
+    texts = cut_lineage(raw.select(col).distinct(), "address-texts")
+    return normalise_address(filter_postal(dedup_addresses(parse_address(texts, col))))
 
 
 def _nodes(df: DataFrame, id_col, name_col, level: int, parent_col) -> DataFrame:

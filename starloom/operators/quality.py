@@ -206,8 +206,8 @@ def clean_sales(landing: DataFrame, clean_existing: DataFrame | None = None,
     batch = anti_dedup(latest_batch(landing), clean_existing, compare)
     # Both outputs read one materialised tagged batch: the rules and the
     # anti join run once per row, not once per output.
-    from starloom.session import cut_lineage
-    tagged = cut_lineage(tag_rows(batch, as_of, blank_is_null, max_lengths, int_limits), "tagged-batch")
+    from starloom.session import DENSE, cut_lineage
+    tagged = cut_lineage(tag_rows(batch, as_of, blank_is_null, max_lengths, int_limits), "tagged-batch", DENSE)
     clean = clean_of(tagged)
     errors = assign_error_ids(errors_of(tagged, executed_time), error_id_start)
     return clean, errors

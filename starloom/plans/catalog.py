@@ -17,7 +17,7 @@ from starloom import schemas as S
 from starloom.operators import calendar, cube, fact, location, product, quality
 from starloom.functions.dates import iso_week_year
 from starloom.functions.text import counter
-from starloom.session import cut_lineage
+from starloom.session import DENSE, cut_lineage
 from starloom.sources.testdata import AS_OF, dirty_landing
 
 EARLY_CUTOFF = "1998-01-01 00:00:00"
@@ -45,13 +45,17 @@ class Model:
     """The warehouse built from one landing: clean, calendar, locations, product."""
 
     def __init__(self, spark: SparkSession, sf: str, parent_match: str = "city_postal"):
-        self.tagged = tagged(spark, sf)
-        self.landing = self.tagged.select(*S.LANDING_COLUMNS, "updated_at")
+        # The raw texts other than the address are not read again: only their typed values are kept.
+        typed = quality.tag_rows(dirty_landing(spark, sf), AS_OF).drop("order_id", "product", "quantity_ordered", "price_each", "order_date", "_address")
+        self.landing = cut_lineage(typed, "tagged", DENSE)
+        self.tagged = self.landing.withColumn("_address", F.trim("purchase_address"))
         self.clean = quality.clean_of(self.tagged)
         self.time = calendar.build_time_dimension(self.clean)
         self.addresses = location.clean_address_process(self.landing)
         self.hierarchy, self.street_keys = location.build_location_hierarchy(self.addresses, parent_match)
-        self.product, self.orders_updated = product.populate_product(self.clean)
+        dim, _ = product.populate_product(self.clean)
+        # Written: the planner knows its size before the sales are dealt for the join.
+        self.product = cut_lineage(dim, "product")
 
     def fact(self, address_match: str = "keyed", price_mode: str = "current") -> DataFrame:
         return fact.build_order_fact(self.clean, self.product, self.time, self.hierarchy,

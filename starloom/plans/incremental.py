@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from starloom.operators import cube, fact
 from starloom.plans.months import MONTH, MonthTable, month_of
-from starloom.session import cut_lineage
+from starloom.session import DENSE, cut_lineage
 
 WHOLE = "all"  # the cube's partition of grouping sets without a day
 
@@ -64,7 +64,7 @@ def refresh_cube(table: MonthTable, facts: MonthTable, run_id: int, prev: int |
     """Write run ``run_id`` of the cube after its fact; ``months`` are those the fact replaced."""
     keys = list(cube.KEYS)
     new = facts.read(run_id, months)
-    cells = cut_lineage(new.groupBy(*keys, MONTH).agg(*_sums("total_price", F.count(F.lit(1)))), "cube-finest")
+    cells = cut_lineage(new.groupBy(*keys, MONTH).agg(*_sums("total_price", F.count(F.lit(1)))), "cube-finest", DENSE)
     parts = [cells.withColumn("grouping_set", F.lit(0))]
     for kept in ((keys[0], "time_id"), ("time_id", "address_id"), ("time_id",)):
         rolled = cells.groupBy(*kept, MONTH).agg(*_sums("total", F.sum("n_rows")))
@@ -76,7 +76,7 @@ def refresh_cube(table: MonthTable, facts: MonthTable, run_id: int, prev: int |
     if prev is not None:
         before = table.read(prev, months).filter("grouping_set = 0").select(*keys, "total", "n_rows")
         change = change.unionByName(cube.negated(before))
-    pairs = cut_lineage(cube.summed_cells(change, (keys[0], "address_id")).filter("n_rows != 0 OR total != 0"), "cube-change")
+    pairs = cut_lineage(cube.summed_cells(change, (keys[0], "address_id")).filter("n_rows != 0 OR total != 0"), "cube-change", DENSE)
     for kept in ((keys[0], "address_id"), (keys[0],), ("address_id",), ()):
         delta = pairs if len(kept) == 2 else cube.summed_cells(pairs, kept)
         held = stored.filter(F.col("grouping_set") == cube.set_number(kept)).select(*delta.columns)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.session import delete_path
+from starloom.session import DENSE, delete_path
 
 MONTH = "order_month"
 MANIFEST = T.StructType([T.StructField(MONTH, T.StringType()), T.StructField("at_run", T.LongType())])
@@ -53,7 +53,7 @@ class MonthTable:
         """Write ``df`` (with its month) as the new content of ``months``; the others are carried over from ``prev``."""
         path = os.path.join(self.path, f"run_id={run_id}")
         (df.select(*self.columns, MONTH).hint("rebalance", F.col(MONTH)).write.partitionBy(MONTH)
-         .option("partitionOverwriteMode", "static").mode("overwrite").parquet(path))
+         .option("partitionOverwriteMode", "static").mode("overwrite").parquet(path, compression=DENSE))
         written = self.spark.read.schema(self.schema).parquet(path).select(MONTH).distinct().collect()  # one row a month
         held = {m: r for m, r in self.manifest(prev).items() if m not in set(months)}
         held |= {str(r[MONTH]): run_id for r in written}

@@ -25,7 +25,7 @@ from starloom import schemas as S
 from starloom.operators import calendar, cube, fact, location, product, quality
 from starloom.plans import incremental
 from starloom.plans.months import MonthTable
-from starloom.session import cut_lineage
+from starloom.session import DENSE, cut_lineage
 
 RUN = "run_id"
 LEDGER_SCHEMA = T.StructType([T.StructField(RUN, T.LongType()), T.StructField("finished_at", T.TimestampType())])
@@ -92,7 +92,7 @@ class Warehouse:
 
     def write(self, df: DataFrame, table: str, run_id: int) -> None:
         cols = SCHEMAS[table].fieldNames()
-        df.select(*cols).write.mode("overwrite").parquet(self._dir(table, run_id))
+        df.select(*cols).write.mode("overwrite").parquet(self._dir(table, run_id), compression=DENSE)
 
     def read(self, table: str, runs: list[int]) -> DataFrame | None:
         """Union of the given runs' data (None when no run is given). A rolling
@@ -265,7 +265,7 @@ def replay_landing(spark: SparkSession, landing: DataFrame, as_of=None, root: st
     from starloom.session import scratch_path
     root = root or scratch_path(spark, "warehouse")
     wh = Warehouse(spark, root, layout)
-    landing = cut_lineage(landing, "replay")
+    landing = cut_lineage(landing, "replay", DENSE)
     # One row per arrival batch: bounded by the number of batches, not by rows.
     stamps = [r[0] for r in landing.select("updated_at").distinct().orderBy("updated_at").collect()]
     for i, ts in enumerate(stamps):

@@ -46,7 +46,8 @@ def dirty_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pa = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("pk"), "p_name")
 
     fam = F.element_at(F.array(*[F.lit(x) for x in FAMILIES]), (F.col("pk") % 9 + 1).cast("int"))
-    b = (li.join(od, "ok").join(cu, "ck").join(pa, "pk")
+    # Orders meet their customers first, so the line items are dealt twice and not three times, and an order's items end side by side.
+    b = (li.join(pa, "pk").join(od.join(cu, "ck"), "ok")
          .withColumn("prod", F.concat(F.col("p_name"), F.lit(" "), fam)))
 
     ok, d, ck, nk = F.col("ok"), F.col("d"), F.col("ck"), F.col("nk")

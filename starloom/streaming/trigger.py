@@ -52,9 +52,9 @@ def start_landing_stream(spark: SparkSession, landing_dir: str, wh: Warehouse, c
 
 def stream_totals_from_landing(spark: SparkSession, landing: DataFrame, as_of=None) -> DataFrame:
     """Write a landing table as CSV arrival folders, stream them, return the totals."""
-    from starloom.session import cut_lineage, scratch_path
+    from starloom.session import DENSE, cut_lineage, scratch_path
     base = scratch_path(spark, "stream")
-    landing = cut_lineage(landing, "stream-landing")
+    landing = cut_lineage(landing, "stream-landing", DENSE)
     src = os.path.join(base, "landing")
     stamps = [r[0] for r in landing.select("updated_at").distinct().orderBy("updated_at").collect()]
     for k, ts in enumerate(stamps):
