@@ -88,7 +88,7 @@ def q_latest_batch(spark, sf):
 
 
 def q_anti_dedup(spark, sf):
-    land = dirty_landing(spark, sf)
+    land = cut_lineage(dirty_landing(spark, sf), "landing", DENSE)
     prev = land.filter(F.col("updated_at") < land.agg(F.max("updated_at")).scalar())
     existing = quality.clean_of(quality.tag_rows(prev, AS_OF))
     return quality.anti_dedup(land, existing, "typed")
