@@ -11,6 +11,7 @@ to each set (``add_cells``): cells whose rows are all gone disappear.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import DataFrame
@@ -78,6 +79,32 @@ def cube_rows(finest: DataFrame, keys=KEYS) -> DataFrame:
     return out
 
 
+def _shaped(cells: DataFrame, kept, keys, like: DataFrame, also=()) -> DataFrame:
+    """Cells of the set ``kept`` with all keys (NULL where rolled up) and the set's number."""
+    return cells.select(*[F.col(k) if k in kept else F.lit(None).cast(like.schema[k].dataType).alias(k) for k in keys],
+                        F.lit(set_number(kept, keys)).alias("grouping_set"), "total", "n_rows", *also)
+
+
+def sets_with(fact: DataFrame, key: str, keys=KEYS, measure: str = "total_price", also=()) -> list[DataFrame]:
+    """The cells of the grouping sets that keep ``key``, after one deal of a stored fact's rows by its ranges: a task holds whole values of it, so
+    every set is summed where its rows are. For keys of many values (days). ``also``: columns that follow from ``key``, kept with the cells."""
+    rows = fact.select(*keys, *also, measure).repartitionByRange(*[F.col(c) for c in (*also, key)])
+    cells = finest_cells(rows, [*keys, *also], measure)
+    sums = [F.sum("total").cast(CUBE_SUM_TYPE).alias("total"), F.sum("n_rows").alias("n_rows")]
+    out = []
+    for size in range(len(keys), 0, -1):
+        for kept in (c for c in combinations(keys, size) if key in c):
+            out.append(_shaped(cells if size == len(keys) else cells.groupBy(*kept, *also).agg(*sums), kept, keys, fact, also))
+    return out
+
+
+def sets_without(fact: DataFrame, key: str, keys=KEYS, measure: str = "total_price") -> list[DataFrame]:
+    """The cells of the grouping sets without ``key``, the grand total first: sums of the largest of them."""
+    rest = tuple(k for k in keys if k != key)
+    top = _shaped(finest_cells(fact, rest, measure), rest, keys, fact)
+    return [top if kept == rest else summed_cells(top, kept, keys) for size in range(len(rest) + 1) for kept in combinations(rest, size)]
+
+
 def cube_view(cells: DataFrame, keys=KEYS, out: str = "total_price_sum") -> DataFrame:
     """The cube as the source stores it: keys (NULL: all) and the sum."""
     order = ["product_surrogate_id", "address_id", "time_id"] if tuple(keys) == KEYS else list(keys)
@@ -85,7 +112,12 @@ def cube_view(cells: DataFrame, keys=KEYS, out: str = "total_price_sum") -> Data
 
 
 def sales_cube(fact: DataFrame, keys=KEYS, measure: str = "total_price",
-               out: str = "total_price_sum") -> DataFrame:
+               out: str = "total_price_sum", dealt: str | None = None) -> DataFrame:
+    """The whole cube. ``dealt``: a key of many values by which the rows of a stored fact are dealt once (``sets_with``), instead of a deal a set."""
+    if dealt is not None:
+        # The grand total comes first: the union takes its columns' names, and the other sets keep one shape of their shared deals.
+        parts = [*sets_without(fact, dealt, keys, measure), *sets_with(fact, dealt, keys, measure)]
+        return cube_view(reduce(DataFrame.unionByName, parts), keys, out)
     return cube_view(cube_rows(cut_lineage(finest_cells(fact, keys, measure), "cube-finest", DENSE), keys), keys, out)
 
 

@@ -44,6 +44,8 @@ _FACT_TYPES = {
 
 
 GRAM = 5
+# Current versions that every task may hold (some 250 bytes each); more are joined once, by their name.
+FEW_VERSIONS = 250_000
 
 
 def _pieces(text, n):
@@ -84,6 +86,15 @@ def substring_matches(addresses: DataFrame, hierarchy: DataFrame, col: str = "pu
     return hit.join(nodes, "_name").select(F.col("_addr").alias(col), "address_id")
 
 
+def current_versions(product: DataFrame) -> DataFrame:
+    """The current versions with the columns the fact reads and ``_p_row``, a number of its own for every row.
+
+    Written apart from the closed versions, which are several times as many: the planner sees their own size.
+    """
+    cur = product.filter("curr_status").select(*[F.col(src).alias(dst) for src, dst in _PCOL_NAMES])
+    return cut_lineage(cur.withColumn("_p_row", F.monotonically_increasing_id()), "current-versions", DENSE)
+
+
 def address_nodes(addresses: DataFrame, street_keys: DataFrame, col: str = "purchase_address") -> DataFrame:
     """_m_addr and its street node (_a_id, _a_name, _a_parent), one row per distinct address and node: each text is parsed once.
 
@@ -105,14 +116,38 @@ def address_nodes(addresses: DataFrame, street_keys: DataFrame, col: str = "purc
 
 def build_order_fact(clean: DataFrame, product: DataFrame, time_dim: DataFrame,
                      hierarchy: DataFrame, street_keys: DataFrame | None = None,
-                     address_match: str = "keyed", price_mode: str = "current") -> DataFrame:
+                     address_match: str = "keyed", price_mode: str = "current",
+                     addresses: DataFrame | None = None, deal_by: str | None = None) -> DataFrame:
+    """The fact's rows. ``addresses``: texts (``purchase_address``) that hold all those of the sales, if known already; ``deal_by``: a column
+    of ``clean`` (returned after the fact's own) by whose values keyed rows are dealt, while they are narrow."""
     sales = clean.filter(F.col("order_date").isNotNull())
+    by = [] if deal_by is None else [deal_by]
 
-    # -- location: first, so that sales are dealt by address before they get wider ---
+    # -- product --------------------------------------------------------------
+    named = None
+    if price_mode == "current":
+        versions = current_versions(product)
+        if address_match == "keyed" and versions.count() <= FEW_VERSIONS:
+            # Sales are dealt with the number of their version instead of its name; its columns come afterwards.
+            versions = F.broadcast(versions)
+            named = F.broadcast(versions.select(F.upper("_p_product").alias("_p_key"), F.col("_p_row").alias("_p_at")))
+            sales = sales.join(named, F.upper(sales["product"]) == named["_p_key"]).drop("_p_key", "product")
+    elif price_mode != "as_of_sale":
+        raise ValueError(f"unknown price_mode {price_mode!r}")
+
+    def with_product(df: DataFrame) -> DataFrame:
+        if named is not None:
+            return df.join(versions, df["_p_at"] == versions["_p_row"]).drop("_p_at", "_p_row")
+        if price_mode == "current":
+            return df.join(versions, F.upper(df["product"]) == F.upper(versions["_p_product"])).drop("_p_row")
+        return join_valid_version(df, product, "_v_").select(
+            *df.columns, *[F.col("_v_" + src).alias(dst) for src, dst in _PCOL_NAMES])
+
+    # -- location: before sales get wider ---
     if address_match == "keyed":
         if street_keys is None:
             raise ValueError("keyed address matching needs the street keys of the hierarchy")
-        m = address_nodes(sales, street_keys)
+        m = address_nodes(clean.select("purchase_address") if addresses is None else addresses, street_keys)
         located = sales.join(m, sales["purchase_address"] == m["_m_addr"])
         node = [F.lit("Street").alias("_a_type"), F.lit(0).alias("_a_level")]
     elif address_match == "substring":
@@ -127,16 +162,6 @@ def build_order_fact(clean: DataFrame, product: DataFrame, time_dim: DataFrame,
     else:
         raise ValueError(f"unknown address_match {address_match!r}")
 
-    # -- product --------------------------------------------------------------
-    def with_product(df: DataFrame) -> DataFrame:
-        if price_mode == "current":
-            p = product.filter("curr_status").select(*[F.col(src).alias(dst) for src, dst in _PCOL_NAMES])
-            return df.join(p, F.upper(df["product"]) == F.upper(p["_p_product"]))
-        if price_mode == "as_of_sale":
-            return join_valid_version(df, product, "_v_").select(
-                *df.columns, *[F.col("_v_" + src).alias(dst) for src, dst in _PCOL_NAMES])
-        raise ValueError(f"unknown price_mode {price_mode!r}")
-
     # -- time: main-branch days (size bounded by the covered years) --------------
     t = main_days(time_dim).select(
         F.col("time_id").alias("_t_id"), F.col("day_date").alias("_t_day"),
@@ -147,6 +172,8 @@ def build_order_fact(clean: DataFrame, product: DataFrame, time_dim: DataFrame,
         return df.join(t, F.to_date(df["order_date"]) == t["_t_day"])
 
     if address_match == "keyed":
+        if by:
+            located = located.drop("_m_addr", "purchase_address", "updated_at").hint("rebalance", F.col(deal_by))
         located = with_day(with_product(located)).select("*", *node)
     else:
         # A sale has several nodes: it gets its product and day once, before them.
@@ -164,9 +191,9 @@ def build_order_fact(clean: DataFrame, product: DataFrame, time_dim: DataFrame,
         F.col("_t_parent").alias("time_parent"), F.col("_t_lvl").alias("time_level"),
         F.col("_t_branch").alias("time_branch"), F.col("_a_name").alias("address_name"),
         F.col("_a_type").alias("address_type"), F.col("_a_parent").alias("parent_id"),
-        F.col("_a_level").alias("address_level"),
+        F.col("_a_level").alias("address_level"), *by,
     )
-    return out.select(*[F.col(c).cast(_FACT_TYPES[c]).alias(c) for c in S.FACT_COLUMNS])
+    return out.select(*[F.col(c).cast(_FACT_TYPES[c]).alias(c) for c in S.FACT_COLUMNS], *by)
 
 
 def append_fact(existing: DataFrame | None, fresh: DataFrame, mode: str = "rebuild") -> DataFrame:

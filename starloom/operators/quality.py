@@ -18,6 +18,7 @@ from starloom import schemas as S
 from starloom.functions.dates import parse_order_ts
 from starloom.functions.text import is_digits, is_price_text
 from starloom.operators.keys import sequence_ids
+from starloom.session import DENSE, cut_lineage
 
 
 def _as_of(as_of: datetime | str | Column | None) -> Column:
@@ -149,17 +150,17 @@ def anti_dedup(new: DataFrame, existing: DataFrame | None, compare: str = "typed
         F.col("order_date").alias("_e_ts"), F.trim("purchase_address").alias("_e_addr"))
     if compare == "typed":
         probe = typed_columns(new)
-        # History is far larger than a batch: keep only the history rows whose
-        # order id occurs in the batch (a semi join AQE broadcasts when the
-        # batch's id set is small), so the anti join never shuffles all history.
+        # History is far larger than a batch: only ids are dealt to find those of both. They are written, so their size is known: while few
+        # are sent again, only those rows of batch and history meet in the anti join, and the other rows are not dealt.
         batch_ids = probe.select(F.col("_oid").alias("_e_oid")).filter(F.col("_e_oid").isNotNull()).distinct()
-        ex = ex.join(batch_ids, "_e_oid", "left_semi")
+        both = cut_lineage(ex.select("_e_oid").distinct().join(batch_ids, "_e_oid", "left_semi"), "sent-again-ids", DENSE)
+        ex = ex.join(both, "_e_oid", "left_semi")
         keys = [("_oid", "_e_oid"), ("_prod", "_e_prod"), ("_qty", "_e_qty"),
                 ("_price", "_e_price"), ("_ts", "_e_ts"), ("_address", "_e_addr")]
-        probe = probe.withColumn("_prod", F.lower("_product"))
-        cond = [probe[a] == ex[b] for a, b in keys]
-        out = probe.join(ex, cond, "left_anti")
-        return out.select(*new.columns)
+        known = probe["_oid"] == both["_e_oid"]
+        again = probe.join(both, known, "left_semi").withColumn("_prod", F.lower("_product"))
+        out = again.join(ex, [again[a] == ex[b] for a, b in keys], "left_anti")
+        return probe.join(both, known, "left_anti").select(*new.columns).unionByName(out.select(*new.columns))
     if compare == "text":
         ext = ex.select(
             F.trim(F.col("_e_oid").cast("string")).alias("_e_oid"), "_e_prod",
@@ -197,6 +198,14 @@ def assign_error_ids(errors: DataFrame, start: Column | int = 1) -> DataFrame:
     return with_id.select("error_id", *errors.columns)
 
 
+def _one_form(tagged: DataFrame) -> DataFrame:
+    """Tagged rows with the values their table reads: typed ones of a clean row, the text of a rejected one (NULL otherwise)."""
+    rejected = F.col("error_reason").isNotNull()
+    text = ["order_id", "quantity_ordered", "price_each", "order_date"]
+    return tagged.drop("product", "purchase_address").withColumns(
+        {c: F.when(rejected, F.col(c)) for c in text} | {c: F.when(~rejected, F.col(c)) for c in ("_oid", "_qty", "_price", "_ts")})
+
+
 def clean_sales(landing: DataFrame, clean_existing: DataFrame | None = None,
                 as_of: datetime | str | Column | None = None, compare: str = "typed",
                 error_id_start: Column | int = 1, executed_time=None, blank_is_null: bool = False,
@@ -206,8 +215,7 @@ def clean_sales(landing: DataFrame, clean_existing: DataFrame | None = None,
     batch = anti_dedup(latest_batch(landing), clean_existing, compare)
     # Both outputs read one materialised tagged batch: the rules and the
     # anti join run once per row, not once per output.
-    from starloom.session import DENSE, cut_lineage
-    tagged = cut_lineage(tag_rows(batch, as_of, blank_is_null, max_lengths, int_limits), "tagged-batch", DENSE)
+    tagged = cut_lineage(_one_form(tag_rows(batch, as_of, blank_is_null, max_lengths, int_limits)), "tagged-batch", DENSE)
     clean = clean_of(tagged)
     errors = assign_error_ids(errors_of(tagged, executed_time), error_id_start)
     return clean, errors

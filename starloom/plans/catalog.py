@@ -51,7 +51,9 @@ class Model:
         self.tagged = self.landing.withColumn("_address", F.trim("purchase_address"))
         self.clean = quality.clean_of(self.tagged)
         self.time = calendar.build_time_dimension(self.clean)
-        self.addresses = location.clean_address_process(self.landing)
+        # Distinct texts are found once, for the hierarchy and for the fact.
+        self.texts = cut_lineage(self.landing.select("purchase_address").distinct(), "address-texts", DENSE)
+        self.addresses = location.clean_address_process(self.texts)
         self.hierarchy, self.street_keys = location.build_location_hierarchy(self.addresses, parent_match)
         dim, _ = product.populate_product(self.clean)
         # Written: the planner knows its size before the sales are dealt for the join.
@@ -59,7 +61,8 @@ class Model:
 
     def fact(self, address_match: str = "keyed", price_mode: str = "current") -> DataFrame:
         return fact.build_order_fact(self.clean, self.product, self.time, self.hierarchy,
-                                     self.street_keys, address_match, price_mode)
+                                     self.street_keys, address_match, price_mode,
+                                     self.texts.select(F.trim("purchase_address").alias("purchase_address")))
 
 
 # -- O-02..O-05, O-66, O-67 -----------------------------------------------------------

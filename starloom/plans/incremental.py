@@ -3,10 +3,10 @@
 A run touches the months of its new sales and the months that hold sales of *re-priced* products: those whose relevant
 versions (the current ones, or all of them when sales keep their own version's price) differ from the dimension before. In these months the rows of
 re-priced products are built again from the clean sales, the run's rows are added, and every other row is carried over as it is. All
-other months keep their files.
+other months keep their files. Rows carried over are written as they lie, without a deal.
 
 The cube's grouping sets with a day are sums within a month: they are built again for the touched months alone, from the new fact. The sets without a day get
-the difference of those months' finest cells, new less old. So a run's cost follows the batch and the products it re-prices.
+the difference of those months' finest cells, new less old, or are summed again if every stored month was touched. So a run's cost follows the batch and the products it re-prices.
 
 Right for keyed matching only, where a sale's street node never changes once stored (a new node name may occur inside any old address, so
 substring matching has to look at all of them again).
@@ -14,6 +14,8 @@ substring matching has to look at all of them again).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,10 +54,10 @@ def refresh_fact(table: MonthTable, run_id: int, prev: int | None, fresh: DataFr
         repriced = cut_lineage(repriced_products(dim_before, dims[0], price_mode), "repriced")
         old = table.read(prev)
         months |= set(_months(old.select("product", MONTH).join(repriced, "product", "left_semi")))
-        kept = table.read(prev, months).join(repriced, "product", "left_anti")
+        kept = table.carried(table.read(prev, months).join(repriced, "product", "left_anti"), months)
         sales = fresh.unionByName(history.join(repriced, "product", "left_semi").select(*fresh.columns))
-    built = fact.build_order_fact(sales, *dims, address_match="keyed", price_mode=price_mode)
-    built = built.withColumn(MONTH, month_of("time_name"))
+    # Only built rows are dealt by month; kept ones lie by month already.
+    built = fact.build_order_fact(sales.withColumn(MONTH, month_of("order_date")), *dims, address_match="keyed", price_mode=price_mode, deal_by=MONTH)
     table.replace(built if kept is None else kept.select(*built.columns).unionByName(built), run_id, prev, months)
     return sorted(months)
 
@@ -64,28 +66,22 @@ def refresh_cube(table: MonthTable, facts: MonthTable, run_id: int, prev: int |
     """Write run ``run_id`` of the cube after its fact; ``months`` are those the fact replaced."""
     keys = list(cube.KEYS)
     new = facts.read(run_id, months)
-    cells = cut_lineage(new.groupBy(*keys, MONTH).agg(*_sums("total_price", F.count(F.lit(1)))), "cube-finest", DENSE)
-    parts = [cells.withColumn("grouping_set", F.lit(0))]
-    for kept in ((keys[0], "time_id"), ("time_id", "address_id"), ("time_id",)):
-        rolled = cells.groupBy(*kept, MONTH).agg(*_sums("total", F.sum("n_rows")))
-        parts.append(rolled.select(*[F.col(k) if k in kept else F.lit(None).cast(cells.schema[k].dataType).alias(k) for k in keys],
-                                   F.lit(cube.set_number(kept)).alias("grouping_set"), "total", "n_rows", MONTH))
-
-    change = cells.select(*keys, "total", "n_rows")
-    stored = table.read(prev, {WHOLE}).drop(MONTH)
-    if prev is not None:
+    # Dealt by day: each task writes few months.
+    daily = cube.sets_with(new, "time_id", also=[MONTH])
+    if set(table.manifest(prev)) <= {*months, WHOLE}:
+        # Every stored month is replaced: the sets without a day are sums of the new fact.
+        whole = cube.sets_without(new, "time_id")
+    else:
+        stored = table.read(prev, {WHOLE}).drop(MONTH)
         before = table.read(prev, months).filter("grouping_set = 0").select(*keys, "total", "n_rows")
-        change = change.unionByName(cube.negated(before))
-    pairs = cut_lineage(cube.summed_cells(change, (keys[0], "address_id")).filter("n_rows != 0 OR total != 0"), "cube-change", DENSE)
-    for kept in ((keys[0], "address_id"), (keys[0],), ("address_id",), ()):
-        delta = pairs if len(kept) == 2 else cube.summed_cells(pairs, kept)
-        held = stored.filter(F.col("grouping_set") == cube.set_number(kept)).select(*delta.columns)
-        parts.append(cube.add_cells(held, delta).withColumn(MONTH, F.lit(WHOLE)))
-    out = parts[0].select(*table.columns, MONTH)
-    for p in parts[1:]:
-        out = out.unionByName(p.select(*table.columns, MONTH))
+        change = daily[0].select(*keys, "total", "n_rows").unionByName(cube.negated(before))
+        pairs = cut_lineage(cube.summed_cells(change, (keys[0], "address_id")).filter("n_rows != 0 OR total != 0"), "cube-change", DENSE)
+        whole = []
+        for kept in ((), (keys[0],), ("address_id",), (keys[0], "address_id")):
+            delta = pairs if len(kept) == 2 else cube.summed_cells(pairs, kept)
+            held = stored.filter(F.col("grouping_set") == cube.set_number(kept)).select(*delta.columns)
+            whole.append(cube.add_cells(held, delta))
+    # The grand total comes first: the union takes its columns' names, and the sets with a day keep one shape of their shared deal.
+    parts = [p.withColumn(MONTH, F.lit(WHOLE)) for p in whole] + daily
+    out = reduce(DataFrame.unionByName, [p.select(*table.columns, MONTH) for p in parts])
     table.replace(out, run_id, prev, [*months, WHOLE])
-
-
-def _sums(total: str, n) -> list:
-    return [F.sum(total).cast(cube.CUBE_SUM_TYPE).alias("total"), n.alias("n_rows")]

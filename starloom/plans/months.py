@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from starloom.session import DENSE, delete_path
 
 MONTH = "order_month"
+FILES_A_MONTH = 32
 MANIFEST = T.StructType([T.StructField(MONTH, T.StringType()), T.StructField("at_run", T.LongType())])
 
 
@@ -49,10 +50,15 @@ class MonthTable:
         found = self.spark.read.schema(self.schema).option("basePath", self.path).parquet(*paths)
         return found.select(*self.columns, F.col(MONTH).cast("string").alias(MONTH))
 
+    def carried(self, df: DataFrame, months) -> DataFrame:
+        """Rows read from this table's months, to be written again: they lie by month as they are, and are dealt
+        only once their files have become many."""
+        return df.hint("rebalance", F.col(MONTH)) if len(df.inputFiles()) > FILES_A_MONTH * max(len(months), 1) else df
+
     def replace(self, df: DataFrame, run_id: int, prev: int | None, months) -> None:
-        """Write ``df`` (with its month) as the new content of ``months``; the others are carried over from ``prev``."""
+        """Write ``df`` (with its month, already dealt by it) as the new content of ``months``; the others are carried over from ``prev``."""
         path = os.path.join(self.path, f"run_id={run_id}")
-        (df.select(*self.columns, MONTH).hint("rebalance", F.col(MONTH)).write.partitionBy(MONTH)
+        (df.select(*self.columns, MONTH).write.partitionBy(MONTH)
          .option("partitionOverwriteMode", "static").mode("overwrite").parquet(path, compression=DENSE))
         written = self.spark.read.schema(self.schema).parquet(path).select(MONTH).distinct().collect()  # one row a month
         held = {m: r for m, r in self.manifest(prev).items() if m not in set(months)}

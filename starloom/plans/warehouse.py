@@ -214,7 +214,7 @@ def _run(wh: Warehouse, batch: DataFrame, run_id: int, as_of, compare: str, pare
     if fact_mode == "append" and prev is not None:
         f = fact.append_fact(wh.read("fact", [prev]), f, "append")
     wh.write(f, "fact", run_id)
-    wh.write(cube.sales_cube(wh.read("fact", [run_id])), "cube", run_id)
+    wh.write(cube.sales_cube(wh.read("fact", [run_id]), dealt="time_id"), "cube", run_id)
     _publish(wh, run_id, gate)
 
 
