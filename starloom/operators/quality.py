@@ -78,17 +78,18 @@ def error_reason(as_of: datetime | str | Column | None = None,
     for c, n in (max_lengths or {}).items():
         cond, reason = F.length(F.col(c)) > n, S.REASON_TOO_LONG.format(headers[c])
         chain = F.when(cond, reason) if chain is None else chain.when(cond, reason)
-    first = ~F.coalesce(is_digits(oid), F.lit(False))
+    # A typed value is there only if its text has the right form: the text is matched again only where there is none.
+    first = F.col("_oid").isNull() & ~F.coalesce(is_digits(oid), F.lit(False))
     chain = F.when(first, S.REASON_ORDER_ID) if chain is None else chain.when(first, S.REASON_ORDER_ID)
     return (
         chain
         .when(F.col("_oid").isNull(), S.REASON_ORDER_ID_RANGE)
         .when(prod.isNull(), S.REASON_PRODUCT_NULL)
-        .when(~is_digits(qty), S.REASON_QTY_FORMAT)
-        .when(is_digits(qty) & F.col("_qty").isNull(), S.REASON_QTY_RANGE)
+        .when(F.col("_qty").isNull() & ~is_digits(qty), S.REASON_QTY_FORMAT)
+        .when(F.col("_qty").isNull() & is_digits(qty), S.REASON_QTY_RANGE)
         .when(F.col("_qty") <= 0, S.REASON_QTY_NOT_POSITIVE)
-        .when(~is_price_text(price), S.REASON_PRICE_FORMAT)
-        .when(is_price_text(price) & F.col("_price").isNull(), S.REASON_PRICE_RANGE)
+        .when(F.col("_price").isNull() & ~is_price_text(price), S.REASON_PRICE_FORMAT)
+        .when(F.col("_price").isNull() & is_price_text(price), S.REASON_PRICE_RANGE)
         .when(F.col("_price") <= 0, S.REASON_PRICE_NOT_POSITIVE)
         .when(date.isNull(), S.REASON_DATE_NULL)
         .when(F.col("_ts").isNull(), S.REASON_DATE_INVALID)

@@ -45,24 +45,25 @@ def dirty_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_custkey").alias("ck"), F.col("c_nationkey").alias("nk"), F.col("c_mktsegment").alias("seg"))
     pa = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("pk"), "p_name")
 
-    fam = F.element_at(F.array(*[F.lit(x) for x in FAMILIES]), (F.col("pk") % 9 + 1).cast("int"))
-    # Orders meet their customers first, so the line items are dealt twice and not three times, and an order's items end side by side.
-    b = (li.join(pa, "pk").join(od.join(cu, "ck"), "ok")
-         .withColumn("prod", F.concat(F.col("p_name"), F.lit(" "), fam)))
-
     ok, d, ck, nk = F.col("ok"), F.col("d"), F.col("ck"), F.col("nk")
+    fam = F.element_at(F.array(*[F.lit(x) for x in FAMILIES]), (F.col("pk") % 9 + 1).cast("int"))
     even = ok % 2 == 0
     yr = _s(F.year(d))
-    date_text = F.concat(
+    hour_text = F.concat(
         F.lpad(_s(F.month(d)), 2, "0"), F.lit("/"), F.lpad(_s(F.dayofmonth(d)), 2, "0"), F.lit("/"),
         F.when(even, yr).otherwise(F.substring(yr, 3, 2)), F.lit(" "),
-        F.when(even, _s(ok % 24)).otherwise(F.lpad(_s(ok % 24), 2, "0")), F.lit(":"),
-        F.lpad(_s(F.col("ln")), 2, "0"))
+        F.when(even, _s(ok % 24)).otherwise(F.lpad(_s(ok % 24), 2, "0")), F.lit(":"))
     letter = F.expr("chr(65 + nk)")
     address = F.concat(
         _s(ck), F.lit(" "), F.col("seg"), F.lit(" St, City"), _s(nk % 20), F.lit(", "),
         F.when(ck % 10 == 0, F.lower(letter)).otherwise(letter), F.lit("Z "),
         F.when(ck % 53 == 0, F.lit("N/A")).otherwise(_s(nk * 37 + 10000)))
+    # Orders meet their customers first, so the line items are dealt twice and not three times, and an order's items end side by side.
+    # Texts that an order's items share are made once a customer or order.
+    cu = cu.select("ck", address.alias("address"))
+    od = od.join(cu, "ck").select("ok", F.year(d).alias("y"), hour_text.alias("hour_text"), F.when(ok % 59 != 0, F.col("address")).alias("address"))
+    b = (li.join(pa, "pk").join(od, "ok")
+         .withColumn("prod", F.concat(F.col("p_name"), F.lit(" "), fam)))
     stamp = F.element_at(F.array(*[F.lit(s) for s in BATCH_STAMPS]), (ok % 3 + 1).cast("int"))
 
     return b.select(
@@ -73,11 +74,11 @@ def dirty_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(ok % 79 == 0, "0").when(ok % 73 == 0, "two").when(ok % 103 == 0, F.lit(None))
         .otherwise(_s(F.col("q"))).alias("quantity_ordered"),
         F.when(ok % 83 == 0, "12.345").when(ok % 67 == 0, "0")
-        .otherwise(F.concat(_s(F.length("prod") + (F.year(d) - 1995) * 5 + 10), F.lit(".95")))
+        .otherwise(F.concat(_s(F.length("prod") + (F.col("y") - 1995) * 5 + 10), F.lit(".95")))
         .alias("price_each"),
         F.when(ok % 71 == 0, F.lit(None).cast("string")).when(ok % 61 == 0, "13/45/1999 10:00")
-        .otherwise(date_text).alias("order_date"),
-        F.when(ok % 59 == 0, F.lit(None).cast("string")).otherwise(address).alias("purchase_address"),
+        .otherwise(F.concat("hour_text", F.lpad(_s(F.col("ln")), 2, "0"))).alias("order_date"),
+        F.col("address").alias("purchase_address"),
         stamp.cast("timestamp").alias("updated_at"),
     )
 
