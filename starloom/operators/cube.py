@@ -87,7 +87,7 @@ def _shaped(cells: DataFrame, kept, keys, like: DataFrame, also=()) -> DataFrame
 
 def sets_with(fact: DataFrame, key: str, keys=KEYS, measure: str = "total_price", also=()) -> list[DataFrame]:
     """The cells of the grouping sets that keep ``key``, after one deal of a stored fact's rows by its ranges: a task holds whole values of it, so
-    every set is summed where its rows are. For keys of many values (days). ``also``: columns that follow from ``key``, kept with the cells."""
+    every set is summed where its rows are. For keys of many values (days, addresses): one of long values is best, the sets without it are then dealt by short ones. ``also``: columns that follow from ``key``, kept with the cells."""
     rows = fact.select(*keys, *also, measure).repartitionByRange(*[F.col(c) for c in (*also, key)])
     cells = finest_cells(rows, [*keys, *also], measure)
     sums = [F.sum("total").cast(CUBE_SUM_TYPE).alias("total"), F.sum("n_rows").alias("n_rows")]

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.session import cut_lineage
+from starloom.session import DENSE, cut_lineage
 
 RANGE_PID = _PID = "_seq_pid"
 _POS = "_seq_pos"
@@ -38,7 +38,7 @@ def range_tagged(df: DataFrame, sort_cols: list[Column], partitions: int | None
         .withColumn(_POS, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33))
     )
     # Positions must not change if a partition is recomputed: materialise once.
-    return cut_lineage(tagged)
+    return cut_lineage(tagged, "ranged", DENSE)
 
 
 def sequence_ids(df: DataFrame, order_cols: Sequence[str | Column], id_col: str,

@@ -214,7 +214,9 @@ def _run(wh: Warehouse, batch: DataFrame, run_id: int, as_of, compare: str, pare
     if fact_mode == "append" and prev is not None:
         f = fact.append_fact(wh.read("fact", [prev]), f, "append")
     wh.write(f, "fact", run_id)
-    wh.write(cube.sales_cube(wh.read("fact", [run_id]), dealt="time_id"), "cube", run_id)
+    # A street is one of many; substring matching gives states and cities too, which hold far more rows than a day.
+    dealt = "address_id" if address_match == "keyed" else "time_id"
+    wh.write(cube.sales_cube(wh.read("fact", [run_id]), dealt=dealt), "cube", run_id)
     _publish(wh, run_id, gate)
 
 

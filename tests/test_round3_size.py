@@ -44,3 +44,19 @@ def test_rules_match_texts_again_only_without_a_value(spark):
     plan = quality.tag_rows(spark.createDataFrame(LANDED, S.LANDING_SCHEMA), "2021-01-01")._jdf.queryExecution().optimizedPlan().toString()
     for value, text in (("_oid", "order_id"), ("_qty", "quantity_ordered"), ("_price", "price_each")):
         assert re.search(rf"isnull\({value}#\w+\) AND (NOT )?(coalesce\()?RLIKE\({text}|isnull\({value}#\w+\) AND NOT (coalesce\()?RLIKE\({text}", plan), (value, plan)
+
+
+def test_numbering_is_written_densely(spark):
+    tagged = keys.range_tagged(spark.range(9), [F.col("id")])
+    assert all(".zstd." in f for f in tagged.inputFiles()) and tagged.count() == 9
+
+
+@pytest.mark.parametrize("match, key", [("keyed", "address_id"), ("substring", "time_id")])
+def test_a_run_deals_the_cube_by_streets_if_keyed(spark, tmp_path, monkeypatch, match, key):
+    seen, whole = [], cube.sales_cube
+    monkeypatch.setattr(warehouse.cube, "sales_cube", lambda f, **kw: (seen.append(kw.get("dealt")), whole(f, **kw))[1])
+    wh = warehouse.Warehouse(spark, str(tmp_path / "wh"))
+    warehouse.run_warehouse_batch(wh, spark.createDataFrame(LANDED, S.LANDING_SCHEMA), 0, "2021-01-01", address_match=match)
+    assert seen == [key]
+    text = lambda df: sorted(str(tuple(r)) for r in df.collect())
+    assert text(wh.read("cube", [0])) == text(whole(wh.read("fact", [0])))
