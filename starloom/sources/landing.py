@@ -124,11 +124,12 @@ def read_landing_csv(spark: SparkSession, paths: str | Sequence[str], batch_ts:
     return reduce(DataFrame.unionByName, [to_landing(reader.csv(files), stamp) for files in by_header.values()])
 
 
-def write_landing_csv(df: DataFrame, path: str) -> None:
-    """Write landing rows back out as CSV with the original headers."""
+def write_landing_csv(df: DataFrame, path: str, compression: str | None = None, rows_a_file: int = 0) -> None:
+    """Write landing rows back out as CSV with the original headers. A compressed file cannot be split: ``rows_a_file`` (0: no limit) keeps each short."""
     out = df.select(*[F.col(c).alias(h) for h, c in CSV_HEADERS.items()])
     (out.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"')
-     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .option("maxRecordsPerFile", rows_a_file).csv(path, compression=compression))
 
 
 def load_landing(spark: SparkSession, paths: str | Sequence[str], target: str,

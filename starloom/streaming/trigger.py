@@ -23,6 +23,8 @@ from starloom.plans.warehouse import Warehouse, run_warehouse_batch, warehouse_t
 from starloom.sources.landing import landing_of, parse_lines, with_origin, write_landing_csv
 
 RUNS_PER_EPOCH = 1_000_000
+# Of the replayed arrivals' compressed files: about 10 MB each.
+ROWS_A_FILE = 500_000
 
 
 def start_landing_stream(spark: SparkSession, landing_dir: str, wh: Warehouse, checkpoint: str,
@@ -58,7 +60,7 @@ def stream_totals_from_landing(spark: SparkSession, landing: DataFrame, as_of=No
     src = os.path.join(base, "landing")
     stamps = [r[0] for r in landing.select("updated_at").distinct().orderBy("updated_at").collect()]
     for k, ts in enumerate(stamps):
-        write_landing_csv(landing.filter(F.col("updated_at") == F.lit(ts)), os.path.join(src, f"batch={k}"))
+        write_landing_csv(landing.filter(F.col("updated_at") == F.lit(ts)), os.path.join(src, f"batch={k}"), "gzip", ROWS_A_FILE)
     wh = Warehouse(spark, os.path.join(base, "warehouse"))
     q = start_landing_stream(spark, src, wh, os.path.join(base, "checkpoint"),
                              stamp_for=lambda k: stamps[k], as_of=as_of)

@@ -51,6 +51,14 @@ def test_numbering_is_written_densely(spark):
     assert all(".zstd." in f for f in tagged.inputFiles()) and tagged.count() == 9
 
 
+def test_compressed_arrivals_are_short_files_with_the_same_rows(spark, tmp_path):
+    df = spark.createDataFrame(LANDED, S.LANDING_SCHEMA).coalesce(1)
+    write_landing_csv(df, str(tmp_path / "csv"), "gzip", 3)
+    assert len(list((tmp_path / "csv").glob("*.csv.gz"))) == 3
+    again = read_landing_csv(spark, str(tmp_path / "csv"), "2024-01-01 00:00:00")
+    assert sorted(again.collect()) == sorted(df.select(*again.columns).collect())
+
+
 @pytest.mark.parametrize("match, key", [("keyed", "address_id"), ("substring", "time_id")])
 def test_a_run_deals_the_cube_by_streets_if_keyed(spark, tmp_path, monkeypatch, match, key):
     seen, whole = [], cube.sales_cube
