@@ -68,3 +68,12 @@ def test_a_run_deals_the_cube_by_streets_if_keyed(spark, tmp_path, monkeypatch,
     assert seen == [key]
     text = lambda df: sorted(str(tuple(r)) for r in df.collect())
     assert text(wh.read("cube", [0])) == text(whole(wh.read("fact", [0])))
+
+
+def test_keyed_cube_equals_lattice(spark):
+    rows = [(i % 7 or None, f"D{i % 5}", f"A{i % 11}", i) for i in range(100)] + [(1, None, "A1", None)]
+    f = spark.createDataFrame(rows, "product_surrogate_id long, time_id string, address_id string, total_price long").withColumn(
+        "total_price", F.col("total_price").cast("decimal(38,2)"))
+    for data in (f, f.limit(0)):
+        got = catalog._keyed_cube(data)
+        assert sorted(map(str, got.collect())) == sorted(map(str, cube.sales_cube(data).collect()))
