@@ -46,6 +46,10 @@ _FACT_TYPES = {
 GRAM = 5
 # Current versions that every task may hold (some 250 bytes each); more are joined once, by their name.
 FEW_VERSIONS = 250_000
+# Nodes of addresses that every task may hold (some 200 bytes each); for more, the sales are dealt by their address.
+FEW_NODES = 100_000
+# Distinct pieces of addresses that every task may hold (some 60 bytes each; an alphabet bounds them, not the number of addresses).
+FEW_PIECES = 500_000
 
 
 def _pieces(text, n):
@@ -59,7 +63,8 @@ def substring_candidates(addresses: DataFrame, names: DataFrame) -> DataFrame:
 
     A name's pieces are those of its longest literal run, which any match holds word for word: of ``GRAM`` characters, or the
     whole run if that is shorter (none of a name of wildcards alone, which is compared with every address). An address has about one
-    piece a character for each length in use, ``GRAM`` at most.
+    piece a character for each length in use, ``GRAM`` at most. While the distinct pieces are few (``FEW_PIECES``) every task holds them, and
+    only the address pieces that are some name's rarest are dealt.
     """
     runs = names.select(F.col("address_name").alias("_name")).filter(F.col("_name").isNotNull()).distinct() \
         .withColumn("_run", longest_literal_run(F.col("_name")))
@@ -68,22 +73,26 @@ def substring_candidates(addresses: DataFrame, names: DataFrame) -> DataFrame:
     sizes = sorted(r[0] for r in runs.select(size.alias("n")).distinct().collect())
     cut = F.array_distinct(F.concat(*[F.array(F.lit("")) if n == 0 else _pieces(F.col("_addr"), n) for n in sizes])) if sizes else F.array(F.lit(""))
     pieces = addresses.select("_addr", F.explode(cut).alias("_piece"))
-    spread = pieces.groupBy("_piece").agg(F.count(F.lit(1)).alias("_n"))
+    spread = cut_lineage(pieces.groupBy("_piece").agg(F.count(F.lit(1)).alias("_n")), "pieces", DENSE)
+    few = spread.count() <= FEW_PIECES
     mine = F.when(F.length("_run") == 0, F.array(F.lit(""))).otherwise(F.array_distinct(_pieces(F.col("_run"), size)))
     held = runs.select("_name", F.explode(mine).alias("_piece"))
     # A piece that no address holds rules its name out.
-    rarest = (held.join(spread, "_piece", "left").groupBy("_name")
+    rarest = (held.join(F.broadcast(spread) if few else spread, "_piece", "left").groupBy("_name")
               .agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_piece")).alias("best"))
               .filter(F.col("best.n") > 0).select("_name", "best._piece"))
+    if few:
+        rarest = cut_lineage(rarest, "rarest-pieces", DENSE)
+        pieces = pieces.join(F.broadcast(rarest.select("_piece").distinct()), "_piece", "left_semi")
     return pieces.join(rarest, "_piece").select("_addr", "_name")
 
 
-def substring_matches(addresses: DataFrame, hierarchy: DataFrame, col: str = "purchase_address") -> DataFrame:
-    """(address, address_id) for every node name contained in the address."""
+def substring_matches(addresses: DataFrame, hierarchy: DataFrame, col: str = "purchase_address", also=()) -> DataFrame:
+    """(address, address_id) for every node name contained in the address, with the node's columns ``also``."""
     addr = cut_lineage(addresses.select(F.col(col).alias("_addr")).filter(F.col("_addr").isNotNull()).distinct(), "addresses")
-    nodes = hierarchy.select("address_id", F.col("address_name").alias("_name"))
+    nodes = hierarchy.select("address_id", F.col("address_name").alias("_name"), *also)
     hit = substring_candidates(addr, hierarchy).filter(F.like(F.col("_addr"), F.concat(F.lit("%"), F.col("_name"), F.lit("%"))))
-    return hit.join(nodes, "_name").select(F.col("_addr").alias(col), "address_id")
+    return hit.join(nodes, "_name").select(F.col("_addr").alias(col), "address_id", *also)
 
 
 def current_versions(product: DataFrame) -> DataFrame:
@@ -127,14 +136,20 @@ def build_order_fact(clean: DataFrame, product: DataFrame, time_dim: DataFrame,
     named = None
     if price_mode == "current":
         versions = current_versions(product)
-        if address_match == "keyed" and versions.count() <= FEW_VERSIONS:
-            # Sales are dealt with the number of their version instead of its name; its columns come afterwards.
-            versions = F.broadcast(versions)
-            named = F.broadcast(versions.select(F.upper("_p_product").alias("_p_key"), F.col("_p_row").alias("_p_at")))
-            sales = sales.join(named, F.upper(sales["product"]) == named["_p_key"]).drop("_p_key", "product")
-    elif price_mode != "as_of_sale":
+        few_versions = versions.count() <= FEW_VERSIONS
+    elif price_mode == "as_of_sale":
+        few_versions = False
+    else:
         raise ValueError(f"unknown price_mode {price_mode!r}")
 
+    def numbered(df: DataFrame) -> DataFrame:
+        """Sales are dealt with the number of their version instead of its name, and with their day; other columns come afterwards."""
+        nonlocal versions, named
+        versions = F.broadcast(versions)
+        named = F.broadcast(versions.select(F.upper("_p_product").alias("_p_key"), F.col("_p_row").alias("_p_at")))
+        return (df.join(named, F.upper(df["product"]) == named["_p_key"]).drop("_p_key", "product")
+                .withColumn("order_date", F.to_date("order_date")))
+
     def with_product(df: DataFrame) -> DataFrame:
         if named is not None:
             return df.join(versions, df["_p_at"] == versions["_p_row"]).drop("_p_at", "_p_row")
@@ -147,18 +162,22 @@ def build_order_fact(clean: DataFrame, product: DataFrame, time_dim: DataFrame,
     if address_match == "keyed":
         if street_keys is None:
             raise ValueError("keyed address matching needs the street keys of the hierarchy")
+        if few_versions:
+            sales = numbered(sales)
         m = address_nodes(clean.select("purchase_address") if addresses is None else addresses, street_keys)
         located = sales.join(m, sales["purchase_address"] == m["_m_addr"])
         node = [F.lit("Street").alias("_a_type"), F.lit(0).alias("_a_level")]
     elif address_match == "substring":
-        nodes = hierarchy.select(F.col("address_id").alias("_a_id"), F.col("address_name").alias("_a_name"),
-                                 F.col("address_type").alias("_a_type"), F.col("parent_id").alias("_a_parent"),
-                                 F.col("level").alias("_a_level"))
+        # Read several times, for the candidates and the nodes' columns: written once.
+        nodes = cut_lineage(hierarchy.filter(F.col("address_id").isNotNull()), "hierarchy", DENSE)
         # A distinct address meets its nodes' columns before the sales do.
-        m = substring_matches(sales.select("purchase_address"), hierarchy).select(
-            F.col("purchase_address").alias("_m_addr"), F.col("address_id").alias("_m_id"))
-        m = cut_lineage(m.join(nodes, F.col("_m_id") == F.col("_a_id")).drop("_m_id"), "address-nodes", DENSE)
+        m = substring_matches((sales if addresses is None else addresses).select("purchase_address"), nodes,
+                              also=("address_name", "address_type", "parent_id", "level"))
+        m = cut_lineage(m.select(
+            F.col("purchase_address").alias("_m_addr"), F.col("address_id").alias("_a_id"), F.col("address_name").alias("_a_name"),
+            F.col("address_type").alias("_a_type"), F.col("parent_id").alias("_a_parent"), F.col("level").alias("_a_level")), "address-nodes", DENSE)
         node = ["_a_type", "_a_level"]
+        few_nodes = m.count() <= FEW_NODES
     else:
         raise ValueError(f"unknown address_match {address_match!r}")
 
@@ -175,10 +194,14 @@ def build_order_fact(clean: DataFrame, product: DataFrame, time_dim: DataFrame,
         if by:
             located = located.drop("_m_addr", "purchase_address", "updated_at").hint("rebalance", F.col(deal_by))
         located = with_day(with_product(located)).select("*", *node)
+    elif few_versions and not few_nodes:
+        # Dealt narrow: the sales' product and day are looked up once their nodes are there.
+        sales = numbered(sales)
+        located = with_day(with_product(sales.join(m, sales["purchase_address"] == m["_m_addr"])))
     else:
         # A sale has several nodes: it gets its product and day once, before them.
         spt = with_day(with_product(sales))
-        located = spt.join(m, spt["purchase_address"] == m["_m_addr"])
+        located = spt.join(F.broadcast(m) if few_nodes else m, spt["purchase_address"] == m["_m_addr"])
 
     out = located.select(
         F.col("order_id"), F.col("quantity_ordered").alias("quantity"),
