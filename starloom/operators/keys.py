@@ -29,9 +29,12 @@ def _names(cols: Sequence[str | Column]) -> list[Column]:
 
 
 def range_tagged(df: DataFrame, sort_cols: list[Column], partitions: int | None = None) -> DataFrame:
-    """``df`` dealt and sorted by ranges of ``sort_cols``, written once, with each row's partition (``RANGE_PID``) and place in it."""
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
+    """``df`` dealt and sorted by ranges of ``sort_cols``, written once, with each row's partition (``RANGE_PID``) and place in it.
+
+    Without ``partitions``, Spark joins neighbouring small ranges: a few thousand rows are not written as a file a shuffle partition.
+    """
+    dealt = df.repartitionByRange(partitions, *sort_cols) if partitions else df.repartitionByRange(*sort_cols)
+    ranged = dealt.sortWithinPartitions(*sort_cols)
     tagged = (
         ranged.withColumn(_PID, F.spark_partition_id())
         # monotonically_increasing_id = (partition << 33) + position in partition

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions.text import counter, is_digits, part
 from starloom.operators.keys import group_sequence
-from starloom.session import cut_lineage
+from starloom.session import DENSE, cut_lineage
 
 ADDRESS_PARTS = ("street", "city", "state", "postal_code")
 
@@ -67,10 +67,10 @@ def normalise_address(df: DataFrame) -> DataFrame:
                      F.upper("state").alias("state"), "postal_code")
 
 
-def clean_address_process(raw: DataFrame, col: str = "purchase_address") -> DataFrame:
+def clean_address_process(raw: DataFrame, col: str = "purchase_address", written: bool = False) -> DataFrame:
     """O-13 (first half): raw landing rows -> final staging addresses. Equal texts are parsed once:
-    the distinct ones are written, or the optimizer moves the filters on the parsed parts down to every row."""
-    texts = cut_lineage(raw.select(col).distinct(), "address-texts")
+    the distinct ones are written (``written``: ``raw`` holds them so already), or the optimizer moves the filters on the parsed parts down to every row."""
+    texts = raw.select(col) if written else cut_lineage(raw.select(col).distinct(), "address-texts")
     return normalise_address(filter_postal(dedup_addresses(parse_address(texts, col))))
 
 
@@ -158,6 +158,8 @@ def build_location_hierarchy(addresses: DataFrame, parent_match: str = "city_pos
                      .join(cities_k.select("city", "postal_code", "state", F.col("_id").alias("_parent")),
                            ["city", "postal_code", "state"])
                      .withColumn("address_id", F.concat(F.col("_parent"), F.lit("-S"), counter(F.col("_n")))))
+        # Two consumers (the nodes and the keys): written once.
+        streets_k = cut_lineage(streets_k.drop("_n"), "streets", DENSE)
         streets = _nodes(streets_k, F.col("address_id"), F.col("street"), 0, F.col("_parent"))
         keys = streets_k.select(*ADDRESS_PARTS, "address_id", F.col("_parent").alias("parent_id"))
     elif parent_match == "city":

@@ -53,7 +53,7 @@ class Model:
         self.time = calendar.build_time_dimension(self.clean)
         # Distinct texts are found once, for the hierarchy and for the fact.
         self.texts = cut_lineage(self.landing.select("purchase_address").distinct(), "address-texts", DENSE)
-        self.addresses = location.clean_address_process(self.texts)
+        self.addresses = location.clean_address_process(self.texts, written=True)
         self.hierarchy, self.street_keys = location.build_location_hierarchy(self.addresses, parent_match)
         dim, _ = product.populate_product(self.clean)
         # Written: the planner knows its size before the sales are dealt for the join.

@@ -64,7 +64,7 @@ def dirty_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     od = od.join(cu, "ck").select("ok", F.year(d).alias("y"), hour_text.alias("hour_text"), F.when(ok % 59 != 0, F.col("address")).alias("address"))
     b = (li.join(pa, "pk").join(od, "ok")
          .withColumn("prod", F.concat(F.col("p_name"), F.lit(" "), fam)))
-    stamp = F.element_at(F.array(*[F.lit(s) for s in BATCH_STAMPS]), (ok % 3 + 1).cast("int"))
+    stamp = F.element_at(F.array(*[F.lit(s).cast("timestamp") for s in BATCH_STAMPS]), (ok % 3 + 1).cast("int"))
 
     return b.select(
         F.when(ok % 97 == 0, "Order ID").when(ok % 89 == 0, "").otherwise(_s(ok)).alias("order_id"),
@@ -79,7 +79,7 @@ def dirty_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(ok % 71 == 0, F.lit(None).cast("string")).when(ok % 61 == 0, "13/45/1999 10:00")
         .otherwise(F.concat("hour_text", F.lpad(_s(F.col("ln")), 2, "0"))).alias("order_date"),
         F.col("address").alias("purchase_address"),
-        stamp.cast("timestamp").alias("updated_at"),
+        stamp.alias("updated_at"),
     )
 
 
