@@ -296,8 +296,8 @@ class Shard:
                 part = slice(edge[x], edge[x + 1])
                 terms = self.numbers[term[part]]
                 known[terms] = factor[part]  # the last place is of those the shard has not
-                t, w, which = self._slices(self.row_first[docs], self.row_end[docs], self.own, self.own_weight)
-                exact = np.round(np.bincount(which, known[t] * w, len(docs)), 9)
+                parts = map(slice, self.row_first[docs].tolist(), self.row_end[docs].tolist())
+                exact = np.round([(known[self.own[at]] * self.own_weight[at]).sum() for at in parts], 9)
                 known[terms] = 0
                 keep = (exact > 0) & (exact >= floor[from_ + x])
                 if keep.any():
